@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from evidara.session import cut
 
 # The order that settles a tie between classes, and the word for "none".
-CLASS_ORDER = ("A", "B1", "B2", "C", "F", "T2", "unclassified")
+CLASS_ORDER = ("A", "B", "C", "F")
 UNCLASSIFIED = "unclassified"
 UNCLASSIFIED_GROUP = "unclassified-og"
 
@@ -331,7 +331,7 @@ def consensus_three_way(hmm: DataFrame, og: DataFrame, placement: DataFrame | No
         return F.coalesce(F.col(name), F.lit("")) if name in got.columns else F.lit("")
 
     def real(c: Column) -> Column:
-        return ~c.isin("", "unclassified", "unclassified-hmm", "unclassified-og", "unclassified-placement", "NA")
+        return ~c.isin("", "unclassified-hmm", "unclassified-og", "unclassified-placement")
 
     untested = col("threshold_source") == unvalidated
     h = F.when(untested, "").otherwise(col("hmm_family"))

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evidara.session import cut
 
@@ -47,6 +48,12 @@ def range_count(df: DataFrame) -> int:
     return max(8, min(MAX_RANGES, 2 * parts))
 
 
+def _literal(value, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StructType) and value is not None:
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, dtype.fields)])
+    return F.lit(value).cast(dtype)
+
+
 def with_range(df: DataFrame, keys: Sequence[str], ranges: int, name: str = "__range") -> DataFrame:
     """Number of sampled borders below the row's key; ``df`` must be cheap to read
     twice and ``keys`` unique per row.  The driver sees at most ``ranges`` *
@@ -62,7 +69,7 @@ def with_range(df: DataFrame, keys: Sequence[str], ranges: int, name: str = "__r
         return df.withColumn(name, F.lit(0))
 
     def border(row):
-        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(keys, row)])
+        return F.struct(*[_literal(v, types[c]).alias(c) for c, v in zip(keys, row)])
 
     key = F.struct(*keys)
     step = max(2, int(ranges**0.5))

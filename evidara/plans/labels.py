@@ -42,12 +42,12 @@ def og_vote(t):
     return got.withColumn("consensus_fraction", F.round("consensus_fraction", 9))
 
 
-CLASS_SQL = """c AS (SELECT p_brand og, CASE p_type WHEN 'STANDARD' THEN 'A' WHEN 'MEDIUM' THEN 'B1' WHEN 'PROMO' THEN 'B2'
+CLASS_SQL = """c AS (SELECT p_brand og, CASE p_type WHEN 'STANDARD' THEN 'A' WHEN 'MEDIUM' THEN 'B' WHEN 'PROMO' THEN 'Z'
   WHEN 'LARGE' THEN 'C' WHEN 'SMALL' THEN 'F' ELSE 'unclassified' END AS class FROM part)"""
 
 
 def part_classes(t):
-    kinds = {"STANDARD": "A", "MEDIUM": "B1", "PROMO": "B2", "LARGE": "C", "SMALL": "F"}
+    kinds = {"STANDARD": "A", "MEDIUM": "B", "PROMO": "Z", "LARGE": "C", "SMALL": "F"}
     cls = F.lit("unclassified")
     for k, v in kinds.items():
         cls = F.when(F.col("p_type") == k, v).otherwise(cls)
@@ -57,7 +57,7 @@ def part_classes(t):
 @query("og_class_majority", f"""
 WITH {CLASS_SQL}, k AS (SELECT og, class, count(*) n FROM c WHERE class <> 'unclassified' GROUP BY 1, 2),
 w AS (SELECT og, class, n / sum(n) OVER (PARTITION BY og) share, row_number() OVER (PARTITION BY og ORDER BY n DESC,
-  list_position(['A', 'B1', 'B2', 'C', 'F', 'T2', 'unclassified'], class)) r FROM k)
+  coalesce(list_position(['A', 'B', 'C', 'F'], class), 5), class) r FROM k)
 SELECT o.og, coalesce(w.class, 'unclassified') AS class FROM (SELECT DISTINCT og FROM c) o
 LEFT JOIN w ON w.og = o.og AND r = 1 AND share >= 0.22""")
 def og_class_majority(t):
