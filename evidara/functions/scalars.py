@@ -215,11 +215,20 @@ def small_molecule_score(loop_length: Column, pocket_volume: Column) -> Column:
     return F.coalesce((a + b) / 2, a, b)
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def aa_composition(seq: Column) -> Column:
     """Share of each of the 20 residues among the residues, in alphabetical order."""
-    counts = F.array(*[F.length(seq) - F.length(F.translate(seq, a + a.lower(), "")) for a in AMINO_ACIDS])
-    total = F.aggregate(counts, F.lit(0), lambda x, y: x + y)
-    return F.transform(counts, lambda c: F.when(total > 0, c / total).otherwise(F.lit(0.0)))
+    counts = F.array(*[F.regexp_count(seq, F.lit(f"[{a}{a.lower()}]")) for a in AMINO_ACIDS])
+
+    def shares(c: Column) -> Column:
+        total = F.aggregate(c, F.lit(0), lambda x, y: x + y)
+        return bind(total, lambda n: F.transform(c, lambda k: F.when(n > 0, k / n).otherwise(F.lit(0.0))))
+
+    return bind(counts, shares)
 
 
 def pairwise_identity(a: Column, b: Column) -> Column:
