@@ -24,16 +24,16 @@ def modal_label(df: DataFrame, keys: Sequence[str], label: str, tie: Column | No
     ``tie`` (smallest wins, aggregated by min) settles equal counts; default alphabet."""
     keys = list(keys)
     tie = F.col(label) if tie is None else tie
-    counts = df.groupBy(*keys, label).agg(F.count("*").alias("n"), F.min(tie).alias("tie"))
-    levels = counts.groupBy(*keys, "n").agg(
-        F.count("*").alias("n_tied"), F.min(F.struct("tie", label)).alias("w")
+    counts = df.groupBy(*keys, label).agg(F.count("*").alias("__n"), F.min(tie).alias("__tie"))
+    levels = counts.groupBy(*keys, "__n").agg(
+        F.count("*").alias("__tied"), F.min(F.struct("__tie", label)).alias("__w")
     )
     best = levels.groupBy(*keys).agg(
-        F.max(F.struct("n", "n_tied", "w")).alias("b"), F.sum(F.col("n") * F.col("n_tied")).alias("n_total")
+        F.max(F.struct("__n", "__tied", "__w")).alias("__b"), F.sum(F.col("__n") * F.col("__tied")).alias("n_total")
     )
     return best.select(
-        *keys, F.col(f"b.w.{label}").alias(label), F.col("b.n").alias("n_top"), "n_total",
-        F.col("b.n_tied").alias("n_tied"),
+        *keys, F.col(f"__b.__w.{label}").alias(label), F.col("__b.__n").alias("n_top"), "n_total",
+        F.col("__b.__tied").alias("n_tied"),
     )
 
 
