@@ -143,7 +143,7 @@ def greedy_locus_claim(t):
 
 
 @query("topology_runs", """
-WITH c AS (SELECT doc_id, i, upper(substr(text, i::INT, 1)) ch, length(text) n FROM documents, generate_series(1, length(text)) g(i)),
+WITH c AS (SELECT doc_id, i, upper(ch) ch, n FROM (SELECT doc_id, length(text) n, unnest(regexp_extract_all(text, '(?s).')) ch, unnest(range(1, length(text) + 1)) i FROM documents)),
 k AS (SELECT doc_id, i, n, ch, lag(ch) OVER (PARTITION BY doc_id ORDER BY i) p FROM c WHERE ch IN ('M', 'O', 'I')),
 s AS (SELECT doc_id, i, n, ch, lead(i) OVER (PARTITION BY doc_id ORDER BY i) nx FROM k WHERE p IS NULL OR p <> ch),
 r AS (SELECT doc_id, CASE ch WHEN 'M' THEN 'tm' WHEN 'O' THEN 'ecl' ELSE 'icl' END kind, i a, coalesce(nx - 1, n) b FROM s)
@@ -158,7 +158,7 @@ KD_SQL = "CASE ch " + " ".join(f"WHEN '{k}' THEN {int(round(v * 10))}" for k, v
 
 
 @query("hydropathy_segments", f"""
-WITH c AS (SELECT doc_id, i, {KD_SQL} v FROM (SELECT doc_id, i, upper(substr(text, i::INT, 1)) ch FROM documents, generate_series(1, length(text)) g(i))),
+WITH c AS (SELECT doc_id, i, {KD_SQL} v FROM (SELECT doc_id, i, upper(ch) ch FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?s).')) ch, unnest(range(1, length(text) + 1)) i FROM documents))),
 w AS (SELECT doc_id, i - 1 p, sum(v) OVER r s, count(*) OVER r n FROM c WINDOW r AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 20 FOLLOWING)),
 h AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) q FROM w WHERE n = 21 AND s >= 1.0 * 21 * 10),
 g AS (SELECT doc_id, p, sum((q IS NULL OR p - q >= 29)::INT) OVER (PARTITION BY doc_id ORDER BY p) k FROM h)
@@ -202,7 +202,15 @@ def alignment_columns(t):
     return cut(cols)
 
 
-@query("site_concordance")
+@query("site_concordance", """
+WITH RECURSIVE c AS (SELECT c_nationkey og, i - 1 i, md5(string_agg(substr(c_name, i::INT, 1), '' ORDER BY c_custkey)) h FROM customer, generate_series(1, 18) g(i) GROUP BY 1, 2),
+l AS (SELECT og, i + 1 site, h FROM c), s AS (SELECT og, row_number() OVER (PARTITION BY og ORDER BY i) site, h FROM c WHERE i % 5 <> 2),
+m AS (SELECT og, 0::BIGINT site, 0::BIGINT ls FROM (SELECT DISTINCT og FROM s) UNION ALL
+ SELECT og, site, ls FROM (SELECT m.og, s.site, l.site ls, row_number() OVER (PARTITION BY m.og ORDER BY l.site) k FROM m JOIN s ON s.og = m.og AND s.site = m.site + 1 JOIN l ON l.og = s.og AND l.h = s.h AND l.site > m.ls) WHERE k = 1),
+sp AS (SELECT s.og, s.site, ls FROM s LEFT JOIN m USING (og, site) WHERE s.site % 2 = 0), lp AS (SELECT og, site FROM l WHERE site % 3 = 0),
+j AS (SELECT coalesce(sp.og, lp.og) og, sp.site a, lp.site b FROM sp FULL JOIN lp ON sp.og = lp.og AND sp.ls = lp.site)
+SELECT og, count(a) AS n_strict_positive_sites, count(b) AS n_lenient_positive_sites, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS high_confidence_sites_n, count(*) FILTER (a IS NULL) AS lenient_only_sites_n,
+ count(*) FILTER (b IS NULL) AS strict_only_sites_n, round(count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) / count(b), 6) AS alignment_robustness_index FROM j GROUP BY 1""")
 def site_concordance(t):
     cols = alignment_columns(t)
     from evidara.ordering import row_numbers

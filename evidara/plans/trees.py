@@ -125,22 +125,39 @@ def duplication_check(t):
     return tr.duplications(world(t), tx).drop("tree")
 
 
-def by_segment(t):
+def regrouped(t):
+    """The same nations under three other groups; every ninth customer is missing."""
     none = F.lit(None)
-    seg = t.customer.select("c_mktsegment").distinct()
-    sub = t.customer.select("c_mktsegment", "c_nationkey").distinct()
-    key = F.concat_ws("-", "c_mktsegment", F.col("c_nationkey").cast("string"))
-    return cut(_edges("segment", [
+    k = F.col("n_nationkey") % 3
+    groups = t.nation.select(k.alias("k")).distinct()
+    return cut(_edges("regrouped", [
         (t.region.where("r_regionkey = 0"), F.lit("root"), none, F.lit(0.0), none),
-        (seg, F.concat(F.lit("s"), "c_mktsegment"), F.lit("root"), F.lit(0.3), F.lit(90)),
-        (sub, F.concat(F.lit("b"), key), F.concat(F.lit("s"), "c_mktsegment"), F.lit(0.2), F.lit(60)),
-        (t.customer.where("c_custkey % 9 > 0"), _name("c", "c_custkey"), F.concat(F.lit("b"), key), F.lit(0.1), none)]))
+        (groups, _name("g", "k"), F.lit("root"), F.lit(0.3), F.lit(90)),
+        (t.nation.withColumn("k", k), _name("n", "n_nationkey"), _name("g", "k"), F.lit(0.2), F.lit(60)),
+        (t.customer.where("c_custkey % 9 > 0"), _name("c", "c_custkey"), _name("n", "c_nationkey"), F.lit(0.1), none)]))
 
 
-@query("bipartition_distance")
+@query("bipartition_distance", """
+WITH l AS (SELECT c_custkey k, n_nationkey n, n_regionkey r, n_nationkey % 3 g FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 9 > 0), z AS (SELECT count(*) t FROM l),
+s AS (SELECT 'a' tree, 'r' || r node, k FROM l UNION ALL SELECT 'a', 'n' || n, k FROM l UNION ALL SELECT 'b', 'g' || g, k FROM l UNION ALL SELECT 'b', 'n' || n, k FROM l),
+i AS (SELECT tree, node, string_agg(k, ',' ORDER BY k) i, count(*) c FROM s GROUP BY 1, 2), o AS (SELECT i.tree, i.node, string_agg(l.k, ',' ORDER BY l.k) o FROM i, l WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.tree = i.tree AND s.node = i.node AND s.k = l.k) GROUP BY 1, 2),
+p AS (SELECT DISTINCT tree, least(i, o) ky FROM i JOIN o USING (tree, node), z WHERE c BETWEEN 2 AND t - 2), q AS (SELECT count(*) FILTER (tree = 'a') a, count(*) FILTER (tree = 'b') b, count(*) - count(DISTINCT ky) s FROM p)
+SELECT t::BIGINT AS n_common, a AS splits_a, b AS splits_b, s AS shared, round((a + b - 2 * s) / (a + b), 9) AS rf FROM q, z""")
 def bipartition_distance(t):
-    a = world(t, with_orders=False)
-    return rounded(tr.bipartition_distance(a, by_segment(t)))
+    return rounded(tr.bipartition_distance(world(t, with_orders=False), regrouped(t))).withColumn("n_common", F.col("n_common").cast("long"))
+
+
+@query("placement_distance", f"""
+WITH RECURSIVE {WORLD_SQL}, rf AS (SELECT 'o' || o_orderkey node FROM orders WHERE o_totalprice > 495000), v AS (SELECT DISTINCT 'c' || o_custkey node FROM orders WHERE o_orderstatus = 'F'),
+pr AS (SELECT q.leaf v, r.leaf ref, q.dist + r.dist d, q.anc, row_number() OVER (PARTITION BY q.leaf, r.leaf ORDER BY q.steps) k FROM cl q JOIN v ON v.node = q.leaf JOIN cl r ON r.anc = q.anc JOIN rf ON rf.node = r.leaf),
+b AS (SELECT v, min(CASE WHEN anc = v THEN d + len / 2 ELSE d - len / 2 END) d FROM pr JOIN e ON e.node = v WHERE k = 1 GROUP BY 1) SELECT 'x' || o_orderkey AS query, round(d + 0.1, 9) AS dist FROM b JOIN orders ON v = 'c' || o_custkey WHERE o_orderstatus = 'F'""")
+def placement_distance(t):
+    """Every F order is a query placed half way up the edge of its customer."""
+    e = world(t)
+    pl = t.orders.where("o_orderstatus = 'F'").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.lit("world").alias("tree"), _name("x", "o_orderkey").alias("query"), _name("c", "o_custkey").alias("node"),
+        ((F.abs("c_acctbal") / 10000 + 0.01) / 2).alias("distal"), F.lit(0.1).alias("pendant"))
+    return rounded(tr.placement_distance(e, order_nodes(t, R), pl)).drop("tree")
 
 
 @query("clade_consensus", f"""

@@ -26,11 +26,11 @@ def scan_fasta(records: DataFrame) -> DataFrame:
     """Records ``header\\nletters\\n…`` (a leading ``>`` is dropped) -> id, descr, seq."""
     text = F.regexp_replace("value", "^>", "")
     cut = F.instr(text, "\n")
-    head = F.trim(F.when(cut > 0, F.substr(text, F.lit(1), cut - 1)).otherwise(text))
+    head = F.regexp_replace(F.when(cut > 0, F.substr(text, F.lit(1), cut - 1)).otherwise(text), r"^\s+|\s+$", "")
     body = F.when(cut > 0, F.substr(text, cut + 1)).otherwise("")
     rest = [c for c in records.columns if c != "value"]
     got = records.where(F.col("value").rlike(r"\S")).select(
-        F.regexp_extract(head, r"^(\S+)", 1).alias("id"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("descr"),
+        F.regexp_extract(head, r"^(\S+)", 1).alias("id"), F.regexp_replace(head, r"^\S+\s*", "").alias("descr"),
         F.regexp_replace(body, r"\s", "").alias("seq"), *rest)
     return got.where("id <> ''")
 
