@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Mapping, Sequence
 
@@ -121,14 +122,17 @@ def ablation(df: DataFrame, weights: Mapping[str, float], drops: Mapping[str, Se
 def weight_sensitivity(df: DataFrame, weights: Mapping[str, float], n_iter: int, spread: float = 0.5, seed: int = 42,
                        digits: int = 9) -> DataFrame:
     """(id, baseline_rank, mean_rank, std_rank, min_rank, max_rank, rank_stability)
-    under random weights of base ± spread.  Scenario weights are functions of
-    (seed, scenario, signal), so no weight table is shipped."""
-    many = scenarios(df.select("id", *weights), n_iter + 1, "it")
+    under random weights of base ± spread.  The weights of a scenario come from a hash
+    of (seed, scenario, signal); they are constants of the plan."""
+    def weight(it: int, s: str) -> float:
+        u = int(hashlib.md5(f"{seed}|{it}|{s}".encode()).hexdigest()[:8], 16) / 4294967296.0
+        return float(weights[s]) * (1 + spread * (2 * u - 1)) if it else float(weights[s])
+
+    cases = [F.struct(F.lit(it).alias("it"), *[F.lit(weight(it, s)).alias(f"w_{s}") for s in weights]) for it in range(n_iter + 1)]
+    many = df.select("id", *weights, F.explode(F.array(*cases)).alias("c")).select("id", *weights, "c.*")
     total = present = summed = F.lit(0.0)
-    for s, w in weights.items():
-        u = uniform(seed, F.col("it"), s)
-        eff = F.when(F.col("it") == 0, F.lit(float(w))).otherwise(F.lit(float(w)) * (1 + spread * (2 * u - 1)))
-        ok = F.col(s).isNotNull()
+    for s in weights:
+        eff, ok = F.col(f"w_{s}"), F.col(s).isNotNull()
         total = total + eff
         present = present + F.when(ok, eff).otherwise(0.0)
         summed = summed + F.when(ok, eff * F.col(s)).otherwise(0.0)

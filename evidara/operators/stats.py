@@ -464,7 +464,7 @@ def roc_youden(tp: DataFrame, fp: DataFrame, margin: str, step: float = 0.1) ->
         place = F.when(F.col("x") >= inf, F.lit(n - 1).cast("long")).otherwise(place)
         return df.groupBy(place.alias("g")).agg(F.count("*").alias(name))
 
-    from_here = Window.orderBy("g").rowsBetween(0, Window.unboundedFollowing)
+    from_here = Window.orderBy(F.desc("g")).rowsBetween(Window.unboundedPreceding, 0)
     pts = grid.join(cell(t, "ct"), "g", "left").join(cell(f, "cf"), "g", "left").select(
         "m", F.sum(F.coalesce("ct", F.lit(0))).over(from_here).alias("kept"),
         F.sum(F.coalesce("cf", F.lit(0))).over(from_here).alias("passed"),

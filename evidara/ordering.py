@@ -99,21 +99,19 @@ def running(
     totals = keyed.groupBy(*part).agg(
         *[_AGG[s.how](s.value).alias(f"__t_{n}") for n, s in scans.items()]
     )
-    by_range = Window.partitionBy(*group).orderBy("__range") if group else Window.orderBy("__range")
-    before = by_range.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_range.rowsBetween(1, Window.unboundedFollowing)
+    # scans from the far end run over the reversed order: a frame that ends at the last
+    # row would be evaluated anew for every row
+    up = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*group).orderBy(F.desc("__range")).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
         *part,
-        *[
-            _AGG[s.how](f"__t_{n}").over(after if s.rows == "from" else before).alias(f"__c_{n}")
-            for n, s in scans.items()
-        ],
+        *[_AGG[s.how](f"__t_{n}").over(down if s.rows == "from" else up).alias(f"__c_{n}") for n, s in scans.items()],
     )
     inside = Window.partitionBy(*part).orderBy(*order)
     frames = {
         "before": inside.rowsBetween(Window.unboundedPreceding, -1),
         "upto": inside.rowsBetween(Window.unboundedPreceding, 0),
-        "from": inside.rowsBetween(0, Window.unboundedFollowing),
+        "from": Window.partitionBy(*part).orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0),
     }
     local = keyed.select(
         "*", *[_AGG[s.how](s.value).over(frames[s.rows]).alias(f"__l_{n}") for n, s in scans.items()]
