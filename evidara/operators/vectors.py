@@ -110,7 +110,11 @@ def nearest_family_cosine(queries: DataFrame, centroids: DataFrame) -> DataFrame
 def centered_moments(df: DataFrame, centroids: DataFrame) -> tuple[np.ndarray, int, float]:
     """(X'X, n, Σ‖x‖⁴) of the vectors minus their family mean.  Every partition sends one
     row per matrix row, which are summed by Spark; d rows reach the driver."""
-    means = {r["label"]: np.asarray(r["vec"], dtype=float) for r in centroids.select("label", "vec").collect()}
+    most = BLOCK_VALUES // max(1, width_of(df))
+    rows = centroids.select("label", "vec").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError("more family means than fit one block; estimate the covariance on coarser families")
+    means = {r["label"]: np.asarray(r["vec"], dtype=float) for r in rows}
     ship = df.sparkSession.sparkContext.broadcast(means)
     schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("row", T.ArrayType(T.DoubleType())),
                            T.StructField("n", T.LongType()), T.StructField("q", T.DoubleType())])

@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 from evidara.session import cut
 
 SAMPLE_PER_RANGE = 16
+MIN_RANGES = 8
 MAX_RANGES = 4096
+ROWS_PER_RANGE = 20_000
 
 
 @dataclass(frozen=True)
@@ -43,9 +45,9 @@ def _merge(how: str, a: Column, b: Column) -> Column:
     return F.greatest(a, b)
 
 
-def range_count(df: DataFrame) -> int:
+def range_limit(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(MAX_RANGES, 2 * parts))
+    return max(MIN_RANGES, min(MAX_RANGES, 2 * parts))
 
 
 def _literal(value, dtype: T.DataType) -> Column:
@@ -54,15 +56,25 @@ def _literal(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def with_range(df: DataFrame, keys: Sequence[str], ranges: int, name: str = "__range") -> DataFrame:
+def with_range(df: DataFrame, keys: Sequence[str], ranges: int | None = None, name: str = "__range") -> DataFrame:
     """Number of sampled borders below the row's key; ``df`` must be cheap to read
-    twice and ``keys`` unique per row.  The driver sees at most ``ranges`` *
-    ``SAMPLE_PER_RANGE`` keys, whatever the table size."""
+    twice and ``keys`` unique per row.
+
+    The driver sees the ``SAMPLE_PER_RANGE`` keys per range with the smallest hashes,
+    whatever the table size.  How small those hashes are also tells how many rows there
+    are, which sets the number of ranges where the caller does not.
+    """
     keys = list(keys)
-    sample = df.select(*keys).orderBy(F.xxhash64(*keys)).limit(ranges * SAMPLE_PER_RANGE)
-    ks = (
-        sample.agg(F.sort_array(F.collect_list(F.struct(*keys))).alias("ks")).first()["ks"] or []
-    )
+    limit = ranges or range_limit(df)
+    sample = df.select(*keys, F.xxhash64(*keys).alias("__h")).orderBy("__h").limit(limit * SAMPLE_PER_RANGE)
+    seen = sample.agg(
+        F.sort_array(F.collect_list(F.struct(*keys))).alias("ks"), F.max("__h").alias("h")
+    ).first()
+    ks = seen["ks"] or []
+    if ranges is None:
+        full = len(ks) == limit * SAMPLE_PER_RANGE
+        rows = len(ks) * 2.0**64 / (seen["h"] + 2.0**63 + 1.0) if full else len(ks)
+        ranges = max(MIN_RANGES, min(limit, int(rows / ROWS_PER_RANGE)))
     types = {f.name: f.dataType for f in df.select(*keys).schema}
     cuts = [ks[i * len(ks) // ranges] for i in range(1, ranges)] if ks else []
     if not cuts:
@@ -92,7 +104,6 @@ def running(
     read in ascending ``order`` inside each group."""
     if cut_input:
         df = cut(df)
-    ranges = ranges or range_count(df)
     group, order = list(group), list(order)
     keyed = with_range(df, group + order, ranges)
     part = group + ["__range"]

@@ -97,12 +97,12 @@ def anti_join_firewall(t):
 
 
 @query("outer_join_integrity", """
-WITH a AS (SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 10 <> 1), b AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'xx' ELSE lang END lang, n_chars FROM documents WHERE doc_id % 10 <> 2)
+WITH a AS (SELECT doc_id, lang, n_chars FROM documents WHERE lang <> 'de'), b AS (SELECT doc_id, CASE WHEN n_chars % 7 = 0 THEN 'xx' ELSE lang END lang, n_chars FROM documents WHERE lang <> 'es')
 SELECT count(*) FILTER (b.doc_id IS NULL) AS only_left, count(*) FILTER (a.doc_id IS NULL) AS only_right, count(*) FILTER (a.doc_id = b.doc_id) AS n_both,
  count(*) FILTER (a.lang <> b.lang) AS differ_lang, count(*) FILTER (a.n_chars <> b.n_chars) AS differ_n_chars FROM a FULL JOIN b ON a.doc_id = b.doc_id""")
 def outer_join_integrity(t):
-    a = t.documents.where("doc_id % 10 <> 1")
-    b = t.documents.where("doc_id % 10 <> 2").withColumn("lang", F.when(F.col("doc_id") % 7 == 0, "xx").otherwise(F.col("lang")))
+    a = t.documents.where("lang <> 'de'")
+    b = t.documents.where("lang <> 'es'").withColumn("lang", F.when(F.col("n_chars") % 7 == 0, "xx").otherwise(F.col("lang")))
     return ev.outer_integrity(a, b, "doc_id", ["lang", "n_chars"])
 
 
@@ -151,7 +151,7 @@ SELECT c_custkey AS id, CASE WHEN r_name = 'ASIA' THEN 'asia' WHEN c_nationkey =
 FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""")
 def taxonomy_lineage_join(t):
     lin = t.nation.join(t.region, F.col("r_regionkey") == F.col("n_regionkey")).select("n_nationkey", F.array("r_name", "n_name").alias("lineage"))
-    got = t.customer.join(F.broadcast(lin), F.col("n_nationkey") == F.col("c_nationkey"))
+    got = t.customer.join(lin, F.col("n_nationkey") == F.col("c_nationkey"))
     return got.select(F.col("c_custkey").alias("id"), ev.lineage_stratum(F.col("lineage"), [("ASIA", "asia"), ("NATION_3", "three"), ("EUROPE", "europe")], "rest").alias("stratum"))
 
 
@@ -227,12 +227,12 @@ def positive_control_lookup(t):
 
 
 @query("truth_verdict", f"""
-WITH {CALLS_SQL}, tr AS (SELECT doc_id id, quality = 1 want, 'f' || quality ef, 's' || toxic es FROM labels WHERE doc_id % 3 <> 0),
+WITH {CALLS_SQL}, tr AS (SELECT doc_id id, quality = 1 want, 'f' || quality ef, 's' || toxic es FROM labels),
 v AS (SELECT tr.*, coalesce(classification IN ('non-chemoreceptor', 'likely-non-chemoreceptor'), false) said, coalesce(classification_family, '') f, CASE WHEN len(subs) = 1 THEN subs[1] ELSE '' END s FROM tr LEFT JOIN cons USING (id))
 SELECT id, CASE WHEN NOT want AND NOT said THEN 'TN' WHEN want AND said THEN 'TP' WHEN said THEN 'FP' ELSE 'FN' END AS error_type, want = said AS correct,
  CASE WHEN want AND said THEN ef = f WHEN want OR said THEN false END AS family_correct, CASE WHEN want AND said THEN es = s WHEN want OR said THEN false END AS subfamily_correct FROM v""")
 def truth_verdict(t):
-    tr = t.labels.where("doc_id % 3 <> 0").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "non-chemoreceptor").otherwise("chemoreceptor").alias("expected_classification"),
+    tr = t.labels.select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "non-chemoreceptor").otherwise("chemoreceptor").alias("expected_classification"),
                                                   F.concat(F.lit("f"), F.col("quality").cast("string")).alias("expected_family"), F.concat(F.lit("s"), F.col("toxic").cast("string")).alias("expected_subfamily"))
     return ev.truth_verdict(tr, lb.consensus_three_way(*three_calls(t)))
 

@@ -264,7 +264,7 @@ def pairwise_identity(t):
 
 
 HEAD_SQL = """h AS (SELECT p_partkey, p_size, CASE p_partkey % 6 WHEN 0 THEN p_size || '_Genus_sp' WHEN 1 THEN 'aplcal_XP' || p_size WHEN 2 THEN 'sp|P' || p_size || '|NAME' WHEN 3 THEN 'gi|123|ref|NP' || p_size
- WHEN 4 THEN 'verylongheader' || p_size ELSE 'x' END hd, CASE WHEN p_partkey % 4 = 0 THEN 'OS=Homo sapiens OX=9606 GN=ABC' || p_size WHEN p_partkey % 4 = 1 THEN 'OS=Mus GN=G' ELSE 'gene:xyz [Aplysia californica]' END de FROM part)"""
+ WHEN 4 THEN 'verylongheader' || p_size ELSE 'x' END hd, CASE WHEN p_partkey % 4 = 0 THEN 'OS=Homo sapiens OX=9606 GN=ABC' || p_size WHEN p_partkey % 4 = 1 THEN 'OS=Mus GN=G' ELSE 'gene:xyz [Limax maximus]' END de FROM part)"""
 
 
 def headers(t):
@@ -273,14 +273,14 @@ def headers(t):
     hd = (F.when(k == 0, F.concat(s, F.lit("_Genus_sp"))).when(k == 1, F.concat(F.lit("aplcal_XP"), s)).when(k == 2, F.concat(F.lit("sp|P"), s, F.lit("|NAME")))
           .when(k == 3, F.concat(F.lit("gi|123|ref|NP"), s)).when(k == 4, F.concat(F.lit("verylongheader"), s)).otherwise("x"))
     q = F.col("p_partkey") % 4
-    de = F.when(q == 0, F.concat(F.lit("OS=Homo sapiens OX=9606 GN=ABC"), s)).when(q == 1, "OS=Mus GN=G").otherwise("gene:xyz [Aplysia californica]")
+    de = F.when(q == 0, F.concat(F.lit("OS=Homo sapiens OX=9606 GN=ABC"), s)).when(q == 1, "OS=Mus GN=G").otherwise("gene:xyz [Limax maximus]")
     return t.part.select("p_partkey", "p_size", hd.alias("hd"), de.alias("de"))
 
 
 @query("taxid_from_header", f"""
 WITH {HEAD_SQL} SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN '9606' WHEN p_partkey % 6 = 0 THEN p_size::VARCHAR WHEN p_partkey % 6 = 1 THEN 'aplcal' WHEN p_partkey % 4 = 1 THEN 'mus'
  WHEN p_partkey % 6 = 2 THEN 'sp' WHEN p_partkey % 6 = 3 THEN 'gi' WHEN p_partkey % 6 = 4 THEN 'verylonghe' ELSE 'x' END AS taxid,
- CASE p_partkey % 4 WHEN 0 THEN 'Homo sapiens' WHEN 1 THEN 'Mus' ELSE 'Aplysia californica' END AS species,
+ CASE p_partkey % 4 WHEN 0 THEN 'Homo sapiens' WHEN 1 THEN 'Mus' ELSE 'Limax maximus' END AS species,
  CASE p_partkey % 4 WHEN 0 THEN 'ABC' || p_size WHEN 1 THEN 'G' ELSE 'xyz' END AS gene FROM h""")
 def taxid_from_header(t):
     h, d = F.col("hd"), F.col("de")
@@ -372,13 +372,13 @@ def sanitize_name(t):
 
 
 @query("id_canonicalize", """
-WITH r AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'dir/' || c_name || '.cif.gz' WHEN 1 THEN c_name || '_A' WHEN 2 THEN c_name ELSE 'Unknown' || c_custkey || '.pdb' END raw, c_name FROM customer)
-SELECT c_custkey, CASE WHEN c_custkey % 4 < 3 AND c_custkey % 5 <> 0 THEN c_name END AS canonical FROM r""")
+WITH r AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'dir/' || c_name || '.cif.gz' WHEN 1 THEN c_name || '_A' WHEN 2 THEN c_name ELSE 'Unknown' || c_custkey || '.pdb' END raw, c_name, c_mktsegment FROM customer)
+SELECT c_custkey, CASE WHEN c_custkey % 4 < 3 AND c_mktsegment <> 'BUILDING' THEN c_name END AS canonical FROM r""")
 def id_canonicalize(t):
     k = F.col("c_custkey") % 4
     raw = (F.when(k == 0, F.concat(F.lit("dir/"), "c_name", F.lit(".cif.gz"))).when(k == 1, F.concat("c_name", F.lit("_A"))).when(k == 2, F.col("c_name"))
            .otherwise(F.concat(F.lit("Unknown"), F.col("c_custkey").cast("string"), F.lit(".pdb"))))
-    return sc.id_canonicalize(t.customer.select("c_custkey", raw.alias("raw")), "raw", t.customer.where("c_custkey % 5 <> 0"), "c_name").select("c_custkey", "canonical")
+    return sc.id_canonicalize(t.customer.select("c_custkey", raw.alias("raw")), "raw", t.customer.where("c_mktsegment <> 'BUILDING'"), "c_name").select("c_custkey", "canonical")
 
 
 @query("target_keys", """

@@ -1,4 +1,4 @@
-"""Embeddings: every even id is a reference of its label's family, the rest are asked."""
+"""Embeddings: families 0 to 5 are the references, vectors of the other families are asked."""
 
 from __future__ import annotations
 
@@ -18,32 +18,32 @@ def every(t):
 
 
 def refs(t):
-    return every(t).where("id % 2 = 0")
+    return every(t).where("label < 6")
 
 
 def asked(t):
-    return every(t).where("id % 2 = 1")
+    return every(t).where("label >= 6")
 
 
 V_SQL = """e AS (SELECT vec_id id, label, embedding::DOUBLE[] v FROM embeddings), x AS (SELECT id, label, unnest(v) x, generate_subscripts(v, 1) i FROM e),
-mn AS (SELECT label, i, avg(x) m FROM x WHERE id % 2 = 0 GROUP BY 1, 2), nm AS (SELECT label, sqrt(sum(m * m)) n FROM mn GROUP BY 1),
+mn AS (SELECT label, i, avg(x) m FROM x WHERE label < 6 GROUP BY 1, 2), nm AS (SELECT label, sqrt(sum(m * m)) n FROM mn GROUP BY 1),
 ce AS (SELECT label, list(m / n ORDER BY i) c FROM mn JOIN nm USING (label) GROUP BY 1)"""
 
 
-@query("family_centroids", f"WITH {V_SQL}, k AS (SELECT label, count(*) n FROM e WHERE id % 2 = 0 GROUP BY 1) SELECT mn.label, (i - 1)::INTEGER AS i, round(m / nm.n, 6) AS x, k.n FROM mn JOIN nm USING (label) JOIN k USING (label)")
+@query("family_centroids", f"WITH {V_SQL}, k AS (SELECT label, count(*) n FROM e WHERE label < 6 GROUP BY 1) SELECT mn.label, (i - 1)::INTEGER AS i, round(m / nm.n, 6) AS x, k.n FROM mn JOIN nm USING (label) JOIN k USING (label)")
 def family_centroids(t):
     got = vc.family_centroids(refs(t))
     return got.select("label", "n", F.posexplode("vec").alias("i", "x")).select("label", "i", F.round("x", 6).alias("x"), "n")
 
 
 @query("nearest_family_cosine", f"""
-WITH {V_SQL}, s AS (SELECT id, ce.label, list_cosine_similarity(v, c) s FROM e, ce WHERE id % 2 = 1), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, label) k FROM s)
+WITH {V_SQL}, s AS (SELECT id, ce.label, list_cosine_similarity(v, c) s FROM e, ce WHERE e.label >= 6), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, label) k FROM s)
 SELECT id, label AS family, round(s, 6) AS similarity FROM r WHERE k = 1""")
 def nearest_family_cosine(t):
     return rounded(vc.nearest_family_cosine(asked(t), vc.family_centroids(refs(t))), 6)
 
 
-KNN_SQL = V_SQL + """, ds AS (SELECT q.id, r.id ref, r.label, list_distance(q.v, r.v) d FROM e q, e r WHERE q.id % 2 = 1 AND r.id % 2 = 0), kn AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, ref) k FROM ds)"""
+KNN_SQL = V_SQL + """, ds AS (SELECT q.id, r.id ref, r.label, list_distance(q.v, r.v) d FROM e q, e r WHERE q.label >= 6 AND r.label < 6), kn AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, ref) k FROM ds)"""
 
 
 @query("nearest_references", f"WITH {KNN_SQL} SELECT id, ref, label, round(d, 6) AS dist, k::INTEGER AS rank FROM kn WHERE k <= 5")
@@ -58,7 +58,7 @@ def knn_novelty(t):
     return got.select("id", F.round("mean_dist", 6).alias("mean_dist"), F.round("purity", 9).alias("purity"), "top_family")
 
 
-COV_SQL = V_SQL + """, cx AS (SELECT id, x.i, x - m x FROM x JOIN mn USING (label, i) WHERE id % 2 = 0), nn AS (SELECT count(*) n FROM e WHERE id % 2 = 0),
+COV_SQL = V_SQL + """, cx AS (SELECT id, x.i, x - m x FROM x JOIN mn USING (label, i) WHERE label < 6), nn AS (SELECT count(*) n FROM e WHERE label < 6),
 cv AS (SELECT a.i, b.i j, sum(a.x * b.x) / max(n) s FROM cx a JOIN cx b USING (id), nn GROUP BY 1, 2), q AS (SELECT sum(z * z) q FROM (SELECT id, sum(x * x) z FROM cx GROUP BY 1)),
 w AS (SELECT sum(s) FILTER (i = j) tr, sum(s * s) ss, count(*) FILTER (i = j) p FROM cv)"""
 
@@ -98,8 +98,8 @@ def whitening(t):
     return got.select("id", F.posexplode("vec").alias("i", "x")).select("id", "i", F.round("x", 6).alias("x"))
 
 
-ENV_SQL = V_SQL + """, dd AS (SELECT e.id, ce.label, round(list_distance(v, c), 6) d, row_number() OVER (PARTITION BY e.id ORDER BY list_distance(v, c), ce.label) k FROM e, ce),
-mb AS (SELECT e.id, e.label, round(list_distance(v, c), 6) d FROM e JOIN ce USING (label) WHERE id % 2 = 0), ca AS (SELECT id, label, d FROM dd WHERE k = 1 AND id % 2 = 1)"""
+ENV_SQL = V_SQL + """, dd AS (SELECT e.id, e.label lab, ce.label, round(list_distance(v, c), 6) d, row_number() OVER (PARTITION BY e.id ORDER BY list_distance(v, c), ce.label) k FROM e, ce),
+mb AS (SELECT e.id, e.label, round(list_distance(v, c), 6) d FROM e JOIN ce USING (label)), ca AS (SELECT id, label, d FROM dd WHERE k = 1 AND lab >= 6)"""
 
 
 def distances(t):
@@ -129,9 +129,9 @@ def null_envelope(t):
 
 
 @query("label_variants", f"""
-WITH e AS (SELECT vec_id id, label, embedding::DOUBLE[] v FROM embeddings), l AS (SELECT id, v, 'drop' variant, label FROM e WHERE label <> 3 UNION ALL SELECT id, v, 'merge', CASE WHEN label = 4 THEN 5 ELSE label END FROM e),
-x AS (SELECT id, variant, label, unnest(v) x, generate_subscripts(v, 1) i FROM l WHERE id % 2 = 0), m AS (SELECT variant, label, i, avg(x) m FROM x GROUP BY 1, 2, 3), n AS (SELECT variant, label, sqrt(sum(m * m)) n FROM m GROUP BY 1, 2),
-c AS (SELECT variant, label, list(m / n ORDER BY i) c FROM m JOIN n USING (variant, label) GROUP BY 1, 2), s AS (SELECT variant, id, c.label, row_number() OVER (PARTITION BY variant, id ORDER BY list_cosine_similarity(v, c) DESC, c.label) k FROM e, c WHERE id % 2 = 1)
+WITH e AS (SELECT vec_id id, label, embedding::DOUBLE[] v FROM embeddings), l AS (SELECT id, v, 'drop' variant, label FROM e WHERE label <> 3 AND label < 6 UNION ALL SELECT id, v, 'merge', CASE WHEN label = 4 THEN 5 ELSE label END FROM e WHERE label < 6),
+x AS (SELECT id, variant, label, unnest(v) x, generate_subscripts(v, 1) i FROM l), m AS (SELECT variant, label, i, avg(x) m FROM x GROUP BY 1, 2, 3), n AS (SELECT variant, label, sqrt(sum(m * m)) n FROM m GROUP BY 1, 2),
+c AS (SELECT variant, label, list(m / n ORDER BY i) c FROM m JOIN n USING (variant, label) GROUP BY 1, 2), s AS (SELECT variant, id, c.label, row_number() OVER (PARTITION BY variant, id ORDER BY list_cosine_similarity(v, c) DESC, c.label) k FROM e, c WHERE e.label >= 6)
 SELECT variant, id, label AS family FROM s WHERE k = 1""")
 def label_variants(t):
     r = refs(t)
@@ -141,8 +141,8 @@ def label_variants(t):
 
 
 HALF_SQL = V_SQL + """, hv AS (SELECT id, label, v[1:32] a, v[33:64] b FROM e), hc AS (SELECT label, c[1:32] a, c[33:64] b FROM ce),
-ra AS (SELECT hv.id, hc.label, row_number() OVER (PARTITION BY hv.id ORDER BY list_cosine_similarity(hv.a, hc.a) DESC, hc.label) k FROM hv, hc WHERE id % 2 = 1),
-rb AS (SELECT hv.id, hc.label, row_number() OVER (PARTITION BY hv.id ORDER BY list_cosine_similarity(hv.b, hc.b) DESC, hc.label) k FROM hv, hc WHERE id % 2 = 1)"""
+ra AS (SELECT hv.id, hc.label, row_number() OVER (PARTITION BY hv.id ORDER BY list_cosine_similarity(hv.a, hc.a) DESC, hc.label) k FROM hv, hc WHERE hv.label >= 6),
+rb AS (SELECT hv.id, hc.label, row_number() OVER (PARTITION BY hv.id ORDER BY list_cosine_similarity(hv.b, hc.b) DESC, hc.label) k FROM hv, hc WHERE hv.label >= 6)"""
 
 
 def half(df, start):
@@ -158,20 +158,20 @@ def model_disagreement(t):
 
 
 @query("leave_in_out_novelty", f"""
-WITH {V_SQL}, s AS (SELECT id, ce.label, list_distance(v, c) d FROM e, ce WHERE id % 2 = 1), w AS (SELECT id, label, d, row_number() OVER (PARTITION BY id ORDER BY d, label) k FROM s), o AS (SELECT id, label, d, row_number() OVER (PARTITION BY id ORDER BY d, label) k FROM s WHERE label <> 7)
+WITH {V_SQL}, s AS (SELECT id, ce.label, list_distance(v, c) d FROM e, ce WHERE e.label >= 6), w AS (SELECT id, label, d, row_number() OVER (PARTITION BY id ORDER BY d, label) k FROM s), o AS (SELECT id, label, d, row_number() OVER (PARTITION BY id ORDER BY d, label) k FROM s WHERE label <> 4)
 SELECT w.id, o.label AS before, w.label AS after, round(w.d - o.d, 6) AS delta, w.label <> o.label AS flipped FROM w JOIN o USING (id) WHERE w.k = 1 AND o.k = 1""")
 def leave_in_out_novelty(t):
     ce = cut(vc.family_centroids(refs(t)).select(F.col("label").alias("ref"), "label", "vec"))
     q = asked(t)
     pick = lambda c: vc.nearest(q, c, 1).select("id", F.col("label").alias("family"), F.col("dist").alias("novelty"))
-    return rounded(vc.assignment_change(pick(ce.where("label <> 7")), pick(ce)), 6)
+    return rounded(vc.assignment_change(pick(ce.where("label <> 4")), pick(ce)), 6)
 
 
 @query("concat_fusion", """
-WITH e AS (SELECT vec_id id, embedding::DOUBLE[] v FROM embeddings), n AS (SELECT id, v, sqrt(list_dot_product(v[1:32], v[1:32])) a, sqrt(list_dot_product(v[33:64], v[33:64])) b FROM e), x AS (SELECT id, unnest(v) x, generate_subscripts(v, 1) i, a, b FROM n)
-SELECT id, (i - 1)::INTEGER AS i, round(x / CASE WHEN i <= 32 THEN a ELSE b END, 6) AS x FROM x WHERE id % 3 > 0""")
+WITH e AS (SELECT vec_id id, label, embedding::DOUBLE[] v FROM embeddings), n AS (SELECT id, label, v, sqrt(list_dot_product(v[1:32], v[1:32])) a, sqrt(list_dot_product(v[33:64], v[33:64])) b FROM e), x AS (SELECT id, label, unnest(v) x, generate_subscripts(v, 1) i, a, b FROM n)
+SELECT id, (i - 1)::INTEGER AS i, round(x / CASE WHEN i <= 32 THEN a ELSE b END, 6) AS x FROM x WHERE label <> 3""")
 def concat_fusion(t):
-    got = vc.concat_fusion(half(every(t), 1), half(every(t).where("id % 3 > 0"), 33))
+    got = vc.concat_fusion(half(every(t), 1), half(every(t).where("label <> 3"), 33))
     return got.select("id", F.posexplode("vec").alias("i", "x")).select("id", "i", F.round("x", 6).alias("x"))
 
 

@@ -30,16 +30,20 @@ def local_session(app: str = "evidara", cpus: int | None = None, memory: str = "
     return spark
 
 
+_own_dir: str | None = None
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it."""
+    """The folder every executor can reach, as the session names it; a local session
+    that names none gets one of its own."""
+    global _own_dir
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if path:
         return path
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set(CHECKPOINT_CONF, path)
-    return path
+    _own_dir = _own_dir or tempfile.mkdtemp(prefix="run-")
+    return _own_dir
 
 
 def cut(df: DataFrame) -> DataFrame:
