@@ -66,7 +66,7 @@ def with_range(df: DataFrame, keys: Sequence[str], ranges: int | None = None, na
     """
     keys = list(keys)
     limit = ranges or range_limit(df)
-    sample = df.select(*keys, F.xxhash64(*keys).alias("__h")).orderBy("__h").limit(limit * SAMPLE_PER_RANGE)
+    sample = df.select(*keys, F.xxhash64(*keys).alias("__key_hash")).orderBy("__key_hash").limit(limit * SAMPLE_PER_RANGE)
     seen = sample.agg(
         F.sort_array(F.collect_list(F.struct(*keys))).alias("ks"), F.max("__key_hash").alias("h")
     ).first()
