@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from evidara.operators import fusion as fu
 from evidara.ordering import Scan, percentiles, positions, ranked, row_numbers, running
+from evidara.graph import components
 from evidara.session import cut
 
 
@@ -278,25 +279,10 @@ def pair_correlations(long: DataFrame, min_n: int = 3) -> DataFrame:
     return got.select("a", "b", "n", rho.alias("rho"))
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """(node, component): smallest node reachable over ``edges`` (a, b).
-
-    Labels move to the smallest neighbour label and then jump to the label of their
-    label, so the number of rounds grows with the logarithm of the longest chain.
-    """
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = cut(nodes.select("node", F.col("node").alias("c")))
-    for _ in range(max_rounds):
-        near = both.join(label.select(F.col("node").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("m"))
-        moved = label.join(near.withColumnRenamed("a", "node"), "node", "left").select(
-            "node", F.col("c").alias("old"), F.least("c", F.coalesce("m", F.col("c"))).alias("c")
-        )
-        hop = moved.select(F.col("node").alias("c"), F.col("c").alias("c2"))
-        moved = cut(moved.join(hop, "c", "left").select("node", "old", F.least("c", F.coalesce("c2", F.col("c"))).alias("c")))
-        if moved.where("c <> old").isEmpty():
-            return moved.select("node", F.col("c").alias("component"))
-        label = moved.select("node", "c")
-    raise RuntimeError(f"labels still move after {max_rounds} rounds; raise max_rounds")
+def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, component): smallest node reachable over ``edges`` (a, b)."""
+    found = components(edges).withColumnRenamed("node", "__n").withColumnRenamed("component", "__c")
+    return nodes.join(found, F.col("node") == F.col("__n"), "left").select("node", F.coalesce("__c", "node").alias("component"))
 
 
 def topk_separation(scores: DataFrame, k: int, key: str = "scenario") -> DataFrame:
