@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from evidara.llm.minhash import near_duplicates
+from evidara.llm.substring import removal_digests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,10 +31,10 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
 @query("op4_minhash_near_dedup", """
     with recursive w as (
       select doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x20\x09-\x0D]+'), x -> x <> '') as ws from documents),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
     s as (
       select doc_id, case when len(ws) = 0 then [] when len(ws) < 4 then [array_to_string(ws, ' ')]
-        else list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' '))) end as sh from w),
+        else list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) end as sh from w),
     n as (select doc_id, coalesce(len(sh), 0) as n from s),
     e as (select doc_id, unnest(sh) as g from s),
     p as (
@@ -47,3 +48,20 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
 """)
 def op4(spark: SparkSession, path: str) -> DataFrame:
     return near_duplicates(table(spark, path, "documents"), k=4)
+
+
+@query("op8_substring_dedup", """
+    with w as (
+      select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+    win as (
+      select doc_id, i, array_to_string(ws[i:i + 12], ' ') as g
+      from (select doc_id, ws, unnest(range(1, len(ws) - 11)) as i from w where len(ws) >= 13)),
+    f as (select g, min(doc_id) as m from win group by g),
+    d as (select win.doc_id, i from win join f using (g) where m < win.doc_id),
+    c as (select doc_id, list_distinct(flatten(list(range(i, i + 13)))) as p from d group by doc_id)
+    select doc_id, len(ws) as n_words, coalesce(len(p), 0) as n_removed,
+      sha256(array_to_string(case when p is null then ws else list_filter(ws, lambda x, i: not list_contains(p, i)) end, ' ')) as kept_sha256
+    from w left join c using (doc_id)
+""")
+def op8(spark: SparkSession, path: str) -> DataFrame:
+    return removal_digests(table(spark, path, "documents"))
