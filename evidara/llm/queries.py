@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from evidara.llm import substring, suffixes
 from evidara.llm.minhash import near_duplicates
-from evidara.llm.substring import removal_digests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,4 +64,25 @@ def op4(spark: SparkSession, path: str) -> DataFrame:
     from w left join c using (doc_id)
 """)
 def op8(spark: SparkSession, path: str) -> DataFrame:
-    return removal_digests(table(spark, path, "documents"))
+    return substring.removal_digests(table(spark, path, "documents"))
+
+
+@query("op7_suffix_array_dedup", """
+    with b as (
+      select row_number() over () as rid, doc_id, encode(coalesce(text, '')) as t, octet_length(encode(coalesce(text, ''))) as n from documents),
+    w as (select rid, i, md5(t[i:i + 399]) as h from (select rid, t, unnest(range(1, n - 398)) as i from b where n >= 400)),
+    d as (select h from w group by h having count(*) > 1),
+    s as (select rid, i, lag(i) over (partition by rid order by i) as prev from w where h in (select h from d)),
+    g as (select rid, i, sum(case when prev is null or i > prev + 400 then 1 else 0 end) over (partition by rid order by i) as run from s),
+    m as (select rid, run, min(i) as a, max(i) + 400 as z from g group by rid, run),
+    e as (select rid, a, z, coalesce(lag(z) over (partition by rid order by a), 1) as from_, row_number() over (partition by rid order by a desc) = 1 as last from m),
+    k as (
+      select e.rid, count(*) as n_spans, sum(z - a) as n_removed,
+        string_agg(case when a > from_ then hex(t[from_:a - 1]) else '' end || case when last and z <= n then hex(t[z:n]) else '' end, '' order by a) as hx
+      from e join b using (rid) group by e.rid)
+    select doc_id, n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+      sha256(case when hx is null then t else unhex(hx) end) as kept_sha256
+    from b left join k using (rid)
+""")
+def op7(spark: SparkSession, path: str) -> DataFrame:
+    return suffixes.removal_digests(table(spark, path, "documents"))
