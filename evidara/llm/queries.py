@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from evidara.llm import substring, suffixes
 from evidara.llm.minhash import near_duplicates
+from evidara.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +87,8 @@ def op8(spark: SparkSession, path: str) -> DataFrame:
 """)
 def op7(spark: SparkSession, path: str) -> DataFrame:
     return suffixes.removal_digests(table(spark, path, "documents"))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, path: str) -> DataFrame:
+    return toxicity(table(spark, path, "documents"), table(spark, path, "labels"))
