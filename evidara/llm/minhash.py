@@ -24,6 +24,10 @@ from evidara.llm.common import WordHashes, doc_batches, gram_hashes, mix, signed
 BANDS, BAND_SLOTS = 28, 4
 BATCH_BYTES = 1 << 20
 ACTIVE_ROWS = 40_000
+#: rounds in which sets without a possible partner leave the rest join
+PEELS = 3
+#: sets of up to so many shingles travel through the rest join whole
+CARRIED = 1_000
 _SEED = np.uint64(0x632BE59BD9B4E019)
 _MASK = (1 << 64) - 1
 
@@ -154,19 +158,32 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _rest_pairs(unsure: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidates (sa, sb, a, b) among ``unsure`` (same, id, c) in different components ``c``.
 
-    Two sets at the threshold share one of the first ``n - ceil(t n) + 1`` shingles of either in
-    any common order; the order is by rarity, so that common passages propose nothing.
+    Only shingles that several components hold can be common to a pair.  A set of ``n`` shingles
+    with fewer than ``t n`` of them (``t``: the threshold) has no partner and goes, which may
+    leave other shingles to one component: ``PEELS`` rounds of that.  Of the ``m`` shingles left
+    to a set, ``ceil(t n)`` are common to a pair, so two partners share one of the first
+    ``m - ceil(t n) + 1`` of either in any common order; the order is by rarity.
     """
     items = sets.join(unsure, "same").select("same", "id", "c", F.size("items").alias("n"), F.explode("items").alias("item"))
-    spread = items.groupBy("item").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    ranked = items.join(spread, "item").groupBy("same", "id", "c", "n").agg(
-        F.sort_array(F.collect_list(F.struct("df", "item", (F.col("lo") < F.col("hi")).alias("meets")))).alias("order"))
-    head = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    prefix = ranked.select("same", "id", "c", "n", F.explode(F.slice("order", F.lit(1), head)).alias("x")).where("x.meets")
-    prefix = stash(prefix.select("same", "id", "c", "n", F.col("x.item").alias("item")))
-    left = prefix.toDF("sa", "a", "ca", "na", "item")
-    right = prefix.toDF("sb", "b", "cb", "nb", "item")
-    close = (F.col("ca") < F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    for _ in range(PEELS):
+        shared = items.groupBy("item").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("df")).where("lo < hi")
+        items = items.select("same", "id", "c", "n", "item").join(shared.select("item", "df"), "item")
+        full = items.groupBy("same").agg(F.count("*").alias("m"), F.max("n").alias("n")).where(100 * F.col("m") >= percent * F.col("n"))
+        items = stash(items.join(full.select("same", "m"), "same"))
+    need = F.ceil(F.col("n") * percent / 100)
+    order = F.sort_array(F.collect_list(F.struct("df", "item")))
+    ranked = items.groupBy("same", "id", "c", "n", "m").agg(order.alias("order"))
+    head = F.slice("order", F.lit(1), (F.col("m") - need + 1).cast("int"))
+    # the shared shingles of short sets travel along, so that the join itself tells most pairs apart
+    along = F.when(F.col("n") <= CARRIED, F.transform("order", lambda x: x["item"]))
+    prefix = stash(ranked.select("same", "id", "c", "n", "m", F.explode(head).alias("x"), along.alias("all")).select(
+        "same", "id", "c", "n", "m", "x.item", "all"))
+    left = prefix.toDF("sa", "a", "ca", "na", "ma", "item", "ia")
+    right = prefix.toDF("sb", "b", "cb", "nb", "mb", "item", "ib")
+    both = F.size(F.array_intersect("ia", "ib"))
+    most = F.when(F.col("ia").isNull() | F.col("ib").isNull(), F.least("ma", "mb")).otherwise(both)
+    sizes = F.col("na") + F.col("nb")
+    close = (F.col("ca") < F.col("cb")) & ((100 + percent) * F.least("ma", "mb") >= percent * sizes) & ((100 + percent) * most >= percent * sizes)
     return left.join(right, "item").where(close).select("sa", "sb", "a", "b").distinct()
 
 
