@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from evidara.llm import substring, suffixes
+from evidara.llm.language import identify
 from evidara.llm.minhash import near_duplicates
 from evidara.llm.toxicity import toxicity
 
@@ -92,3 +93,8 @@ def op7(spark: SparkSession, path: str) -> DataFrame:
 @query("op9_toxicity")
 def op9(spark: SparkSession, path: str) -> DataFrame:
     return toxicity(table(spark, path, "documents"), table(spark, path, "labels"))
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, path: str) -> DataFrame:
+    return identify(table(spark, path, "documents"))
