@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from evidara.llm import substring, suffixes
+from evidara.llm.decontamination import contamination
 from evidara.llm.language import identify
 from evidara.llm.minhash import near_duplicates
 from evidara.llm.toxicity import toxicity
@@ -98,3 +99,8 @@ def op9(spark: SparkSession, path: str) -> DataFrame:
 @query("op2_language_id")
 def op2(spark: SparkSession, path: str) -> DataFrame:
     return identify(table(spark, path, "documents"))
+
+
+@query("op10_decontamination")
+def op10(spark: SparkSession, path: str) -> DataFrame:
+    return contamination(table(spark, path, "documents"), table(spark, path, "benchmark"))
