@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +14,6 @@ from evidara.session import shared_dir
 
 #: ids are sent to every task only up to this many (16 MB of longs); beyond it a shuffled join does the same
 BROADCAST_IDS = 2_000_000
-VOCABULARY_MEMO = 400_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -48,18 +46,42 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-class WordHashes(dict):
-    """64-bit hash of each word (bytes); remembers words within a bound."""
+class _ByteTables:
+    """Fixed random numbers for bytes; white space and edge punctuation."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= VOCABULARY_MEMO:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+    def __init__(self) -> None:
+        self.number = np.random.default_rng(7).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.folded = self.number.copy()
+        self.folded[ord("A") : ord("Z") + 1] = self.number[ord("a") : ord("z") + 1]
+        self.space = np.zeros(256, bool)
+        self.space[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def word_hashes(words: list[bytes], memo: WordHashes) -> np.ndarray:
-    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+BYTES = _ByteTables()
+
+
+def word_line(rows: list[bytes], fold: bool = False, edges: bytes = b"") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all rows in one line: their hashes, the row of each, and the first word of each row.
+
+    A word is a run of other bytes than ASCII white space; ``fold`` hashes A-Z as a-z; ``edges``
+    are bytes that do not count at the ends of a word that has others."""
+    data = np.frombuffer(b" ".join([b"", *rows, b""]), np.uint8)
+    space = BYTES.space[data]
+    turn = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, end = turn[::2], turn[1::2]
+    row = np.searchsorted(np.cumsum([1, *(len(r) + 1 for r in rows)]), start, "right") - 1
+    if edges:
+        table = np.ones(256, bool)
+        table[list(edges)] = False
+        core = np.flatnonzero(table[data])
+        first, last = np.searchsorted(core, start), np.searchsorted(core, end) - 1
+        some = last >= first
+        start, end = start.copy(), end.copy()
+        kept = table[data[start]] & table[data[end - 1]]
+        cut = some & ~kept
+        start[cut], end[cut] = core[first[cut]], core[last[cut]] + 1
+    hashes = span_hashes((BYTES.folded if fold else BYTES.number)[data], start, end)
+    return hashes, row, np.searchsorted(row, np.arange(len(rows)))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -79,6 +101,15 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix(h)
 
 
+def span_hashes(items: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the items in each span, the same wherever the span stands: differences of a running
+    sum of items times powers of an odd number, divided by the power at the start."""
+    powers = np.cumprod(np.full(len(items) + 1, ODD)) * np.uint64(pow(int(ODD), -1, 1 << 64))
+    inverse = np.cumprod(np.full(len(items) + 1, np.uint64(pow(int(ODD), -1, 1 << 64)))) * ODD
+    total = np.r_[np.uint64(0), np.cumsum(items * powers[:-1])]
+    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
 def window_runs(grams: np.ndarray, doc: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Group the windows of ``length`` items by their owner: the leftmost of the smallest
     ``k``-gram hashes inside the window.  Equal windows have equal owners at equal offsets,

@@ -12,11 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidara.llm.common import VOCABULARY_MEMO, doc_batches, mix, split_by_ids, stash
+from evidara.llm.common import doc_batches, mix, split_by_ids, stash, word_line
 
 #: masks of weight 5; with up to one substitution in four tokens a passage of 16 tokens is hit with high probability
 SEEDS = ("11111", "1101011", "110010011", "1010110001")
@@ -29,22 +28,7 @@ MISMATCH = -2.0
 SHARD_TOKENS = 1_000_000
 BATCH_BYTES = 1 << 20
 FILTER_BITS = 22
-_EDGES = b".,;:!?\"'()[]{}*#%&$-_<>|"
-
-
-class TokenHashes(dict):
-    """Hash of a word without case (A-Z) and edge punctuation; remembers words within a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= VOCABULARY_MEMO:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.lower().strip(_EDGES) or word)
-        return value
-
-
-def tokens(text: bytes, memo: TokenHashes) -> np.ndarray:
-    words = text.split()
-    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+EDGES = b".,;:!?\"'()[]{}*#%&$-_<>|"
 
 
 def seed_hashes(t: np.ndarray, mask: str) -> np.ndarray:
@@ -62,9 +46,9 @@ class SeedTable:
     """Hashes of a shard of benchmark items for every mask."""
 
     def __init__(self, items: list[tuple[int, bytes]]):
-        memo = TokenHashes()
         self.ids = [i for i, _ in items]
-        self.items = [tokens(t, memo) for _, t in items]
+        line, _, begin = word_line([t for _, t in items], True, EDGES)
+        self.items = np.split(line, begin[1:]) if items else []
         shortest = min(len(m) for m in SEEDS)
         # an item too short for every mask is looked for as a whole
         masks = [*SEEDS, *("1" * n for n in sorted({len(t) for t in self.items if 0 < len(t) < shortest}))]
@@ -119,15 +103,14 @@ def judge(item: np.ndarray, text: np.ndarray, first: int) -> tuple[int, int, int
 
 def _find(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, seeds = TokenHashes(), table.value
+        seeds = table.value
         for batch in batches:
             for start, rows in doc_batches(batch, "text", BATCH_BYTES):
-                parts = [tokens(r, memo) for r in rows]
-                begin = np.cumsum([0, *(len(p) for p in parts)])
-                doc = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
+                line, doc, begin = word_line(rows, True, EDGES)
+                end = np.r_[begin[1:], len(line)]
                 found = []
-                for d, i, at in seeds.hits(np.concatenate(parts), doc).tolist():
-                    got = judge(seeds.items[i], parts[d], at - int(begin[d]))
+                for d, i, at in seeds.hits(line, doc).tolist():
+                    got = judge(seeds.items[i], line[begin[d] : end[d]], at - int(begin[d]))
                     if got:
                         found.append((start + d, seeds.ids[i], *got))
                 if found:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidara.graph import components
-from evidara.llm.common import WordHashes, doc_batches, gram_hashes, mix, signed, split_by_ids, stash, word_hashes
+from evidara.llm.common import doc_batches, gram_hashes, mix, signed, split_by_ids, stash, word_line
 
 #: with 4 slots a band and 28 bands a pair at similarity 0.8 shares no band with probability 4e-7
 BANDS, BAND_SLOTS = 28, 4
@@ -32,12 +32,14 @@ _SEED = np.uint64(0x632BE59BD9B4E019)
 _MASK = (1 << 64) - 1
 
 
-def shingles(text: bytes, k: int, memo: WordHashes) -> np.ndarray:
-    """Distinct hashes of the ``k``-word shingles, sorted; a shorter text is one shingle."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    return np.unique(gram_hashes(word_hashes(words, memo), min(k, len(words))))
+def shingle_sets(rows: list[bytes], k: int) -> list[np.ndarray]:
+    """Distinct hashes of the ``k``-word shingles of each text, sorted; a shorter text is one shingle."""
+    hashes, _, begin = word_line(rows, fold=True)
+    grams = gram_hashes(hashes, k)
+    out = []
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(hashes)]):
+        out.append(np.unique(grams[a : b - k + 1]) if b - a >= k else gram_hashes(hashes[a:b], b - a) if b > a else hashes[:0])
+    return out
 
 
 def _draw(h: np.ndarray, step: int) -> np.ndarray:
@@ -103,10 +105,9 @@ def estimate(a: np.ndarray, b: np.ndarray) -> float:
 
 def _sign(k: int, bands: int, band_slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
             for start, rows in doc_batches(batch, "text", BATCH_BYTES):
-                sets = [shingles(t, k, memo) for t in rows]
+                sets = shingle_sets(rows, k)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 band = np.zeros((len(rows), bands), np.uint64)
                 if full:
@@ -127,10 +128,9 @@ def _sign(k: int, bands: int, band_slots: int):
 
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
             for _, rows in doc_batches(batch, "text", BATCH_BYTES):
-                sets = [shingles(t, k, memo) for t in rows]
+                sets = shingle_sets(rows, k)
                 ends = np.r_[0, np.cumsum([len(s) for s in sets])]
                 yield pa.record_batch({
                     "same": pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets], pa.string()),

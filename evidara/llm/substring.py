@@ -21,7 +21,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidara.llm.common import WordHashes, doc_batches, gram_hashes, merge_spans, signed, split_by_ids, stash, window_runs, word_hashes
+from evidara.llm.common import (
+    doc_batches, gram_hashes, merge_spans, signed, span_hashes, split_by_ids, stash, window_runs, word_line,
+)
 
 GRAM = 4
 BATCH_BYTES = 1 << 20
@@ -105,21 +107,12 @@ class SuffixAutomaton:
         return out
 
 
-def _owned_runs(rows: list[bytes], length: int, memo: WordHashes):
-    """Document, first window, windows, owner hash and content hash of every run; the words of all rows in line."""
-    counts, words = [], []
-    for t in rows:
-        w = t.split()
-        counts.append(len(w))
-        words += w
-    hashes = word_hashes(words, memo)
-    doc = np.repeat(np.arange(len(rows)), counts)
+def _owned_runs(rows: list[bytes], length: int):
+    """Row, first window, windows and owner hash of every run; the rows' first words; all word hashes in line."""
+    hashes, row, begin = word_line(rows)
     grams = gram_hashes(hashes, GRAM)
-    first, n, owner = window_runs(grams, doc, length, GRAM)
-    raw = hashes.tobytes()
-    content = np.fromiter((xxhash.xxh3_64_intdigest(raw[8 * a : 8 * (a + m + length - 1)]) for a, m in zip(first.tolist(), n.tolist())), np.uint64, len(first))
-    begin = np.r_[0, np.cumsum(counts)[:-1]].astype(np.int64) if counts else np.empty(0, np.int64)
-    return doc[first], first, n, grams[owner], content, begin, counts, words, hashes
+    first, n, owner = window_runs(grams, row, length, GRAM)
+    return row[first], first, n, grams[owner], begin, hashes
 
 
 def row_key():
@@ -127,18 +120,29 @@ def row_key():
     return F.xxhash64("doc_id", "text").alias("key")
 
 
+def _owners(length: int):
+    """(owner, doc_id) for every run, each owner once in a slice of rows and document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for start, rows in doc_batches(batch, "text", BATCH_BYTES):
+                d, _, _, owner, _, _ = _owned_runs(rows, length)
+                yield pa.record_batch({"owner": pa.array(signed(owner)), "doc_id": pa.array(ids[start : start + len(rows)][d], pa.int64())})
+    return run
+
+
 def _runs(length: int):
+    """RUN_SCHEMA for every run: its owner, content, row, first window and windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             keys = batch.column(1).to_numpy(zero_copy_only=False)
             for start, rows in doc_batches(batch, "text", BATCH_BYTES):
                 mine, key = ids[start : start + len(rows)], keys[start : start + len(rows)]
-                d, first, n, owner, content, begin, *_ = _owned_runs(rows, length, memo)
+                d, first, n, owner, begin, hashes = _owned_runs(rows, length)
                 yield pa.record_batch({
-                    "owner": pa.array(signed(owner)), "run": pa.array(signed(content)), "doc_id": pa.array(mine[d], pa.int64()),
-                    "key": pa.array(key[d]),
+                    "owner": pa.array(signed(owner)), "run": pa.array(signed(span_hashes(hashes, first, first + n + length - 1))),
+                    "doc_id": pa.array(mine[d], pa.int64()), "key": pa.array(key[d]),
                     "at": pa.array((first - begin[d]).astype(np.int32)), "n": pa.array(n.astype(np.int32)),
                 })
     return run
@@ -157,11 +161,10 @@ def _passages(length: int):
         return pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         out: list[tuple] = []
         for batch in batches:
             for row, wanted in zip(batch.column(0), batch.column(1)):
-                h = word_hashes((row.as_py() or b"").split(), memo)
+                h = word_line([row.as_py() or b""])[0]
                 for w in wanted.as_py():
                     part = h[w["at"] : w["at"] + w["n"] + length - 1]
                     for off in range(w["n"]) if w["hot"] else (0,):
@@ -177,16 +180,27 @@ def _passages(length: int):
 
 def _match(length: int):
     def run(_, part: pd.DataFrame) -> pd.DataFrame:
+        # the shard's words as small numbers
+        sizes = [len(w) // 8 for w in part["words"]]
+        line = np.unique(np.frombuffer(b"".join(part["words"]), np.uint64), return_inverse=True)[1].tolist()
+        ends = np.cumsum(sizes).tolist()
+        strings = [line[b - n : b] for n, b in zip(sizes, ends)]
         automaton = SuffixAutomaton()
-        for words, least in zip(part["words"], part["least"]):
-            automaton.add(np.frombuffer(words, np.uint64).tolist(), least)
+        for string, least in zip(strings, part["least"].tolist()):
+            automaton.add(string, least)
         automaton.close()
         out = []
-        for owner, run_, off, least, words in part.loc[part["undecided"], ["owner", "run", "off", "least", "words"]].itertuples(index=False):
-            found = automaton.statistics(np.frombuffer(words, np.uint64).tolist(), length)
-            hit = np.array([n >= length and m < least for n, m in found[length - 1 :]])
-            edges = np.flatnonzero(np.diff(np.r_[0, hit, 0]))
-            out += [(owner, run_, off + a, b - a) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
+        facts = zip(strings, *(part[c].tolist() for c in ("undecided", "owner", "run", "off", "least")))
+        for string, undecided, owner, run_, off, least in facts:
+            if not undecided:
+                continue
+            place = None
+            for i, (n, mark) in enumerate(automaton.statistics(string, length)[length - 1 :] + [(0, None)]):
+                if n >= length and mark < least:
+                    place = i if place is None else place
+                elif place is not None:
+                    out.append((owner, run_, off + place, i - place))
+                    place = None
         return pd.DataFrame(out, columns=["owner", "run", "skip", "m"]).astype({"owner": "int64", "run": "int64", "skip": "int32", "m": "int32"})
     return run
 
@@ -198,7 +212,7 @@ def repeated_windows(docs: DataFrame, length: int = 13) -> DataFrame:
     rows = docs.where("doc_id is not null").select("doc_id", row_key(), F.col("text").cast("binary").alias("text"))
     runs = rows.mapInArrow(_runs(length), RUN_SCHEMA)
     # owners that occur in several documents, with the first of them
-    owners = runs.groupBy("owner").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    owners = rows.select("doc_id", "text").mapInArrow(_owners(length), "owner long, doc_id long").groupBy("owner").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     members = stash(runs.join(owners.select("owner", "first"), "owner"))
     distinct = stash(members.groupBy("owner", "run").agg(
         F.min(F.struct("doc_id", "key", "at")).alias("rep"), F.any_value("n").alias("n"), F.any_value("first").alias("first")))
