@@ -11,6 +11,7 @@ from evidara.llm import substring, suffixes
 from evidara.llm.decontamination import contamination
 from evidara.llm.language import identify
 from evidara.llm.minhash import near_duplicates
+from evidara.llm.mixing import mixture
 from evidara.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +105,8 @@ def op2(spark: SparkSession, path: str) -> DataFrame:
 @query("op10_decontamination")
 def op10(spark: SparkSession, path: str) -> DataFrame:
     return contamination(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
+@query("op1_mixing")
+def op1(spark: SparkSession, path: str) -> DataFrame:
+    return mixture(table(spark, path, "documents"))
