@@ -13,6 +13,7 @@ from evidara.llm.language import identify
 from evidara.llm.minhash import near_duplicates
 from evidara.llm.mixing import mixture
 from evidara.llm.toxicity import toxicity
+from evidara.llm.urls import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +111,47 @@ def op10(spark: SparkSession, path: str) -> DataFrame:
 @query("op1_mixing")
 def op1(spark: SparkSession, path: str) -> DataFrame:
     return mixture(table(spark, path, "documents"))
+
+
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+
+@query("op3_url_filter", r"""
+    with recursive rules(h, p, verdict) as (values
+      ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+    parts as (
+      select row_number() over () as rid, page_id, url, html,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^#]*)', 1) as rest from pages),
+    addr as (select *, case when contains(url, '://') then host || case when rest = '' then '/' else rest end end as address from parts),
+    raw as (
+      select address as a, host, unnest([
+        regexp_extract(regexp_extract(html, '(?i)<link[^>]*rel\s*=\s*["'']?canonical[^>]*>'), '(?i)href\s*=\s*["'']?([^"''\s>]+)', 1),
+        regexp_extract(html, '(?i)<meta[^>]*http-equiv\s*=\s*["'']?refresh[^>]*url\s*=\s*["'']?([^"''\s>]+)', 1)]) as link from addr),
+    full_ as (
+      select a, case when contains(link, '://') then link when link like '//%' then 'http:' || link when link like '/%' then 'http://' || host || link end as u
+      from raw where link <> ''),
+    edge as (
+      select distinct a, lower(regexp_extract(u, '^.*?://([^/?#]*)', 1)) ||
+        case when regexp_extract(u, '^.*?://[^/?#]*([^#]*)', 1) = '' then '/' else regexp_extract(u, '^.*?://[^/?#]*([^#]*)', 1) end as b
+      from full_ where u is not null and a is not null),
+    both_ as (select a, b from edge union select b, a from edge),
+    reach(n, m) as (select a, a from both_ union select r.n, b.b from reach r join both_ b on b.a = r.m),
+    nodes as (
+      select m, regexp_extract('http://' || m, '^.*?://([^/?#]*)', 1) as host, regexp_extract('http://' || m, '^.*?://[^/?#]*([^?#]*)', 1) as path
+      from (select distinct m from reach)),
+    said as (
+      select m, arg_max(verdict, (length(h) + length(p), length(h))) as v
+      from nodes join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by m),
+    told as (select n, bool_or(v = 'block') and not bool_or(v = 'allow') as bad from reach left join said using (m) group by n),
+    own as (
+      select rid, arg_max(h || p, (length(h) + length(p), length(h))) as rule, arg_max(verdict, (length(h) + length(p), length(h))) as v
+      from parts join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by rid)
+    select page_id, host, path, rule, coalesce(v, case when bad then 'block' else 'allow' end) as verdict
+    from addr left join own using (rid) left join told on told.n = address
+""")
+def op3(spark: SparkSession, path: str) -> DataFrame:
+    return filter_urls(table(spark, path, "pages"), URL_RULES)
