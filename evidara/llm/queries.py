@@ -12,6 +12,7 @@ from evidara.llm.decontamination import contamination
 from evidara.llm.language import identify
 from evidara.llm.minhash import near_duplicates
 from evidara.llm.mixing import mixture
+from evidara.llm.neighbours import nearest
 from evidara.llm.toxicity import toxicity
 from evidara.llm.urls import filter_urls
 
@@ -155,3 +156,17 @@ URL_RULES = [
 """)
 def op3(spark: SparkSession, path: str) -> DataFrame:
     return filter_urls(table(spark, path, "pages"), URL_RULES)
+
+
+@query("op5_nearest_neighbours", """
+    with v as (
+      select vec_id, embedding::double[] as e from embeddings
+      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    s as (
+      select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
+      from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
+    r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+    select query_id, rank, vec_id, score from r where rank <= 20
+""")
+def op5(spark: SparkSession, path: str) -> DataFrame:
+    return nearest(table(spark, path, "embeddings"))
