@@ -15,6 +15,7 @@ from evidara.llm.mixing import mixture
 from evidara.llm.neighbours import nearest
 from evidara.llm.toxicity import toxicity
 from evidara.llm.urls import filter_urls
+from evidara.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,3 +171,20 @@ def op3(spark: SparkSession, path: str) -> DataFrame:
 """)
 def op5(spark: SparkSession, path: str) -> DataFrame:
     return nearest(table(spark, path, "embeddings"))
+
+
+_BASE32 = " || ".join(
+    f"translate(lpad(to_base(('0x' || substr(h, {i}, 10))::bigint, 32), 8, '0'), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
+    for i in (1, 11, 21, 31))
+
+
+@query("op6_warc", f"""
+    with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+    d as (select page_id, octet_length(b) as n, sha1(b) as h from p),
+    m as (select h, n, max(page_id) as head from d group by h, n)
+    select page_id, n as payload_bytes, {_BASE32} as payload_digest,
+      case when page_id < head then 'revisit' else 'response' end as record_type, case when page_id < head then head end as refers_to
+    from d join m using (h, n)
+""")
+def op6(spark: SparkSession, path: str) -> DataFrame:
+    return archive_round_trip(table(spark, path, "pages"))
