@@ -262,7 +262,7 @@ def _cut(length: int, digest: bool):
             names = [n for n in batch.schema.names if n not in ("text", "__spans")]
             yield pa.record_batch([batch.column(batch.schema.get_field_index(n)) for n in names] + [
                 pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string() if digest else pa.binary())],
-                names=[*names, "n_words", "n_removed", "kept"])
+                names=[*names, "__words", "__removed", "__kept"])
     return run
 
 
@@ -289,11 +289,11 @@ def removal_digests(docs: DataFrame, length: int = 13) -> DataFrame:
     docs = docs.select("doc_id", "text")
     touched, clean = _parts(docs, length)
     none = F.lit(None).cast("array<struct<at:int,n:int>>")
-    schema = "doc_id long, n_words long, n_removed long, kept string"
+    schema = "doc_id long, __words long, __removed long, __kept string"
 
     def done(part: DataFrame) -> DataFrame:
         part = part.select("doc_id", F.col("text").cast("binary").alias("text"), "__spans")
-        return part.mapInArrow(_cut(length, True), schema).withColumnRenamed("kept", "kept_sha256")
+        return part.mapInArrow(_cut(length, True), schema).toDF("doc_id", "n_words", "n_removed", "kept_sha256")
 
     return done(touched).union(done(clean.withColumn("__spans", none)))
 
@@ -305,9 +305,9 @@ def remove_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
     touched, clean = _parts(docs, length)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     part = touched.withColumn("__old", F.col("text")).withColumn("text", F.col("text").cast("binary"))
-    cut = part.mapInArrow(_cut(length, False), ", ".join(x for x in (fields, "`__old` string, n_words long, n_removed long, kept binary") if x))
-    changed = F.col("n_removed") > 0
-    cut = cut.withColumn("text", F.when(changed, F.col("kept").cast("string")).otherwise(F.col("__old")))
+    cut = part.mapInArrow(_cut(length, False), ", ".join(x for x in (fields, "`__old` string, __words long, __removed long, __kept binary") if x))
+    changed = F.col("__removed") > 0
+    cut = cut.withColumn("text", F.when(changed, F.col("__kept").cast("string")).otherwise(F.col("__old")))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return cut.select(*docs.columns).union(clean.select(*docs.columns))

@@ -55,7 +55,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     zero = np.arange(0, n, 3)
     wide = np.int64(len(ranked) + 1)
     key0 = _pair(t[zero], rank[zero + 1], wide)
-    zero = zero[np.argsort(key0, kind="stable")]
+    zero = zero[np.argsort(key0)]
     # merge: how many sampled suffixes of each class stand before a remaining one
     ranked = ranked[ranked < n]
     first, second = ranked[ranked % 3 == 1], ranked[ranked % 3 == 2]
@@ -77,7 +77,7 @@ def _pair(a: np.ndarray, b: np.ndarray, base: np.int64) -> np.ndarray:
 
 def _names(key: np.ndarray) -> np.ndarray:
     """Rank of each key among the distinct keys, from 1."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     new = np.r_[True, np.diff(key[order]) != 0]
     out = np.empty(len(key), np.int64)
     out[order] = np.cumsum(new)
