@@ -134,7 +134,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
 
 
 def _search(centre: np.ndarray, k: int):
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(_, left, right):
         out = []
         if len(left) and len(right):
             vectors = np.stack(left["embedding"].to_list()).astype(np.float64)

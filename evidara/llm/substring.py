@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evidara.llm.common import (
     doc_batches, gram_hashes, merge_spans, signed, span_hashes, split_by_ids, stash, window_runs, word_line,
@@ -179,7 +180,7 @@ def _passages(length: int):
 
 
 def _match(length: int):
-    def run(_, part: pd.DataFrame) -> pd.DataFrame:
+    def run(_, part):
         # the shard's words as small numbers
         sizes = [len(w) // 8 for w in part["words"]]
         line = np.unique(np.frombuffer(b"".join(part["words"]), np.uint64), return_inverse=True)[1].tolist()
@@ -303,9 +304,10 @@ def remove_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
     kept words joined by single blanks, all others stay as they are.  ``n_chars``, where there is
     such a column, is counted anew for changed texts."""
     touched, clean = _parts(docs, length)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    added = [("__old", T.StringType()), ("__words", T.LongType()), ("__removed", T.LongType()), ("__kept", T.BinaryType())]
+    schema = T.StructType([f for f in docs.schema if f.name != "text"] + [T.StructField(n, t) for n, t in added])
     part = touched.withColumn("__old", F.col("text")).withColumn("text", F.col("text").cast("binary"))
-    cut = part.mapInArrow(_cut(length, False), ", ".join(x for x in (fields, "`__old` string, __words long, __removed long, __kept binary") if x))
+    cut = part.mapInArrow(_cut(length, False), schema)
     changed = F.col("__removed") > 0
     cut = cut.withColumn("text", F.when(changed, F.col("__kept").cast("string")).otherwise(F.col("__old")))
     if "n_chars" in docs.columns:

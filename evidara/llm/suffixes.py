@@ -184,7 +184,7 @@ def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
 
 
 def _sort(length: int):
-    def run(_, part: pd.DataFrame) -> pd.DataFrame:
+    def run(_, part):
         out = []
         hits = repeated_starts(part["data"].tolist(), length)
         for owner, run_, off, undecided, hit in zip(part["owner"], part["run"], part["off"], part["undecided"], hits):
