@@ -24,8 +24,6 @@ from evidara.llm.common import doc_batches, gram_hashes, mix, signed, split_by_i
 BANDS, BAND_SLOTS = 28, 4
 BATCH_BYTES = 1 << 20
 ACTIVE_ROWS = 40_000
-#: rounds in which sets without a possible partner leave the rest join
-PEELS = 3
 #: sets of up to so many shingles travel through the rest join whole
 CARRIED = 1_000
 _SEED = np.uint64(0x632BE59BD9B4E019)
@@ -159,25 +157,21 @@ def _rest_pairs(unsure: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidates (sa, sb, a, b) among ``unsure`` (same, id, c) in different components ``c``.
 
     Only shingles that several components hold can be common to a pair.  A set of ``n`` shingles
-    with fewer than ``t n`` of them (``t``: the threshold) has no partner and goes, which may
-    leave other shingles to one component: ``PEELS`` rounds of that.  Of the ``m`` shingles left
-    to a set, ``ceil(t n)`` are common to a pair, so two partners share one of the first
-    ``m - ceil(t n) + 1`` of either in any common order; the order is by rarity.
+    with fewer than ``t n`` of them (``t``: the threshold) has no partner and goes.  Of the ``m``
+    shingles left to a set, ``ceil(t n)`` are common to a pair, so two partners share one of the
+    first ``m - ceil(t n) + 1`` of either in any common order; the order is by rarity.
     """
-    items = sets.join(unsure, "same").select("same", "id", "c", F.size("items").alias("n"), F.explode("items").alias("item"))
-    for _ in range(PEELS):
-        shared = items.groupBy("item").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("df")).where("lo < hi")
-        items = items.select("same", "id", "c", "n", "item").join(shared.select("item", "df"), "item")
-        full = items.groupBy("same").agg(F.count("*").alias("m"), F.max("n").alias("n")).where(100 * F.col("m") >= percent * F.col("n"))
-        items = stash(items.join(full.select("same", "m"), "same"))
-    need = F.ceil(F.col("n") * percent / 100)
+    base = stash(sets.join(unsure, "same").select(F.xxhash64("same").alias("k"), "same", "id", "c", F.size("items").alias("n"), "items"))
+    items = base.select("k", "c", F.explode("items").alias("item"))
+    shared = items.groupBy("item").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").cast("int").alias("df")).where("lo < hi")
     order = F.sort_array(F.collect_list(F.struct("df", "item")))
-    ranked = items.groupBy("same", "id", "c", "n", "m").agg(order.alias("order"))
-    head = F.slice("order", F.lit(1), (F.col("m") - need + 1).cast("int"))
+    left = items.select("k", "item").join(shared.select("item", "df"), "item").groupBy("k").agg(order.alias("order"))
+    ranked = base.drop("items").join(left, "k").withColumn("m", F.size("order")).where(100 * F.col("m") >= percent * F.col("n"))
+    head = F.slice("order", F.lit(1), (F.col("m") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
     # the shared shingles of short sets travel along, so that the join itself tells most pairs apart
     along = F.when(F.col("n") <= CARRIED, F.transform("order", lambda x: x["item"]))
-    prefix = stash(ranked.select("same", "id", "c", "n", "m", F.explode(head).alias("x"), along.alias("all")).select(
-        "same", "id", "c", "n", "m", "x.item", "all"))
+    kept = ["same", "id", "c", "n", "m"]
+    prefix = stash(ranked.select(*kept, F.explode(head).alias("x"), along.alias("all")).select(*kept, "x.item", "all"))
     left = prefix.toDF("sa", "a", "ca", "na", "ma", "item", "ia")
     right = prefix.toDF("sb", "b", "cb", "nb", "mb", "item", "ib")
     both = F.size(F.array_intersect("ia", "ib"))
