@@ -107,8 +107,9 @@ def probabilities(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
     f = f.withColumn("__c", F.when((F.col("__f") > 0) & (c * F.col("__f") <= 1), c))
     c = F.max(F.struct(F.col("__f").alias("f"), F.col("__c").alias("c"))).over(Window.partitionBy("__all", F.col("__c").isNotNull()))["c"]
     f = f.withColumn("__pick", F.max(F.when(F.col("__c").isNotNull(), c)).over(every))
-    p = F.when(F.col("__f") > 0, F.least(F.lit(1.0), F.coalesce(F.greatest(F.col("__pick"), F.lit(0.0)) * F.col("__f"), F.lit(1.0))))
-    return f.select(*cells.columns, F.coalesce(p, F.lit(0.0)).alias("probability"))
+    shared = F.least(F.lit(1.0), F.greatest(F.col("__pick"), F.lit(0.0)) * F.col("__f"))
+    p = F.when(F.col("__f") <= 0, 0.0).when(F.col("__pick").isNull(), 1.0).otherwise(shared)
+    return f.select(*cells.columns, p.alias("probability"))
 
 
 def draw(doc_id: Column, seed: int = SEED) -> Column:
