@@ -15,7 +15,8 @@ from evidara.session import cut
 def merge_channels(df: DataFrame, channels: Mapping[str, DataFrame | None], id_col: str = "id") -> DataFrame:
     """Left-join optional channels; ``has_<name>_data`` tells which ids each one covers.
     Columns of an earlier join are dropped first, so the join can be repeated; a missing
-    channel adds the flag only.  One row per id and channel is kept."""
+    channel adds the flag only.  Of several rows of one id the last in the order of their columns is
+    taken whole."""
     out = df
     for name, channel in channels.items():
         flag = f"has_{name}_data"
@@ -23,7 +24,8 @@ def merge_channels(df: DataFrame, channels: Mapping[str, DataFrame | None], id_c
             out = out.drop(flag).withColumn(flag, F.lit(False))
             continue
         values = [c for c in channel.columns if c != id_col]
-        one = channel.groupBy(id_col).agg(*[F.max(c).alias(c) for c in values], F.lit(True).alias(flag))
+        one = channel.groupBy(id_col).agg(F.max(F.struct(*values)).alias("__row")) if values else channel.select(id_col).distinct()
+        one = one.select(id_col, *[F.col("__row")[c].alias(c) for c in values], F.lit(True).alias(flag))
         out = out.drop(flag, *values).join(one, id_col, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
     return out
 
@@ -210,17 +212,30 @@ def merge_reference_tiers(anchors: DataFrame, additions: Mapping[str, DataFrame]
     return anchors.unionByName(new.where(~held), allowMissingColumns=True), new.where(held)
 
 
-def inventory_append(existing: DataFrame, entries: DataFrame, batch: str, statuses: Sequence[str]) -> DataFrame:
-    """Rows whose taxid and version-free accession are both new and whose status is known."""
+def inventory_append(existing: DataFrame, entries: DataFrame, batch: str, statuses: Sequence[str], pos: str = "pos") -> DataFrame:
+    """``existing`` and the entries that are new, in the order of ``pos``: neither the taxid nor the version-free
+    accession (if there is one) is in ``existing`` or in an entry admitted before.
+
+    An entry that is first among the undecided ones of both its taxid and its accession is
+    admitted and shuts out the others of either; the rounds end when nothing is undecided.
+    """
     def base(df: DataFrame) -> DataFrame:
-        return df.withColumn("__b", base_accession(F.col("accession")))
+        return df.withColumn("__b", base_accession(F.coalesce("accession", F.lit(""))))
 
     have = base(existing)
-    new = base(entries).where(F.col("status").isin(list(statuses)))
-    new = new.join(have.select("taxid").distinct(), "taxid", "left_anti")
-    new = new.join(have.where("__b <> ''").select("__b").distinct(), "__b", "left_anti")
-    return existing.withColumn("source_batch", F.lit("")).unionByName(
-        new.drop("__b").withColumn("source_batch", F.lit(batch)), allowMissingColumns=True)
+    left = base(entries).where(F.col("status").isin(list(statuses)))
+    left = left.join(have.select("taxid").distinct(), "taxid", "left_anti")
+    left = cut(left.join(have.where("__b <> ''").select("__b").distinct(), "__b", "left_anti"))
+    admitted = existing.withColumn("source_batch", F.lit(""))
+    while not left.isEmpty():
+        first = left.groupBy("taxid").agg(F.min(pos).alias("__t"))
+        named = left.where("__b <> ''").groupBy("__b").agg(F.min(pos).alias("__n"))
+        ranked = left.join(first, "taxid").join(named, "__b", "left")
+        won = cut(ranked.where((F.col(pos) == F.col("__t")) & (F.col("__n").isNull() | (F.col(pos) == F.col("__n")))).drop("__t", "__n"))
+        admitted = admitted.unionByName(won.drop("__b", pos).withColumn("source_batch", F.lit(batch)), allowMissingColumns=True)
+        left = left.join(won.select("taxid"), "taxid", "left_anti")
+        left = cut(left.join(won.where("__b <> ''").select("__b"), "__b", "left_anti"))
+    return admitted
 
 
 def gprotein_classes(focused: DataFrame, general: DataFrame, focused_map: DataFrame, general_map: DataFrame) -> DataFrame:

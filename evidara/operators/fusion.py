@@ -93,7 +93,7 @@ def build_ranklists(
         col = s.column or (f"{s.key}_score_norm" if f"{s.key}_score_norm" in cols else f"{s.key}_score")
         if s.key in barred or col not in cols:
             continue
-        value = F.col(col).cast("double")
+        value = F.col(col).try_cast("double")
         value = F.when(F.isnan(value), None).otherwise(value)
         if s.flag is not None and s.flag in cols:
             value = F.when(F.col(s.flag), value)
@@ -128,11 +128,16 @@ def normalized_ranks(votes: DataFrame, higher_is_better: bool = True) -> DataFra
     return got.select("id", "signal", (F.col("rank") / F.col("rank_n")).alias("r"))
 
 
+def normalize_group_names(groups: Mapping[str, str]) -> dict[str, str]:
+    """Signal keys instead of column names: a ``_score`` ending goes."""
+    return {k.removesuffix("_score"): v for k, v in groups.items()}
+
+
 def fuse_lists(ranks: DataFrame, groups: Mapping[str, str] | None = None) -> DataFrame:
     """Signals of one group cast a single vote: the mean of their normalized ranks."""
     if not groups:
         return ranks.withColumnRenamed("signal", "list")
-    pairs = F.create_map(*[F.lit(x) for kv in groups.items() for x in kv])
+    pairs = F.create_map(*[F.lit(x) for kv in normalize_group_names(groups).items() for x in kv])
     named = ranks.withColumn("list", F.coalesce(F.try_element_at(pairs, F.col("signal")), F.col("signal")))
     return named.groupBy("id", "list").agg(F.avg("r").alias("r"))
 
@@ -164,44 +169,45 @@ def rho_statistic(votes: DataFrame, groups: Mapping[str, str] | None = None) ->
 
 
 def null_pvalues(rho: np.ndarray, m: int) -> np.ndarray:
-    """P(min order-statistic score of m uniforms <= rho), all rows at once.
-
-    ``cross[k]`` is the place where the k-th order statistic reaches score rho.  The
-    mass that crosses first at step k is summed (only positive terms, so tiny
-    p-values keep their digits).
+    """P(some order statistic of m uniforms has a score of at most rho), all rows at once.
+
+    Let ``c_k`` be the place where the k-th order statistic has score rho; the places rise with
+    k.  If the k-th is the last one at or below its place, exactly k points lie below ``c_k`` and the
+    other m - k stay clear of theirs; call the chance of the latter, given where the k are,
+    ``clear[k]``.  Summing over the last place gives both
+    ``p = sum_k C(m, k) c_k^k clear[k]`` and, for the points above ``c_i`` alone,
+    ``clear[i] = 1 - sum_{k>i} C(m-i, k-i) c_k^(k-i) clear[k]``, with ``clear[m] = 1``.
+    The sum for p has only positive terms, so tiny p-values keep their digits.
     """
     rho = np.asarray(rho, dtype=float)
-    inside = (rho > 0) & (rho < 1)
-    x = np.where(inside, rho, 0.5)
-    places = []
-    for k in range(1, m + 1):
-        lo, hi = np.full(x.shape, -745.0), np.zeros(x.shape)
-        for _ in range(70):
-            mid = (lo + hi) / 2
-            u = np.exp(mid)
-            score = sum(math.comb(m, j) * u**j * (1 - u) ** (m - j) for j in range(k, m + 1))
-            low = score < x
-            lo, hi = np.where(low, mid, lo), np.where(low, hi, mid)
-        places.append(np.exp((lo + hi) / 2))
-    cross = np.maximum.accumulate(np.stack(places), axis=0)
-    alive = np.zeros((m + 1, x.size))
-    alive[0] = 1.0
-    crossed, left = np.zeros(x.size), np.zeros(x.size)
-    for k in range(1, m + 1):
-        here = cross[k - 1]
-        step = np.clip((here - left) / np.maximum(1.0 - left, 1e-300), 0.0, 1.0)
-        new = np.zeros_like(alive)
-        for have in range(k):
-            rest = m - have
-            for more in range(rest + 1):
-                mass = alive[have] * math.comb(rest, more) * step**more * (1 - step) ** (rest - more)
-                if have + more >= k:
-                    crossed += mass
-                else:
-                    new[have + more] += mass
-        alive, left = new, here
-    out = np.minimum(crossed, 1.0)
-    return np.where(rho <= 0, 0.0, np.where(rho >= 1, 1.0, out))
+    x = np.where((rho > 0) & (rho < 1), rho, 0.5)
+    places = np.maximum.accumulate([_score_inverse(x, k, m) for k in range(1, m + 1)], axis=0)
+    clear = {m: np.ones(x.shape)}
+    for i in range(m - 1, 0, -1):
+        last = [math.comb(m - i, k - i) * places[k - 1] ** (k - i) * clear[k] for k in range(i + 1, m + 1)]
+        clear[i] = np.clip(1.0 - np.sum(last, axis=0), 0.0, 1.0)
+    p = np.sum([math.comb(m, k) * places[k - 1] ** k * clear[k] for k in range(1, m + 1)], axis=0)
+    return np.where(rho <= 0, 0.0, np.where(rho >= 1, 1.0, np.minimum(p, 1.0)))
+
+
+def _score_inverse(score: np.ndarray, k: int, m: int) -> np.ndarray:
+    """Place u with P(at least k of m uniforms below u) = score: Newton steps on log u inside a
+    bracket, halving it where a step leaves it."""
+    lo, hi = np.full(score.shape, -745.0), np.zeros(score.shape)
+    at = np.clip((np.log(score) - math.log(math.comb(m, k))) / k, -744.0, -1e-12)
+    for _ in range(100):
+        u = np.exp(at)
+        have = sum(math.comb(m, j) * u**j * (1 - u) ** (m - j) for j in range(k, m + 1))
+        lo, hi = np.where(have < score, at, lo), np.where(have < score, hi, at)
+        slope = k * math.comb(m, k) * u**k * (1 - u) ** (m - k)
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            step = at - (have - score) / slope
+        inside = np.isfinite(step) & (step > lo) & (step < hi)
+        moved = np.where(inside, step, (lo + hi) / 2)
+        if np.abs(moved - at).max(initial=0.0) < 1e-15:
+            break
+        at = moved
+    return np.exp(at)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -324,6 +330,16 @@ def final_rank(df: DataFrame, order: DataFrame | None = None, id_col: str = "id"
     return row_numbers(got, [], ["__a", "__b", id_col], "final_rank").drop("__a", "__b")
 
 
+def fused_rank(df: DataFrame, scores: DataFrame, id_col: str = "id", weighted: str = "rank_score") -> DataFrame:
+    """``df`` plus ``rra_score``, ``rra_tied_block_size`` and ``final_rank``: rows with a fused score
+    (``scores``: id, score) by it, then id; the others follow in the weighted order with block size 0."""
+    ties = scores.groupBy("score").agg(F.count("*").alias("__t"))
+    told = scores.join(ties, "score").select(F.col("id").alias(id_col), F.col("score").alias("rra_score"), "__t")
+    got = df.join(told, id_col, "left").withColumn("rra_tied_block_size", F.coalesce("__t", F.lit(0)).cast("long")).drop("__t")
+    got = got.withColumn("__a", F.col("rra_score").isNull().cast("int")).withColumn("__b", F.coalesce("rra_score", -F.col(weighted)))
+    return row_numbers(got, [], ["__a", "__b", id_col], "final_rank").drop("__a", "__b")
+
+
 def saturation_report(scores: DataFrame, score: str = "score") -> DataFrame:
     """How much of an order rests on ties: one row of counts and shares."""
     ties = scores.groupBy(score).agg(F.count("*").alias("c"))

@@ -8,48 +8,47 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evidara.operators.stats import draw
-from evidara.ordering import row_numbers
+from evidara.operators.stats import draw, uniform
+from evidara.ordering import Scan, row_numbers, running
 from evidara.session import cut
 
-MAX_BINS = 200_000
-
-
-def allocate_quotas(counts: Mapping, weights: Mapping, target: int) -> dict:
-    """Slots per bin in proportion to count × weight, at least one each; what is too much
-    leaves the lightest bins first, what is missing fills the heaviest first."""
-    total = sum(counts.values())
-    if total <= target:
-        return dict(counts)
-    mass = {k: n * weights.get(k, 1.0) for k, n in counts.items()}
-    whole = sum(mass.values())
-    out = {k: max(1, int(mass[k] / whole * target)) for k in counts}
-    gap = target - sum(out.values())
-    heavy_first = gap > 0
-    for k in sorted(counts, key=lambda b: weights.get(b, 1.0), reverse=heavy_first):
-        if gap == 0:
-            break
-        step = min(counts[k] - out[k], gap) if heavy_first else -min(out[k] - 1, -gap)
-        out[k] += step
-        gap -= step
-    return out
+def _weight(weight: Mapping, on: str) -> Column:
+    pairs = [x for k, v in weight.items() for x in (F.lit(k), F.lit(float(v)))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(on)), F.lit(1.0)) if pairs else F.lit(1.0)
+
+
+def allocate_quotas(counts: DataFrame, bins: Sequence[str], weight: Column, target: int) -> DataFrame:
+    """``counts`` (bins, n) with ``quota``: slots in proportion to n x weight, at least one each.
+
+    What is too much leaves the lightest bins first (down to one), what is missing goes to the
+    heaviest first (up to n); ties in the order of the bins.  Room and need are running sums over
+    the bins, so their number is not limited.
+    """
+    bins = list(bins)
+    base = cut(counts.withColumn("__w", weight.cast("double")).withColumn("__mass", F.col("n") * F.col("__w")))
+    sums = base.agg(F.sum("n").alias("n"), F.sum("__mass").alias("mass"))
+    share = F.greatest(F.lit(1), F.floor(F.col("__mass") / sums.select("mass").scalar() * target)).cast("long")
+    base = cut(base.withColumn("__b", share).withColumn("__down", F.col("__b") - 1).withColumn(
+        "__up", F.greatest(F.lit(0), F.col("n") - F.col("__b"))).withColumn("__light", F.col("__w")).withColumn("__heavy", -F.col("__w")))
+    gap = F.lit(target) - base.agg(F.sum("__b").alias("b")).scalar()
+    trimmed = running(base, [], ["__light", *bins], {"__below": Scan("sum", F.col("__down"))}, cut_input=False)
+    filled = running(cut(trimmed), [], ["__heavy", *bins], {"__above": Scan("sum", F.col("__up"))}, cut_input=False)
+    down = F.least(F.col("__down"), F.greatest(F.lit(0), -gap - F.coalesce("__below", F.lit(0))))
+    up = F.least(F.col("__up"), F.greatest(F.lit(0), gap - F.coalesce("__above", F.lit(0))))
+    quota = F.when(sums.select("n").scalar() <= target, F.col("n")).when(gap < 0, F.col("__b") - down).otherwise(F.col("__b") + up)
+    return filled.select(*bins, "n", quota.cast("long").alias("quota"))
 
 
 def quota_subsample(df: DataFrame, bins: Sequence[str], weight: Mapping[str, float], weight_on: str, order: Sequence[Column],
                     target: int) -> DataFrame:
-    """First rows of each bin (by ``order``) up to its quota.  Only the bin counts reach
-    the driver; their number is checked."""
-    src = cut(df)
-    counts = src.groupBy(*bins).agg(F.count("*").alias("n")).orderBy(*bins).limit(MAX_BINS + 1).collect()
-    if len(counts) > MAX_BINS:
-        raise ValueError(f"more than {MAX_BINS} bins; quotas need a coarser grouping")
-    keys = [tuple(r[b] for b in bins) for r in counts]
-    w = {k: weight.get(k[list(bins).index(weight_on)], 1.0) for k in keys}
-    quota = allocate_quotas(dict(zip(keys, [r["n"] for r in counts])), w, target)
+    """First rows of each bin (by ``order``) up to its quota (see :func:`allocate_quotas`)."""
+    bins = list(bins)
+    quota = allocate_quotas(df.groupBy(*bins).agg(F.count("*").alias("n")), bins, _weight(weight, weight_on), target)
     names = [f"__o{i}" for i in range(len(order))]
-    table = df.sparkSession.createDataFrame([(*k, int(q)) for k, q in quota.items()], src.select(*bins).schema.add("__quota", "long"))
-    ranked = row_numbers(src.select("*", *[o.alias(n) for o, n in zip(order, names)]), list(bins), names, "__k")
-    return ranked.join(table, list(bins)).where(F.col("__k") <= F.col("__quota")).drop("__k", "__quota", *names)
+    ranked = row_numbers(df.select("*", *[o.alias(n) for o, n in zip(order, names)]), bins, names, "__k")
+    quota = quota.select(*[F.col(b).alias(f"__q{b}") for b in bins], F.col("quota").alias("__quota"))
+    same = [F.col(b).eqNullSafe(F.col(f"__q{b}")) for b in bins]
+    return ranked.join(quota, same).where(F.col("__k") <= F.col("__quota")).select(*df.columns)
 
 
 def backbone_selection(df: DataFrame, quota: int, invertebrate: Column) -> DataFrame:
@@ -69,31 +68,46 @@ def backbone_selection(df: DataFrame, quota: int, invertebrate: Column) -> DataF
     return got.select(*df.columns)
 
 
+def allocate_species(counts: DataFrame, species: str, budget: int, floor: int, cap: int, must: Sequence, weight: Column, seed: int) -> DataFrame:
+    """``counts`` (species, n) with ``take``: ``floor`` records each, wanted species to the ``cap``.
+
+    Beyond the budget the largest lose one at a time, over and over, until it is met.  What the
+    budget has left is drawn by weight, one record at a time: slot j of a species comes up after j
+    exponential waiting times of rate ``weight``, and the earliest slots are taken, which is the same
+    as drawing species by weight until they are full.
+    """
+    top = F.least(F.lit(cap), F.col("n")).cast("long")
+    base = counts.withColumn("__top", top).withColumn("__a", F.when(F.col(species).isin(list(must)), top).otherwise(F.least(F.lit(floor), top)))
+    base = cut(base.withColumn("__w", F.greatest(F.lit(0.0), weight.cast("double"))))
+    over = base.agg(F.sum("__a")).first()[0] or 0
+    if over > budget:
+        # rows of levels are at most the cap; after r rounds what lies above level r is left
+        levels = base.select(F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.col("__a"), F.lit(1)))).alias("l"), "__a").where("__a >= l").groupBy("l").count()
+        above, rounds = over, 0
+        for row in levels.orderBy("l").collect():
+            if above - row["count"] < budget:
+                break
+            above, rounds = above - row["count"], row["l"]
+        lowered = base.withColumn("__a", F.greatest(F.lit(0), F.col("__a") - rounds)).withColumn("__o", -F.col("__a"))
+        place = row_numbers(lowered, [], ["__o", species], "__k")
+        return place.select(species, "n", (F.col("__a") - ((F.col("__k") <= above - budget) & (F.col("__a") > 0)).cast("int")).alias("take"))
+    room = base.where("__a < __top").select(species, "__w", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__top") - F.col("__a"))).alias("__j"))
+    wait = room.withColumn("__t", -F.log(1.0 - uniform(seed, F.col(species), F.col("__j"))) / F.when(F.col("__w") > 0, F.col("__w")).otherwise(1.0))
+    due = running(wait, [species], ["__j"], {"__due": Scan("sum", F.col("__t"), "upto")})
+    won = due.withColumn("__zero", F.col("__w") <= 0).orderBy("__zero", "__due", species, "__j").limit(budget - over)
+    more = won.groupBy(F.col(species).alias("__s")).agg(F.count("*").alias("__more"))
+    return base.join(more, F.col(species).eqNullSafe(F.col("__s")), "left").select(species, "n", (F.col("__a") + F.coalesce("__more", F.lit(0))).alias("take"))
+
+
 def balanced_sample(df: DataFrame, species: str, id_col: str, budget: int, floor: int, cap: int, must: Sequence, weight: Mapping[str, float],
                     seed: int = 0) -> DataFrame:
-    """Per species at least ``floor`` and at most ``cap`` records, wanted species to the
-    cap, the rest of the budget by weight; records are drawn by a seeded hash."""
-    src = cut(df)
-    counts = src.groupBy(species).agg(F.count("*").alias("n")).orderBy(species).limit(MAX_BINS + 1).collect()
-    if len(counts) > MAX_BINS:
-        raise ValueError(f"more than {MAX_BINS} species")
-    top = {r[species]: min(cap, r["n"]) for r in counts}
-    take = {s: (n if s in set(must) else min(floor, n)) for s, n in top.items()}
-    left = budget - sum(take.values())
-    while left > 0:
-        open_ones = [s for s in take if take[s] < top[s]]
-        if not open_ones:
-            break
-        mass = sum(weight.get(s, 1.0) for s in open_ones)
-        for s in sorted(open_ones, key=lambda x: (-weight.get(x, 1.0), str(x))):
-            more = min(top[s] - take[s], max(1, int(left * weight.get(s, 1.0) / mass)), left)
-            take[s] += more
-            left -= more
-            if left == 0:
-                break
-    table = df.sparkSession.createDataFrame([(s, int(n)) for s, n in take.items()], src.select(species).schema.add("__take", "long"))
-    drawn = row_numbers(src.withColumn("__h", draw(seed, F.col(id_col))), [species], ["__h", id_col], "__k")
-    return drawn.join(table, species).where(F.col("__k") <= F.col("__take")).drop("__h", "__k", "__take")
+    """At most ``budget`` records, balanced over species (see :func:`allocate_species`); the records
+    of a species are drawn by a seeded hash."""
+    counts = df.groupBy(species).agg(F.count("*").alias("n"))
+    take = allocate_species(counts, species, budget, floor, cap, must, _weight(weight, species), seed)
+    take = cut(take.select(F.col(species).alias("__s"), F.col("take").alias("__take")))
+    drawn = row_numbers(df.withColumn("__h", draw(seed, F.col(id_col))), [species], ["__h", id_col], "__k")
+    return drawn.join(take, F.col(species).eqNullSafe(F.col("__s"))).where(F.col("__k") <= F.col("__take")).select(*df.columns)
 
 
 def stratified_frame(df: DataFrame, key: str, best: Sequence[Column], gates: Column, strata: str, n: int, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -114,37 +128,50 @@ def shard_assign(df: DataFrame, order: Sequence[str], shards: int) -> DataFrame:
     return got.withColumn("shard", F.pmod(F.col("__k") - 1, F.lit(shards)).cast("int")).drop("__k")
 
 
-def greedy_spread(df: DataFrame, family: str, per_order: int, per_species: int, most: int) -> DataFrame:
-    """(family, id, pick): up to ``most`` records per family, each time the one that adds
-    most unseen classes, then orders, then species (ties by id), with caps per order
-    and species.  ``df``: family, id, class, order, species.
+RANKS = ("order", "class", "phylum")
 
-    A family is first cut to what can still be picked: ``per_species`` records of each
-    species and ``per_order`` of each order, so what one task gets depends on the caps.
+
+def greedy_spread(df: DataFrame, family: str, held: DataFrame | None, per_order: int) -> DataFrame:
+    """(family, id, pick, gain_order, gain_class, gain_phylum): per family, one after the other, the
+    record that brings most ranks (order, class, phylum) that are new to the family, counting what it
+    holds; more new orders first on ties, then classes, phyla, then the smaller id.  At most ``per_order``
+    records of one order; it ends when nothing new is left.
+
+    ``df``: family, id, phylum, class, order (blank or null: unranked, never new); ``held``: family, rank, name.
+    A lineage brings nothing twice, so only its first record takes part: one task gets the
+    lineages of a family, not its records.
     """
-    w1 = Window.partitionBy(family, "species").orderBy("id")
-    w2 = Window.partitionBy(family, "order").orderBy(F.col("__s") > 1, "id")
-    # within an order the first records of each species come first, then the rest by id,
-    # so only the first per_order records in that order can ever be taken
-    rows = df.withColumn("__s", F.row_number().over(w1)).where(F.col("__s") <= per_species)
-    rows = rows.withColumn("__o", F.row_number().over(w2)).where(F.col("__o") <= per_order).drop("__s", "__o")
-    schema = df.select(family, "id").schema.add("pick", T.IntegerType())
+    lineage = [F.coalesce(F.col(r), F.lit("")).cast("string").alias(r) for r in RANKS]
+    rows = df.select(family, "id", *lineage).groupBy(family, *RANKS).agg(F.min("id").alias("id"))
+    if held is not None:
+        known = held.groupBy(F.col(family).alias("__f")).agg(F.collect_set(F.struct("rank", F.col("name").cast("string").alias("name"))).alias("held"))
+        rows = rows.join(known, F.col(family) == F.col("__f"), "left").drop("__f")
+    else:
+        rows = rows.withColumn("held", F.lit(None).cast("array<struct<rank:string,name:string>>"))
+    fields = [df.schema[family], df.schema["id"]] + [T.StructField(n, T.IntegerType()) for n in ("pick", *(f"gain_{r}" for r in RANKS))]
 
     def pick(pdf):
         import pandas as pd
 
         left = pdf.sort_values("id").to_dict("records")
-        seen = {"class": set(), "order": set(), "species": set()}
-        out = []
-        while left and len(out) < most:
-            best = max(left, key=lambda r: tuple(r[k] not in seen[k] for k in ("class", "order", "species")))
-            left.remove(best)
-            for k in seen:
-                seen[k].add(best[k])
-            out.append((best[family], best["id"], len(out) + 1))
-        return pd.DataFrame(out, columns=[family, "id", "pick"])
-
-    return rows.groupBy(family).applyInPandas(pick, schema)
+        seen = {r: {""} for r in RANKS}
+        for h in left[0]["held"] if left[0]["held"] is not None else []:
+            seen.get(h["rank"], set()).add(h["name"])
+        taken, out = {}, []
+        while True:
+            open_ = [r for r in left if taken.get(r["order"], 0) < per_order]
+            gains = [tuple(int(r[k] not in seen[k]) for k in RANKS) for r in open_]
+            best = max(range(len(open_)), key=lambda i: (sum(gains[i]), *gains[i], -i), default=None)
+            if best is None or not any(gains[best]):
+                break
+            row = open_[best]
+            for k in RANKS:
+                seen[k].add(row[k])
+            taken[row["order"]] = taken.get(row["order"], 0) + 1
+            out.append((row[family], row["id"], len(out) + 1, *gains[best]))
+        return pd.DataFrame(out, columns=[f.name for f in fields])
+
+    return rows.groupBy(family).applyInPandas(pick, T.StructType(fields))
 
 
 def anchor_set(tiers: Sequence[DataFrame], cap: int) -> DataFrame:

@@ -106,14 +106,6 @@ def lrt_pvalue(statistic: Column, df: int, boundary: bool = False) -> Column:
     return F.when(statistic <= 0, 1.0).otherwise(p * 0.5 if boundary else p)
 
 
-def two_sided_normal(z: Column) -> Column:
-    @F.pandas_udf(T.DoubleType())
-    def tail(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), na_action="ignore")
-
-    return tail(z)
-
-
 def mann_whitney(df: DataFrame, value: str, is_a: Column, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, n_a, n_b, u, z, rank_biserial) from average ranks with tie correction and
     continuity correction."""
@@ -130,11 +122,11 @@ def mann_whitney(df: DataFrame, value: str, is_a: Column, keys: Sequence[str] =
     u = F.col("ra") - F.col("n_a") * (F.col("n_a") + 1) / 2
     n = (F.col("n_a") + F.col("n_b")).cast("double")
     mean = F.col("n_a") * F.col("n_b") / 2
-    sd = F.sqrt(F.col("n_a") * F.col("n_b") / 12 * ((n + 1) - F.col("tie") / (n * (n - 1))))
+    sd = F.sqrt(F.col("n_a") * F.col("n_b") / 12 * ((n + 1) - F.coalesce(F.try_divide("tie", n * (n - 1)), F.lit(0.0))))
     big = F.greatest(u, F.col("n_a") * F.col("n_b") - u)
     return s.select(
-        *keys, "n_a", "n_b", u.alias("u"), ((big - mean - 0.5) / sd).alias("z"),
-        (2 * u / (F.col("n_a") * F.col("n_b")) - 1).alias("rank_biserial"),
+        *keys, "n_a", "n_b", u.alias("u"), F.try_divide(big - mean - 0.5, sd).alias("z"),
+        (F.try_divide(2 * u, (F.col("n_a") * F.col("n_b")).cast("double")) - 1).alias("rank_biserial"),
     )
 
 
@@ -180,7 +172,7 @@ def kendall_tau(df: DataFrame, a: str, b: str) -> DataFrame:
     con_minus_dis = total - F.col("ta") - F.col("tb") + F.col("tie_ab") - 2 * F.coalesce("d", F.lit(0.0))
     return one_row.select(
         F.col("n").cast("long").alias("n"),
-        (con_minus_dis / F.sqrt((total - F.col("ta")) * (total - F.col("tb")))).alias("tau"),
+        F.try_divide(con_minus_dis, F.sqrt((total - F.col("ta")) * (total - F.col("tb")))).alias("tau"),
     )
 
 
@@ -456,7 +448,8 @@ def roc_youden(tp: DataFrame, fp: DataFrame, margin: str, step: float = 0.1) ->
         F.sum(F.coalesce("cf", F.lit(0))).over(from_here).alias("passed"),
         t.agg(F.count("*").alias("v")).scalar().alias("nt"), f.agg(F.count("*").alias("v")).scalar().alias("nf"),
     )
-    ret, rej = F.col("kept") / F.col("nt"), 1 - F.col("passed") / F.col("nf")
+    nan = F.lit(float("nan"))
+    ret, rej = F.coalesce(F.try_divide("kept", "nt"), nan), 1 - F.coalesce(F.try_divide("passed", "nf"), nan)
     return pts.select("m", ret.alias("retention"), rej.alias("rejection"), (ret + rej - 1).alias("j"))
 
 

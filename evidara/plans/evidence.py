@@ -188,13 +188,17 @@ def reference_tier_merge(t):
 
 
 @query("inventory_append", """
-WITH e AS (SELECT s_nationkey taxid, 'G' || s_suppkey || '.1' accession, '' batch FROM supplier WHERE s_suppkey % 4 = 0),
-n AS (SELECT c_custkey taxid, 'G' || (c_custkey % 300) || '.2' accession FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
-SELECT taxid, accession, batch AS source_batch FROM e UNION ALL SELECT taxid, accession, 'b2' FROM n
-WHERE taxid NOT IN (SELECT taxid FROM e) AND split_part(accession, '.', 1) NOT IN (SELECT split_part(accession, '.', 1) FROM e)""")
+WITH RECURSIVE e AS (SELECT s_nationkey::BIGINT taxid, 'G' || s_suppkey || '.1' accession FROM supplier),
+n AS (SELECT taxid, b, row_number() OVER (ORDER BY pos) r FROM (SELECT c_custkey % 900 taxid, 'G' || (c_custkey * 7 % 800) b, c_custkey pos FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
+  WHERE taxid NOT IN (SELECT taxid FROM e) AND b NOT IN (SELECT split_part(accession, '.', 1) FROM e)),
+g(r, tx, ac) AS (SELECT 0::BIGINT, []::BIGINT[], []::VARCHAR[] UNION ALL
+  SELECT n.r, CASE WHEN list_contains(tx, taxid) OR list_contains(ac, b) THEN tx ELSE list_append(tx, taxid) END,
+   CASE WHEN list_contains(tx, taxid) OR list_contains(ac, b) THEN ac ELSE list_append(ac, b) END FROM g JOIN n ON n.r = g.r + 1)
+SELECT taxid, accession, '' AS source_batch FROM e UNION ALL SELECT unnest(tx), unnest(ac) || '.2', 'b2' FROM (SELECT * FROM g ORDER BY r DESC LIMIT 1)""")
 def inventory_append(t):
-    e = t.supplier.where("s_suppkey % 4 = 0").select(F.col("s_nationkey").cast("long").alias("taxid"), F.concat(F.lit("G"), F.col("s_suppkey").cast("string"), F.lit(".1")).alias("accession"), F.lit("ok").alias("status"))
-    n = t.customer.select(F.col("c_custkey").alias("taxid"), F.concat(F.lit("G"), (F.col("c_custkey") % 300).cast("string"), F.lit(".2")).alias("accession"), F.col("c_mktsegment").alias("status"))
+    e = t.supplier.select(F.col("s_nationkey").cast("long").alias("taxid"), F.concat(F.lit("G"), F.col("s_suppkey").cast("string"), F.lit(".1")).alias("accession"), F.lit("ok").alias("status"))
+    n = t.customer.select((F.col("c_custkey") % 900).alias("taxid"), F.concat(F.lit("G"), (F.col("c_custkey") * 7 % 800).cast("string"), F.lit(".2")).alias("accession"),
+                          F.col("c_mktsegment").alias("status"), F.col("c_custkey").alias("pos"))
     return ev.inventory_append(e, n, "b2", ["BUILDING", "MACHINERY"]).drop("status")
 
 
@@ -401,7 +405,13 @@ def anchor_set_build(t):
     return sl.anchor_set([p.where("p_size < 10"), p.where("p_size BETWEEN 5 AND 30")], 40)
 
 
-@query("quota_subsample")
+@query("quota_subsample", """
+WITH c AS (SELECT source, lang, count(*) n, CASE lang WHEN 'en' THEN 1.0::DOUBLE WHEN 'fr' THEN 2.0 WHEN 'es' THEN 3.0 WHEN 'de' THEN 0.5 ELSE 1.0 END w FROM documents GROUP BY 1, 2),
+t AS (SELECT *, sum(n) OVER () tot, greatest(1, floor(n * w / sum(n * w) OVER () * 300))::BIGINT b FROM c),
+g AS (SELECT *, 300 - sum(b) OVER () gap, coalesce(sum(b - 1) OVER (ORDER BY w, source, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) low,
+  coalesce(sum(greatest(0, n - b)) OVER (ORDER BY -w, source, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) high FROM t),
+q AS (SELECT source, lang, CASE WHEN tot <= 300 THEN n WHEN gap < 0 THEN b - least(b - 1, greatest(0, -gap - low)) ELSE b + least(greatest(0, n - b), greatest(0, gap - high)) END quota FROM g)
+SELECT doc_id, source, lang, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY n_chars DESC, doc_id) k FROM documents) JOIN q USING (source, lang) WHERE k <= quota""")
 def quota_subsample(t):
     return sl.quota_subsample(t.documents.select("doc_id", "source", "lang", "n_chars"), ["source", "lang"], {"en": 1.0, "fr": 2.0, "es": 3.0, "de": 0.5}, "lang",
                               [-F.col("n_chars"), F.col("doc_id")], 300)
@@ -416,7 +426,15 @@ def backbone_selection(t):
     return sl.backbone_selection(p, 9, F.col("species").startswith("red")).select("family", "subfamily", "accession")
 
 
-@query("balanced_sample")
+@query("balanced_sample", f"""
+WITH c AS (SELECT c_nationkey s, least(40, count(*)) top FROM customer GROUP BY 1),
+a AS (SELECT s, top, CASE WHEN s IN (3, 7) THEN top ELSE least(5, top) END a, CASE s WHEN 1 THEN 3.0::DOUBLE WHEN 2 THEN 2.0 ELSE 1.0 END w FROM c),
+slot AS (SELECT s, j, sum(-ln(1 - (('0x' || substr({hash_sql("1", "s", "j")}, 1, 8))::BIGINT / 4294967296.0::DOUBLE)) / w) OVER (PARTITION BY s ORDER BY j) due
+  FROM (SELECT s, w, unnest(range(1, top - a + 1)) j FROM a)),
+won AS (SELECT s, count(*) more FROM (SELECT s, row_number() OVER (ORDER BY due, s, j) k FROM slot) WHERE k <= 400 - (SELECT sum(a) FROM a) GROUP BY 1),
+take AS (SELECT a.s, a + coalesce(more, 0) n FROM a LEFT JOIN won USING (s))
+SELECT id, species FROM (SELECT c_custkey id, c_nationkey species, row_number() OVER (PARTITION BY c_nationkey ORDER BY {hash_sql("1", "c_custkey")}, c_custkey) k FROM customer)
+JOIN take ON take.s = species WHERE k <= n""")
 def balanced_sample(t):
     return sl.balanced_sample(t.customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("species")), "species", "id", 400, 5, 40, [3, 7], {1: 3.0, 2: 2.0}, seed=1)
 
@@ -436,8 +454,11 @@ def shard_assign(t):
 
 @query("greedy_spread_harvest")
 def greedy_spread_harvest(t):
-    p = t.part.select(F.col("p_type").alias("family"), F.col("p_partkey").alias("id"), (F.col("p_size") % 5).alias("class"), F.col("p_size").alias("order"), F.concat_ws("-", F.col("p_size").cast("string"), "p_name").alias("species"))
-    return sl.greedy_spread(p, "family", 3, 1, 30)
+    size = F.col("p_size")
+    p = t.part.select(F.col("p_type").alias("family"), F.col("p_partkey").alias("id"), F.concat(F.lit("y"), size % 3).alias("phylum"),
+                      F.concat(F.lit("c"), size % 10).alias("class"), F.when(size > 1, F.concat(F.lit("o"), size)).alias("order"))
+    held = p.where(F.col("id") % 50 == 0).select("family", F.explode(F.array(*[F.struct(F.lit(r).alias("rank"), F.col(r).alias("name")) for r in sl.RANKS])).alias("h")).select("family", "h.*")
+    return sl.greedy_spread(p, "family", held.where("name IS NOT NULL"), 3)
 
 
 # ---- expression and family tables ---------------------------------------------------

@@ -55,7 +55,22 @@ def rho_statistic(t):
     return fu.rho_statistic(votes(t), GROUPS).select("id", "m", F.round("rho", 9).alias("rho"))
 
 
-@query("rra_score")
+_BINOMIAL = "(factorial(({n})::INTEGER) / (factorial(({k})::INTEGER) * factorial((({n}) - ({k}))::INTEGER)))::DOUBLE"
+# the places c_k by bisection, then the chance that the last of them to be reached is the k-th
+RRA_SQL = FUSED_SQL + f""", known AS (SELECT DISTINCT m, rho FROM rho WHERE rho > 0 AND rho < 1),
+ halve(m, rho, k, lo, hi, n) AS (SELECT m, rho, k, 0.0::DOUBLE, 1.0::DOUBLE, 0 FROM known JOIN generate_series(1, 20) k(k) ON k <= m UNION ALL
+   SELECT m, rho, k, CASE WHEN low THEN mid ELSE lo END, CASE WHEN low THEN hi ELSE mid END, n + 1 FROM (SELECT *, (lo + hi) / 2 AS mid, list_sum(list_transform(range(k, m + 1),
+     lambda j: {_BINOMIAL.format(n="m", k="j")} * pow((lo + hi) / 2, j) * pow(1 - (lo + hi) / 2, m - j))) < rho AS low FROM halve WHERE n < 60)),
+ places AS (SELECT m, rho, list(hi ORDER BY k) AS c FROM halve WHERE n = 60 GROUP BY 1, 2),
+ clear_(m, rho, c, i, g) AS (SELECT m, rho, c, m, [1.0::DOUBLE] FROM places UNION ALL
+   SELECT m, rho, c, i - 1, list_append(g, 1 - list_sum(list_transform(range(i, m + 1), lambda k: {_BINOMIAL.format(n="m - (i - 1)", k="k - (i - 1)")} * pow(c[k], k - (i - 1)) * g[m - k + 1])))
+   FROM clear_ WHERE i > 1),
+ null_ AS (SELECT m, rho, least(1.0, list_sum(list_transform(range(1, m + 1), lambda k: {_BINOMIAL.format(n="m", k="k")} * pow(c[k], k) * g[m - k + 1]))) AS p FROM clear_ WHERE i = 1),
+ rra AS (SELECT id, rho.m, rho.rho, round(CASE WHEN rho.rho <= 0 THEN 0 WHEN rho.rho >= 1 THEN 1 ELSE p END, 9) AS score FROM rho LEFT JOIN null_ USING (m, rho))
+"""
+
+
+@query("rra_score", f"WITH RECURSIVE {RRA_SQL} SELECT id, m, round(rho, 9) AS rho, score FROM rra")
 def rra_score(t):
     return fu.rra_score(votes(t), GROUPS).select(
         "id", "m", F.round("rho", 9).alias("rho"), F.round("score", 9).alias("score")
@@ -77,12 +92,9 @@ def aggregate_order(t):
     return row_numbers(got.withColumn("o", -F.col("score")), [], ["o", "id"], "place").select("id", "place")
 
 
-@query("tied_block_size", f"""
-WITH {VOTES_SQL} SELECT id, value AS score, count(*) OVER (PARTITION BY value) AS tied_block_size
-FROM votes WHERE signal = 'orders'""")
+@query("tied_block_size", f"WITH RECURSIVE {RRA_SQL} SELECT id, score, count(*) OVER (PARTITION BY score) AS tied_block_size FROM rra")
 def tied_block_size(t):
-    got = votes(t).where("signal = 'orders'").select("id", F.col("value").alias("score"))
-    return fu.tied_block_size(cut(got))
+    return fu.tied_block_size(cut(fu.rra_score(votes(t), GROUPS).select("id", F.round("score", 9).alias("score"))))
 
 
 @query("minmax_normalize", f"""
@@ -178,12 +190,18 @@ def saturation_report(t):
         "fraction_tied", F.round("fraction_tied", 9))
 
 
+# balance has no vote in the production order, so customers without orders stay unscored
+TABLE_RRA_SQL = RRA_SQL.replace("WHERE value IS NOT NULL)", "WHERE value IS NOT NULL AND signal <> 'balance')")
+
+
 @query("candidate_rank_table", f"""
-WITH {SCORE_SQL}, fl AS (SELECT * FROM scored)
-SELECT id, segment, rank_score, completeness, row_number() OVER (ORDER BY rank_score DESC, id) AS final_rank,
+WITH RECURSIVE {TABLE_RRA_SQL}, {NORM_SQL[NORM_SQL.index("norm AS"):]}{SCORE_SQL[len(NORM_SQL):]},
+ told AS (SELECT id, score, count(*) OVER (PARTITION BY score) AS ties FROM rra)
+SELECT scored.id, segment, rank_score, completeness, told.score AS rra_score, coalesce(ties, 0)::BIGINT AS rra_tied_block_size,
+ row_number() OVER (ORDER BY told.score IS NULL, coalesce(told.score, -rank_score), scored.id) AS final_rank,
  CASE WHEN completeness >= 0.6 AND rank_score >= 0.5 THEN 'High'
  WHEN completeness >= 0.4 OR rank_score >= 0.3 THEN 'Medium' ELSE 'Low' END AS confidence_tier,
- ({' + '.join(f'({s} IS NOT NULL)::BIGINT' for s in SIGNAL_NAMES)}) AS n_signals_present FROM fl""")
+ ({' + '.join(f'({s} IS NOT NULL)::BIGINT' for s in SIGNAL_NAMES)}) AS n_signals_present FROM scored LEFT JOIN told ON told.id = scored.id""")
 def candidate_rank_table(t):
     got = scored(t)
     n = sum((F.col(s).isNotNull().cast("long") for s in SIGNAL_NAMES), F.lit(0).cast("long"))
@@ -192,4 +210,6 @@ def candidate_rank_table(t):
         fu.confidence_tier(F.col("completeness"), F.col("rank_score")).alias("confidence_tier"),
         n.alias("n_signals_present"),
     )
-    return fu.final_rank(got)
+    lists = fu.build_ranklists(customer_wide(t), CUSTOMER_SIGNALS, excluded=["balance"])
+    scores = cut(fu.rra_score(lists, GROUPS).select("id", F.round("score", 9).alias("score")))
+    return fu.fused_rank(got, scores)

@@ -206,7 +206,7 @@ UNION ALL SELECT 'f' || l_orderkey, 'q' || l_orderkey, l_suppkey::INTEGER, 'nan'
 def scan_placement_json(t):
     line = lambda x: F.concat(F.lit("["), one(x, "l_suppkey"), F.lit(",-1.0,"), F.when(x["l_returnflag"] == "R", "NaN").otherwise((x["l_quantity"] / 50).cast("string")), F.lit("]"))
     f = order_files(t, line, ",")
-    name = F.concat(F.lit("q"), F.substring("path", 2, 20))
+    name = F.concat(F.lit("q"), F.expr("substring(path, 2)"))
     who = F.when(F.length("path") % 2 == 0, F.concat(F.lit('"n":["'), name, F.lit('"]'))).otherwise(F.concat(F.lit('"nm":[["'), name, F.lit('","1"]]')))
     v = F.concat(F.lit('{"fields":["edge_num","likelihood","like_weight_ratio"],"placements":[{'), who, F.lit(',"p":['), "value", F.lit("]}]}"))
     return ns.scan_placement_json(f.select("path", v.alias("value")))
@@ -290,7 +290,7 @@ def scan_structure_alignment(t):
 def scan_hhr(t):
     line = lambda x: F.concat(F.lit("  1 h"), one(x, "l_partkey"), F.lit(" some protein  "), one(x, "l_quantity"), F.lit(" "), one(x, "l_tax"), F.lit(" 1E-9  123.4  0.5  120  1-120  3-122 (300)"))
     f = order_files(t, line)
-    head = F.concat(F.lit("Query         q"), F.substring("path", 2, 20), F.lit(" x\n\n No Hit Prob E-value\n"), "value")
+    head = F.concat(F.lit("Query         q"), F.expr("substring(path, 2)"), F.lit(" x\n\n No Hit Prob E-value\n"), "value")
     return tx.scan_hhr(f.select("path", head.alias("value")), 0.05).select("query", "hit", F.round("prob", 1).alias("prob"), "evalue")
 
 
@@ -298,7 +298,7 @@ def scan_hhr(t):
 def scan_bakeoff_log(t):
     line = lambda x: F.concat(F.lit("  s"), one(x, "l_linenumber"), F.lit(" auroc="), one(x, "l_tax"))
     f = order_files(t, line)
-    v = F.concat(F.lit("=== m"), F.substring("path", 2, 20), F.lit(" ===\n"), "value", F.lit("\n"))
+    v = F.concat(F.lit("=== m"), F.expr("substring(path, 2)"), F.lit(" ===\n"), "value", F.lit("\n"))
     return tx.scan_log_blocks(f.select(v.alias("value")), r"=== (\S+) ===\n(?:  .*\n)+", r"  (s\d+) auroc=(\S+)", ["model"], ["score", "auroc"])
 
 

@@ -81,11 +81,12 @@ def at(i: int) -> Column:
 
 
 def scan_hmm_tblout(lines: DataFrame) -> DataFrame:
-    """(target, accession, query, evalue, score); the accession loses its version, rows
-    that are short or have no number go."""
-    got = fields(lines).select(at(0).alias("target"), F.split_part(at(1), F.lit("."), F.lit(1)).alias("accession"), at(2).alias("query"),
+    """(target, accession, query, evalue, score); the accession loses its version and is blank for
+    "-", a score that is no number is null, rows without e-value go."""
+    accession = F.when(at(1) == "-", F.lit("")).otherwise(F.split_part(at(1), F.lit("."), F.lit(1)))
+    got = fields(lines).select(at(0).alias("target"), accession.alias("accession"), at(2).alias("query"),
                                at(4).try_cast("double").alias("evalue"), at(5).try_cast("double").alias("score"))
-    return got.where("evalue IS NOT NULL AND score IS NOT NULL")
+    return got.where("evalue IS NOT NULL")
 
 
 def scan_foldseek(lines: DataFrame) -> DataFrame:
@@ -114,7 +115,7 @@ def cs_identity(cs: Column) -> Column:
     def starts(*marks):
         return lambda x: F.substring(x, 1, 1).isin(*marks)
 
-    run = total(starts(":"), lambda x: F.substring(x, 2, 20).cast("int"))
+    run = total(starts(":"), lambda x: F.substr(x, F.lit(2)).cast("int"))
     same = run + total(starts("="), lambda x: F.length(x) - 1)
     subs = total(starts("*"), lambda x: F.lit(1))
     indel = total(starts("+", "-"), lambda x: F.length(x) - 1)
@@ -126,7 +127,7 @@ def scan_paf(lines: DataFrame) -> DataFrame:
     """Alignments as placements: identity from the divergence tag (``de`` before ``dv``),
     else from the ``cs`` string; a row with neither is an error."""
     raw = lines.withColumn("f", F.split("value", "\t")).where(F.size("f") >= 12)
-    tag = lambda name: F.get(F.transform(F.filter(F.slice("f", 13, 1000), lambda x: x.startswith(name + ":")), lambda x: F.regexp_replace(x, "^[^:]*:[^:]*:", "")), F.lit(0))
+    tag = lambda name: F.get(F.transform(F.filter(F.slice("f", F.lit(13), F.greatest(F.size("f") - 12, F.lit(1))), lambda x: x.startswith(name + ":")), lambda x: F.regexp_replace(x, "^[^:]*:[^:]*:", "")), F.lit(0))
     div = F.when(tag("de").isNotNull(), tag("de").try_cast("double")).otherwise(tag("dv").try_cast("double"))
     got = raw.select(
         at(0).alias("query"), at(5).alias("chrom"), at(7).try_cast("long").alias("start"), at(8).try_cast("long").alias("end"), at(4).alias("strand"),

@@ -26,6 +26,12 @@ def test_null_matches_simulation(m, rho):
     assert abs(fu.null_pvalues(np.array([rho]), m)[0] - brute_null(rho, m)) < 3e-3
 
 
+def test_null_in_closed_form_for_two_lists():
+    rho = np.array([1e-12, 1e-4, 0.03, 0.4, 0.99])
+    first, second = 1 - np.sqrt(1 - rho), np.sqrt(rho)
+    assert np.allclose(fu.null_pvalues(rho, 2), 2 * first * (1 - second) + rho, rtol=1e-9)
+
+
 def test_null_is_monotone_and_keeps_tiny_values():
     x = np.array([0.0, 1e-19, 1e-9, 1e-3, 0.3, 0.9, 1.0])
     p = fu.null_pvalues(x, 6)
@@ -76,3 +82,16 @@ def test_permutation_and_bootstrap_repeat(spark):
     ci = {r.id: r for r in st.bootstrap_rank_ci(votes, list("abcd"), 10, 12).collect()}
     assert ci[0].rank_tier == "high" and ci[59].rank_tier == "tail"
     assert all(r.rank_ci_lo <= r.rank_median <= r.rank_ci_hi + 1 for r in ci.values())
+
+
+def test_fused_rank_keeps_unscored_rows_at_the_tail(spark):
+    df = spark.createDataFrame([("a", 0.1), ("b", 0.9), ("c", 0.5), ("d", 0.8), ("e", 0.5)], "id string, rank_score double")
+    scores = spark.createDataFrame([("a", 0.01), ("c", 0.2), ("e", 0.2)], "id string, score double")
+    got = [(r.id, r.rra_tied_block_size) for r in fu.fused_rank(df, scores).orderBy("final_rank").collect()]
+    assert got == [("a", 1), ("c", 2), ("e", 2), ("b", 0), ("d", 0)]
+
+
+def test_blank_text_is_missing_and_groups_take_column_names(spark):
+    df = spark.createDataFrame([("a", " "), ("b", "2.5")], "id string, s_score string")
+    assert [(r.id, r.value) for r in fu.build_ranklists(df, [fu.Signal("s")]).collect()] == [("b", 2.5)]
+    assert fu.normalize_group_names({"s_score": "g", "t": "g"}) == {"s": "g", "t": "g"}
