@@ -281,8 +281,7 @@ def topk_separation(scores: DataFrame, k: int, key: str = "scenario") -> DataFra
     """(key, separation): gap of mean -log10 score between the best k and the rest."""
     sig = -F.log10(F.greatest(F.col("score"), F.lit(1e-300)))
     rows = cut(scores.select(key, "id", "score", sig.alias("sig")))
-    top = Window.partitionBy(key).orderBy("score", "id")
-    best = rows.withColumn("rn", F.row_number().over(top)).where(F.col("rn") <= k)
+    best = row_numbers(rows, [key], ["score", "id"], "rn").where(F.col("rn") <= k)
     best = best.groupBy(key).agg(F.sum("sig").alias("ts"), F.count("*").alias("tn"))
     al = rows.groupBy(key).agg(F.sum("sig").alias("s"), F.count("*").alias("n"))
     gap = F.abs((F.col("s") - F.col("ts")) / (F.col("n") - F.col("tn")) - F.col("ts") / F.col("tn"))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evidara.operators.stats import counts_below
+from evidara.ordering import row_numbers
 from evidara.session import cut
 
 BLOCK_VALUES = 8_000_000  # numbers per reference block (64 MB)
@@ -51,45 +52,59 @@ def nearest(queries: DataFrame, refs: DataFrame, k: int, metric: str = "euclid",
     """(id, ref, label, dist, rank): the k references nearest to every query, exact, ties
     by reference id.  ``queries``: id, vec; ``refs``: ref, label, vec.
 
-    A block of references is a matrix shipped to the tasks; its number of values is
-    bounded, and the number of blocks grows with the references.
+    References that fit one block of ``BLOCK_VALUES`` numbers go to every task as a matrix.  More of
+    them are dealt into blocks by their hash, queries meet every block in a task of its own,
+    and the blocks' best are merged; no reference passes through the driver.  No references give
+    no rows.
     """
     refs = cut(refs.select("ref", "label", "vec"))
     n, d = refs.count(), max(1, width_of(refs))
     blocks = max(1, math.ceil(n * d / BLOCK_VALUES))
     schema = T.StructType([queries.schema["id"], T.StructField("ref", refs.schema["ref"].dataType),
                            T.StructField("label", refs.schema["label"].dataType), T.StructField("dist", T.DoubleType())])
-    parts = None
-    for b in range(blocks):
-        rows = refs.where(F.pmod(F.xxhash64("ref"), F.lit(blocks)) == b).orderBy("ref").toPandas()
-        if rows.empty:
-            continue
-        mat = np.stack([np.asarray(v, dtype=float) for v in rows["vec"]])
-        ship = queries.sparkSession.sparkContext.broadcast((prepare(mat, metric, whiten), rows["ref"].tolist(), rows["label"].tolist()))
-
-        def best(batches, ship=ship):
-            m, ids, labels = ship.value
-            sq = (m * m).sum(axis=1)
+    if not n:
+        return queries.sparkSession.createDataFrame([], schema.add("rank", T.IntegerType()))
+
+    def best(pdf: pd.DataFrame, m: np.ndarray, ids: list, labels: list) -> pd.DataFrame:
+        x = prepare(np.stack([np.asarray(v, dtype=float) for v in pdf["vec"]]), metric, whiten)
+        gram = x @ m.T
+        dist = 1.0 - gram if metric == "cosine" else np.maximum((x * x).sum(axis=1)[:, None] + (m * m).sum(axis=1) - 2 * gram, 0.0)
+        last = min(k, m.shape[0]) - 1
+        bar = np.partition(dist, last, axis=1)[:, last]
+        slack = 1e-9 * (1.0 + np.abs(bar))
+        out = []
+        for i in range(len(x)):
+            # everything that may tie with the k-th place is measured again exactly
+            cand = np.flatnonzero(dist[i] <= bar[i] + slack[i])
+            d2 = 1.0 - m[cand] @ x[i] if metric == "cosine" else np.sqrt(((m[cand] - x[i]) ** 2).sum(axis=1))
+            for j in np.argsort(d2, kind="stable")[:k]:
+                out.append((pdf["id"].iloc[i], ids[cand[j]], labels[cand[j]], float(d2[j])))
+        return pd.DataFrame(out, columns=["id", "ref", "label", "dist"])
+
+    def matrix(rows: pd.DataFrame) -> tuple[np.ndarray, list, list]:
+        rows = rows.sort_values("ref")
+        return prepare(np.stack([np.asarray(v, dtype=float) for v in rows["vec"]]), metric, whiten), rows["ref"].tolist(), rows["label"].tolist()
+
+    if blocks == 1:
+        ship = queries.sparkSession.sparkContext.broadcast(matrix(refs.toPandas()))
+
+        def each(batches):
             for pdf in batches:
-                if pdf.empty:
-                    continue
-                x = prepare(np.stack([np.asarray(v, dtype=float) for v in pdf["vec"]]), metric, whiten)
-                gram = x @ m.T
-                dist = 1.0 - gram if metric == "cosine" else np.maximum((x * x).sum(axis=1)[:, None] + sq - 2 * gram, 0.0)
-                last = min(k, m.shape[0]) - 1
-                bar = np.partition(dist, last, axis=1)[:, last]
-                slack = 1e-9 * (1.0 + np.abs(bar))
-                out = []
-                for i in range(len(x)):
-                    # everything that may tie with the k-th place is measured again exactly
-                    cand = np.flatnonzero(dist[i] <= bar[i] + slack[i])
-                    d2 = 1.0 - m[cand] @ x[i] if metric == "cosine" else np.sqrt(((m[cand] - x[i]) ** 2).sum(axis=1))
-                    for j in np.argsort(d2, kind="stable")[:k]:
-                        out.append((pdf["id"].iloc[i], ids[cand[j]], labels[cand[j]], float(d2[j])))
-                yield pd.DataFrame(out, columns=["id", "ref", "label", "dist"])
-
-        part = queries.select("id", "vec").mapInPandas(best, schema)
-        parts = part if parts is None else parts.unionByName(part)
+                if not pdf.empty:
+                    yield best(pdf, *ship.value)
+
+        parts = queries.select("id", "vec").mapInPandas(each, schema)
+    else:
+        groups = max(1, math.ceil(queries.count() * d / BLOCK_VALUES))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+        all_ = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
+        left = refs.withColumn("rb", F.pmod(F.xxhash64("ref"), F.lit(blocks))).withColumn("qb", all_)
+        right = queries.select("id", "vec").withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(groups))).withColumn("rb", every)
+
+        def meet(_, r, q):
+            return best(q, *matrix(r)) if len(r) and len(q) else pd.DataFrame(columns=["id", "ref", "label", "dist"])
+
+        parts = left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInPandas(meet, schema)
     order = Window.partitionBy("id").orderBy("dist", "ref")
     return parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -110,12 +125,6 @@ def nearest_family_cosine(queries: DataFrame, centroids: DataFrame) -> DataFrame
 def centered_moments(df: DataFrame, centroids: DataFrame) -> tuple[np.ndarray, int, float]:
     """(X'X, n, Σ‖x‖⁴) of the vectors minus their family mean.  Every partition sends one
     row per matrix row, which are summed by Spark; d rows reach the driver."""
-    most = BLOCK_VALUES // max(1, width_of(df))
-    rows = centroids.select("label", "vec").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError("more family means than fit one block; estimate the covariance on coarser families")
-    means = {r["label"]: np.asarray(r["vec"], dtype=float) for r in rows}
-    ship = df.sparkSession.sparkContext.broadcast(means)
     schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("row", T.ArrayType(T.DoubleType())),
                            T.StructField("n", T.LongType()), T.StructField("q", T.DoubleType())])
 
@@ -124,14 +133,15 @@ def centered_moments(df: DataFrame, centroids: DataFrame) -> tuple[np.ndarray, i
         for pdf in batches:
             if pdf.empty:
                 continue
-            x = np.stack([np.asarray(v, dtype=float) - ship.value[c] for v, c in zip(pdf["vec"], pdf["label"])])
+            x = np.stack([np.asarray(v, dtype=float) - np.asarray(c, dtype=float) for v, c in zip(pdf["vec"], pdf["mean"])])
             total = x.T @ x if total is None else total + x.T @ x
             n += len(x)
             q += float(((x * x).sum(axis=1) ** 2).sum())
         if total is not None:
             yield pd.DataFrame({"i": np.arange(len(total), dtype="int32"), "row": list(total), "n": [n] + [0] * (len(total) - 1), "q": [q] + [0.0] * (len(total) - 1)})
 
-    got = df.select("vec", "label").mapInPandas(moments, schema).groupBy("i").agg(
+    joined = df.select("vec", "label").join(centroids.select("label", F.col("vec").alias("mean")), "label").select("vec", "mean")
+    got = joined.mapInPandas(moments, schema).groupBy("i").agg(
         Summarizer.sum(array_to_vector("row")).alias("row"), F.sum("n").alias("n"), F.sum("q").alias("q")).orderBy("i").collect()
     return np.stack([r["row"].toArray() for r in got]), int(sum(r["n"] for r in got)), float(sum(r["q"] for r in got))
 
@@ -170,27 +180,15 @@ def family_prototypes(df: DataFrame, k: int = 3, rounds: int = 10, seed: int = 0
     big = cut(df.join(sizes.where(F.col("n") >= k).select("label"), "label", "left_semi").select("id", "label", "vec"))
     small = mean_vectors(df.join(sizes.where(F.col("n") < k).select("label"), "label", "left_semi"), ["label"])
     small = small.select("label", F.lit(0).alias("proto"), "vec")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id", F.lit(seed)), "id")
-    start = big.withColumn("proto", F.row_number().over(order) - 1).where(F.col("proto") < k)
-    centers = start.select("label", "proto", F.col("vec").cast("array<double>").alias("vec"))
+    drawn = row_numbers(big.select("label", "id").withColumn("h", F.xxhash64("id", F.lit(seed))), ["label"], ["h", "id"], "place")
+    start = drawn.where(F.col("place") <= k).select("label", "id", (F.col("place") - 1).cast("int").alias("proto"))
+    centers = cut(big.join(start, ["label", "id"]).select("label", "proto", F.col("vec").cast("array<double>").alias("vec")))
     for _ in range(rounds):
-        rows = centers.collect()
-        if len(rows) * (len(rows[0]["vec"]) if rows else 0) > BLOCK_VALUES:
-            raise ValueError("too many prototypes for one block; cluster the families in parts")
-        table: dict = {}
-        for r in rows:
-            table.setdefault(r["label"], []).append((r["proto"], np.asarray(r["vec"], dtype=float)))
-        ship = df.sparkSession.sparkContext.broadcast(table)
-
-        @F.pandas_udf(T.IntegerType())
-        def assign(label: pd.Series, vec: pd.Series) -> pd.Series:
-            out = []
-            for c, v in zip(label, vec):
-                own = ship.value[c]
-                out.append(own[int(np.argmin([((np.asarray(v, dtype=float) - m) ** 2).sum() for _, m in own]))][0])
-            return pd.Series(out, index=label.index, dtype="int32")
-
-        centers = cut(mean_vectors(big.withColumn("proto", assign("label", "vec")), ["label", "proto"]).select("label", "proto", "vec"))
+        # the few centers of a family travel with its members
+        own = centers.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("proto", "vec"))).alias("own"))
+        away = F.transform("own", lambda c: F.struct(F.aggregate(F.zip_with(F.col("vec"), c["vec"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x).alias("d"), c["proto"].alias("proto")))
+        placed = big.withColumn("vec", F.col("vec").cast("array<double>")).join(own, "label").withColumn("proto", F.array_min(away)["proto"])
+        centers = cut(mean_vectors(placed, ["label", "proto"]).select("label", "proto", "vec"))
     return centers.unionByName(small)
 
 

@@ -20,8 +20,9 @@ from evidara.session import cut
 
 SAMPLE_PER_RANGE = 16
 MIN_RANGES = 8
-MAX_RANGES = 4096
 ROWS_PER_RANGE = 20_000
+#: more borders than this are sent as data, not as part of the plan
+LITERAL_BORDERS = 1024
 
 
 @dataclass(frozen=True)
@@ -47,7 +48,7 @@ def _merge(how: str, a: Column, b: Column) -> Column:
 
 def range_limit(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_RANGES, min(MAX_RANGES, 2 * parts))
+    return max(MIN_RANGES, 2 * parts)
 
 
 def _literal(value, dtype: T.DataType) -> Column:
@@ -84,6 +85,9 @@ def with_range(df: DataFrame, keys: Sequence[str], ranges: int | None = None, na
         return F.struct(*[_literal(v, types[c]).alias(c) for c, v in zip(keys, row)])
 
     key = F.struct(*keys)
+    if len(cuts) > LITERAL_BORDERS:
+        # many borders travel as one row: the plan stays small, and their number is not limited
+        return _placed(df, keys, cuts, types, name)
     step = max(2, int(ranges**0.5))
     coarse = F.array(*[border(r) for r in cuts[step - 1 :: step]]) if len(cuts) >= step else None
     block = F.size(F.filter(coarse, lambda b: b < key)) if coarse is not None else F.lit(0)
@@ -92,6 +96,21 @@ def with_range(df: DataFrame, keys: Sequence[str], ranges: int | None = None, na
     return out.withColumn(name, F.col("__block") * step + fine).drop("__block")
 
 
+def _placed(df: DataFrame, keys: list[str], cuts: list, types: Mapping[str, T.DataType], name: str) -> DataFrame:
+    """``df`` with the number of ``cuts`` below its key: blocks of borders by their ends first, then the
+    borders of one block.  The borders are one row sent to every task."""
+    kind = T.StructType([T.StructField(c, types[c]) for c in keys])
+    step = max(2, int(len(cuts) ** 0.5))
+    blocks = [[tuple(r) for r in cuts[i : i + step]] for i in range(0, len(cuts), step)]
+    schema = T.StructType([T.StructField("__ends", T.ArrayType(kind)), T.StructField("__blocks", T.ArrayType(T.ArrayType(kind)))])
+    table = df.sparkSession.createDataFrame([([b[-1] for b in blocks], blocks)], schema)
+    key = F.struct(*keys)
+    got = df.withColumn("__ends", table.select("__ends").scalar()).withColumn("__blocks", table.select("__blocks").scalar())
+    got = got.withColumn("__block", F.size(F.filter("__ends", lambda b: b < key)))
+    inside = F.coalesce(F.size(F.filter(F.get("__blocks", F.col("__block")), lambda b: b < key)), F.lit(0))
+    return got.withColumn(name, F.col("__block") * step + inside).select(*df.columns, name)
+
+
 def running(
     df: DataFrame,
     group: Sequence[str],

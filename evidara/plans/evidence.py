@@ -157,14 +157,14 @@ def taxonomy_lineage_join(t):
 
 @query("anchor_snapshot", """
 WITH a AS (SELECT p_partkey accession, p_type family, CASE WHEN p_size % 3 = 0 THEN 'B' ELSE 'A' END AS class FROM part),
-u AS (SELECT l_partkey accession, bool_or(l_returnflag = 'A') ps FROM lineitem WHERE l_quantity > 45 GROUP BY 1), h AS (SELECT l_partkey accession, bool_or(l_linestatus = 'F') ps FROM lineitem WHERE l_quantity < 3 GROUP BY 1)
+u AS (SELECT l_partkey accession, bool_or(l_returnflag = 'A') ps FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1), h AS (SELECT l_partkey accession, bool_or(l_linestatus = 'F') ps FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1)
 SELECT accession, family, class, u.ps IS NOT NULL AS in_audit, CASE WHEN u.ps IS NOT NULL THEN 'uniprot_audit' WHEN h.ps IS NOT NULL THEN 'orthodb_harvest' ELSE 'none' END AS validation_source,
  coalesce(u.ps, h.ps, false) AS pass_class_a, family <> 'PROMO' AS scoreable_family, coalesce(u.ps, h.ps, false) AND family <> 'PROMO' AS use_primary
 FROM a LEFT JOIN u USING (accession) LEFT JOIN h USING (accession) WHERE class = 'A'""")
 def anchor_snapshot(t):
     a = t.part.select(F.col("p_partkey").alias("accession"), F.col("p_type").alias("family"), F.when(F.col("p_size") % 3 == 0, "B").otherwise("A").alias("class"))
-    u = t.lineitem.where("l_quantity > 45").groupBy(F.col("l_partkey").alias("accession")).agg(F.max(F.col("l_returnflag") == "A").alias("passes"))
-    h = t.lineitem.where("l_quantity < 3").groupBy(F.col("l_partkey").alias("accession")).agg(F.max(F.col("l_linestatus") == "F").alias("passes"))
+    u = t.lineitem.where("l_returnflag <> 'N'").groupBy(F.col("l_partkey").alias("accession")).agg(F.max(F.col("l_returnflag") == "A").alias("passes"))
+    h = t.lineitem.where("l_returnflag = 'N'").groupBy(F.col("l_partkey").alias("accession")).agg(F.max(F.col("l_linestatus") == "F").alias("passes"))
     return ev.anchor_snapshot(a, u, h, ["promo"])
 
 
@@ -178,11 +178,11 @@ def taxid_fill_and_correct(t):
 
 
 @query("reference_tier_merge", """
-SELECT p_partkey AS accession, p_type AS family, CASE WHEN p_size <= 10 THEN 'base' WHEN p_size <= 20 THEN 'tier5' ELSE 'tier6' END AS tier FROM part WHERE p_size <= 30 AND NOT (p_size > 10 AND p_type = 'PROMO')""")
+SELECT p_partkey AS accession, p_type AS family, CASE WHEN p_size <= 10 THEN 'base' WHEN p_size <= 20 THEN 'tier5' ELSE 'tier6' END AS tier FROM part WHERE NOT (p_size > 10 AND p_type = 'PROMO')""")
 def reference_tier_merge(t):
     p = t.part.select(F.col("p_partkey").alias("accession"), F.col("p_type").alias("family"), "p_size")
     merged, _ = ev.merge_reference_tiers(p.where("p_size <= 10").select("accession", "family", F.lit("base").alias("tier")),
-                                         {"tier5": p.where("p_size BETWEEN 5 AND 20").drop("p_size"), "tier6": p.where("p_size BETWEEN 21 AND 30").drop("p_size")},
+                                         {"tier5": p.where("p_size BETWEEN 5 AND 20").drop("p_size"), "tier6": p.where("p_size >= 21").drop("p_size")},
                                          p.select("accession"), ["PROMO"])
     return merged
 
@@ -242,10 +242,10 @@ def truth_verdict(t):
 
 
 @query("id_code_map", """
-WITH c AS (SELECT p_name code, p_brand sp, p_partkey pos FROM part WHERE p_size > 10), k AS (SELECT code, arg_min(sp, pos) f, min(sp) <> max(sp) a FROM c GROUP BY 1),
+WITH c AS (SELECT p_name code, p_brand sp, p_partkey pos FROM part WHERE p_size <> 3), k AS (SELECT code, arg_min(sp, pos) f, min(sp) <> max(sp) a FROM c GROUP BY 1),
 u AS (SELECT p_name code, min(p_type) cur FROM part WHERE p_size = 3 GROUP BY 1) SELECT code, coalesce(cur, f) AS species, coalesce(a, false) AS ambiguous FROM k FULL JOIN u USING (code)""")
 def id_code_map(t):
-    c = t.part.where("p_size > 10").select(F.col("p_name").alias("code"), F.col("p_brand").alias("species"), F.col("p_partkey").alias("pos"))
+    c = t.part.where("p_size <> 3").select(F.col("p_name").alias("code"), F.col("p_brand").alias("species"), F.col("p_partkey").alias("pos"))
     return ev.id_code_map(c, t.part.where("p_size = 3").groupBy(F.col("p_name").alias("code")).agg(F.min("p_type").alias("species")))
 
 
@@ -379,11 +379,11 @@ def distinct_union_ids(t):
 
 
 @query("set_diff_sites", """
-WITH a AS (SELECT DISTINCT l_partkey k FROM lineitem WHERE l_quantity > 47), b AS (SELECT DISTINCT l_partkey k FROM lineitem WHERE l_discount > 0.09)
+WITH a AS (SELECT DISTINCT l_partkey k FROM lineitem WHERE l_returnflag = 'A'), b AS (SELECT DISTINCT l_partkey k FROM lineitem WHERE l_returnflag <> 'A')
 SELECT k AS site, 'high_confidence' AS tier FROM a WHERE k IN (SELECT k FROM b) UNION ALL SELECT k, 'strict_only' FROM a WHERE k NOT IN (SELECT k FROM b) UNION ALL SELECT k, 'lenient_only' FROM b WHERE k NOT IN (SELECT k FROM a)""")
 def set_diff_sites(t):
-    a = t.lineitem.where("l_quantity > 47").select(F.col("l_partkey").alias("site")).distinct()
-    b = t.lineitem.where("l_discount > 0.09").select(F.col("l_partkey").alias("site")).distinct()
+    a = t.lineitem.where("l_returnflag = 'A'").select(F.col("l_partkey").alias("site")).distinct()
+    b = t.lineitem.where("l_returnflag <> 'A'").select(F.col("l_partkey").alias("site")).distinct()
     got = a.withColumn("a", F.lit(True)).join(b.withColumn("b", F.lit(True)), "site", "full")
     return got.select("site", F.when(F.col("a") & F.col("b"), "high_confidence").when(F.col("a"), "strict_only").otherwise("lenient_only").alias("tier"))
 
@@ -397,12 +397,12 @@ def manifest_merge(t):
 
 
 @query("anchor_set_build", """
-WITH s AS (SELECT p_partkey a, p_type sub, p_brand org, 0 tier FROM part WHERE p_size < 10 UNION ALL SELECT p_partkey, p_type, p_brand, 1 FROM part WHERE p_size BETWEEN 5 AND 30),
+WITH s AS (SELECT p_partkey a, p_type sub, p_brand org, 0 tier FROM part WHERE p_size < 10 UNION ALL SELECT p_partkey, p_type, p_brand, 1 FROM part WHERE p_size >= 5),
 o AS (SELECT a, min(tier) tier, min(sub) sub, min(org) org FROM s GROUP BY 1), t AS (SELECT *, row_number() OVER (PARTITION BY sub, org ORDER BY tier, a) tn FROM o),
 k AS (SELECT *, row_number() OVER (PARTITION BY sub ORDER BY tn, org, a) st FROM t) SELECT a AS accession, tier, sub AS subfamily, org AS organism FROM k WHERE st <= 40""")
 def anchor_set_build(t):
     p = t.part.select(F.col("p_partkey").alias("accession"), F.col("p_type").alias("subfamily"), F.col("p_brand").alias("organism"), "p_size")
-    return sl.anchor_set([p.where("p_size < 10"), p.where("p_size BETWEEN 5 AND 30")], 40)
+    return sl.anchor_set([p.where("p_size < 10"), p.where("p_size >= 5")], 40)
 
 
 @query("quota_subsample", """
@@ -575,10 +575,10 @@ def cluster_summary(t):
     return rounded(ex.cluster_summary(clusters(t)))
 
 
-@query("distinct_taxa", "SELECT c_nationkey AS taxid, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment <> 'BUILDING' AND o_totalprice > 400000 GROUP BY 1")
+@query("distinct_taxa", "SELECT c_nationkey AS taxid, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment <> 'BUILDING' GROUP BY 1")
 def distinct_taxa(t):
     m = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("taxid"), F.when(F.col("c_mktsegment") == "BUILDING", "reference").otherwise("txome").alias("source_type"))
-    return ex.distinct_taxa(t.orders.where("o_totalprice > 400000").select(F.col("o_custkey").alias("id")), m, True)
+    return ex.distinct_taxa(t.orders.select(F.col("o_custkey").alias("id")), m, True)
 
 
 @query("anchor_block_summary", """
@@ -611,9 +611,9 @@ def assembly_quality_audit(t):
     return ex.assembly_quality_audit(a, 100, 0.3, 200).select("k", "pct_of_median", "verdict")
 
 
-@query("duplicate_accessions", "SELECT split_part(id, '.', 1) AS base, count(*) AS n FROM (SELECT 'G' || (o_custkey % 900) || '.' || o_orderkey id FROM orders WHERE o_totalprice > 450000) GROUP BY 1 HAVING count(*) > 1")
+@query("duplicate_accessions", "SELECT split_part(id, '.', 1) AS base, count(*) AS n FROM (SELECT 'G' || (o_custkey % 900) || '.' || o_orderkey id FROM orders) GROUP BY 1 HAVING count(*) > 1")
 def duplicate_accessions(t):
-    a = t.orders.where("o_totalprice > 450000").select(F.concat(F.lit("G"), (F.col("o_custkey") % 900).cast("string"), F.lit("."), F.col("o_orderkey").cast("string")).alias("id"))
+    a = t.orders.select(F.concat(F.lit("G"), (F.col("o_custkey") % 900).cast("string"), F.lit("."), F.col("o_orderkey").cast("string")).alias("id"))
     return ex.duplicate_accessions(a, sc.base_accession(F.col("id")))
 
 

@@ -197,13 +197,13 @@ def empirical_pvalue(t):
 
 @query("conformal_pvalues", """
 WITH c AS (SELECT o_orderpriority k, o_totalprice v FROM orders WHERE o_orderstatus = 'F'),
-p AS (SELECT o_orderkey id, o_orderpriority k, o_totalprice v FROM orders WHERE o_orderstatus = 'O'),
+p AS (SELECT o_orderkey id, o_orderpriority k, o_totalprice v FROM orders WHERE o_orderstatus <> 'F'),
 s AS (SELECT k, v, NULL id FROM c UNION ALL SELECT k, v, id FROM p),
 w AS (SELECT *, count(*) FILTER (id IS NULL) OVER (PARTITION BY k ORDER BY v DESC RANGE UNBOUNDED PRECEDING) ge, count(*) FILTER (id IS NULL) OVER (PARTITION BY k) n FROM s)
 SELECT id, k, round((1 + ge) / (n + 1), 9) AS p FROM w WHERE id IS NOT NULL""")
 def conformal_pvalues(t):
     o = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("k"), F.col("o_totalprice").alias("v"), "o_orderstatus")
-    return rounded(st.conformal_pvalues(o.where("o_orderstatus = 'O'"), o.where("o_orderstatus = 'F'"), "id", "v", ["k"]))
+    return rounded(st.conformal_pvalues(o.where("o_orderstatus <> 'F'"), o.where("o_orderstatus = 'F'"), "id", "v", ["k"]))
 
 
 @query("evalue_threshold", """
@@ -249,14 +249,14 @@ def roc_youden(t):
 
 
 @query("identity_separation", """
-WITH s AS (SELECT count(*) n, quantile_cont(l_extendedprice / 1000, 0.05) f, quantile_cont(l_quantity, 0.05) c FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 40),
-p AS (SELECT quantile_cont(l_extendedprice / 1000, 0.95) c FROM lineitem WHERE l_returnflag = 'N' AND l_quantity <= 5)
+WITH s AS (SELECT count(*) n, quantile_cont(l_extendedprice / 1000, 0.05) f, quantile_cont(l_quantity, 0.05) c FROM lineitem WHERE l_returnflag = 'A'),
+p AS (SELECT quantile_cont(l_extendedprice / 1000, 0.95) c FROM lineitem WHERE l_returnflag <> 'A')
 SELECT s.n AS n_same, round(s.f, 6) AS id_floor, round(p.c, 6) AS ceiling, round(s.f - p.c, 6) AS separation_margin, s.f - p.c >= 0.1 AS clean_separation,
  CASE WHEN s.f - p.c >= 0.1 THEN CASE WHEN p.c < round((p.c + s.f) / 2, 1) AND round((p.c + s.f) / 2, 1) < s.f THEN round((p.c + s.f) / 2, 1) ELSE (p.c + s.f) / 2 END ELSE 95 END AS rec_min_id,
  CASE WHEN s.f - p.c >= 0.1 THEN floor(s.c) ELSE 80 END AS rec_min_cov FROM s, p""")
 def identity_separation(t):
     rows = t.lineitem.select((F.col("l_extendedprice") / 1000).alias("ident"), F.col("l_quantity").alias("cov"), "l_returnflag")
-    return rounded(st.identity_separation(rows.where("l_returnflag = 'A' AND cov > 40"), rows.where("l_returnflag = 'N' AND cov <= 5"), "ident", "cov"), 6)
+    return rounded(st.identity_separation(rows.where("l_returnflag = 'A'"), rows.where("l_returnflag <> 'A'"), "ident", "cov"), 6)
 
 
 @query("role_gap", """

@@ -59,3 +59,14 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "id long, g string, v double")
     assert od.ranked(df, ["g"], "v").count() == 0
     assert od.percentiles(df, ["g"], "v", {"a": 0.5}).count() == 0
+
+
+def test_many_borders_travel_as_data(spark, monkeypatch):
+    import random
+
+    r = random.Random(2)
+    rows = [(f"g{r.randrange(3)}", i, r.random()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, i long, v double")
+    want = [tuple(x) for x in od.row_numbers(df, ["g"], ["v", "i"], ranges=40).orderBy("i").collect()]
+    monkeypatch.setattr(od, "LITERAL_BORDERS", 5)
+    assert [tuple(x) for x in od.row_numbers(df, ["g"], ["v", "i"], ranges=40).orderBy("i").collect()] == want

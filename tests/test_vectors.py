@@ -49,3 +49,9 @@ def test_prototypes_settle(data, spark):
     assert {r.label for r in protos} == {0, 1, 2, 3} and len(protos) <= 12
     tiny = spark.createDataFrame([(1, 9, [1.0, 3.0]), (2, 9, [3.0, 5.0])], "id long, label int, vec array<double>")
     assert [r.vec for r in vc.family_prototypes(tiny, 3).collect()] == [[2.0, 4.0]]
+
+
+def test_nearest_without_references(data):
+    _, df = data
+    got = vc.nearest(df.where("id < 3"), df.where("id < 0").withColumnRenamed("id", "ref"), 5)
+    assert got.columns == ["id", "ref", "label", "dist", "rank"] and got.collect() == []
