@@ -58,8 +58,8 @@ def _targets(cells: DataFrame, side: str, wish: float | Mapping[str, float]) ->
     else:
         given = F.pow(F.col("t").cast("double"), F.lit(float(wish)))
     share = sums.select(side, given.alias("g"))
-    total = share.agg(F.sum("g").alias("all"))
-    return share.join(F.broadcast(total)).select(F.col(side), F.try_divide("g", "all").alias(f"target_{side}"))
+    total = share.agg(F.sum("g").alias("all")).scalar()
+    return share.select(F.col(side), F.try_divide(F.col("g"), total).alias(f"target_{side}"))
 
 
 def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TEMPERING) -> DataFrame:
