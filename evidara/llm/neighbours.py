@@ -2,9 +2,10 @@
 
 A vector, less the centre of all vectors, is rotated at random and kept as the signs of its
 coordinates, its length, and how well the signs point its way.  From these the inner product
-with a query is estimated without bias and with a known spread; vectors whose estimate
-plus its error bound reaches the score of the query's k-th best so far are compared exactly.
-The codes of a block are unpacked to signs, so that estimating is one matrix product.
+with a query is estimated without bias and with a known spread; the mean over a few independent
+rotations narrows it.  Vectors whose estimate plus its error bound reaches the score of the
+query's k-th best so far are compared exactly.  The codes of a block are unpacked to signs, so
+that estimating is one matrix product.
 """
 
 from __future__ import annotations
@@ -22,24 +23,32 @@ from evidara.llm.common import stash
 
 #: half width of the bound in standard deviations of the estimate
 EPSILON = 4.0
+#: independent rotations, each with one bit for a component
+ROTATIONS = 4
 #: vectors and queries that meet in one task; vectors and queries compared at a time
 BLOCK_VECTORS, BLOCK_QUERIES = 16_384, 4_096
 CHUNK_VECTORS, CHUNK_QUERIES = 2_048, 256
 ROTATION_SEED = 11
 
 
-def rotation(d: int) -> np.ndarray:
-    """A random orthogonal matrix, the same for a dimension."""
-    q, r = np.linalg.qr(np.random.default_rng(ROTATION_SEED).standard_normal((d, d)))
-    return q * np.sign(np.diag(r))
+def rotations(d: int) -> np.ndarray:
+    """Random orthogonal matrices on top of each other, the same for a dimension."""
+    out = []
+    for seed in range(ROTATIONS):
+        q, r = np.linalg.qr(np.random.default_rng([ROTATION_SEED, seed]).standard_normal((d, d)))
+        out.append(q * np.sign(np.diag(r)))
+    return np.concatenate(out)
 
 
 def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed signs, length and alignment (inner product of the unit vector and the unit signs)."""
-    x = (vectors - centre) @ turn.T
-    length = np.linalg.norm(x, axis=1)
-    align = np.abs(x).sum(1) / np.sqrt(x.shape[1]) / np.where(length > 0, length, 1)
-    return np.packbits(x > 0, axis=1), length, np.where(length > 0, align, 1)
+    """Packed signs, length, and for each rotation the alignment (inner product of the unit vector and
+    the unit signs)."""
+    off = vectors - centre
+    length = np.linalg.norm(off, axis=1)
+    x = off @ turn.T
+    d = len(centre)
+    align = np.abs(x).reshape(len(x), -1, d).sum(2) / math.sqrt(d) / np.where(length > 0, length, 1)[:, None]
+    return np.packbits(x > 0, axis=1), length, np.where(length[:, None] > 0, align, 1.0)
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -67,24 +76,24 @@ def build_index(vectors: DataFrame) -> DataFrame:
     centre = np.array([r["m"] for r in mean.orderBy("i").collect()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = rotation(len(centre))
+        turn = rotations(len(centre))
         for batch in batches:
             if batch.num_rows:
                 bits, length, align = encode(_matrix(batch.column(1)), centre, turn)
-                yield pa.record_batch([*batch.columns, pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(length), pa.array(align)],
+                yield pa.record_batch([*batch.columns, pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(length), pa.array(align.tolist(), pa.list_(pa.float64()))],
                                       names=["vec_id", "embedding", "bits", "length", "align"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
-    index = stash(vectors.mapInArrow(run, f"vec_id long, embedding {kind}, bits binary, length double, align double"))
+    index = stash(vectors.mapInArrow(run, f"vec_id long, embedding {kind}, bits binary, length double, align array<double>"))
     index.centre = centre
     return index
 
 
-def _exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Row-wise inner products, added from the first component to the last."""
+def _exact(queries: np.ndarray, vectors: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs (q, v) of columns, added from the first component to the last."""
     total = np.zeros(len(q))
-    for j in range(q.shape[1]):
-        total += q[:, j] * v[:, j]
+    for a, b in zip(queries, vectors):
+        total += a.take(q) * b.take(v)
     return total
 
 
@@ -102,18 +111,21 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
     """Numbers of the queries, ids and exact scores of the best ``k`` vectors of a block for each
     query, and how many were compared exactly."""
     d = len(centre)
-    turned, base, size = (queries @ rotation(d).T).astype(np.float32), queries @ centre, np.linalg.norm(queries, axis=1)
+    turned, base, size = (queries @ rotations(d).T).astype(np.float32), queries @ centre, np.linalg.norm(queries, axis=1)
+    columns = np.ascontiguousarray(queries.T)
     floor = np.full(len(queries), -np.inf)
     found = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
     compared = 0
-    scale = length / align
+    scale = (length[:, None] / align / (ROTATIONS * math.sqrt(d))).astype(np.float32)
     # the part of a vector that its signs miss lies anyhow; its share in a direction has this spread
-    spread = length * np.sqrt(np.maximum(1 - align**2, 0)) / align / math.sqrt(max(d - 1, 1))
+    spread = length * np.sqrt(((1 - np.minimum(align, 1) ** 2) / align**2).sum(1)) / ROTATIONS / math.sqrt(max(d - 1, 1))
     for a in range(0, len(ids), CHUNK_VECTORS):
         part = slice(a, a + CHUNK_VECTORS)
-        signs = (np.unpackbits(bits[part], axis=1)[:, :d].astype(np.float32) * 2 - 1) / np.float32(math.sqrt(d))
-        near = base[:, None] + (turned @ signs.T) * scale[part][None, :].astype(np.float32)
-        top = near + EPSILON * size[:, None] * spread[part][None, :]
+        signs = np.unpackbits(bits[part], axis=1)[:, : ROTATIONS * d].astype(np.float32) * 2 - 1
+        signs = (signs.reshape(-1, ROTATIONS, d) * scale[part][:, :, None]).reshape(len(signs), -1)
+        near = (turned @ signs.T) + base[:, None].astype(np.float32)
+        top = near + (EPSILON * size).astype(np.float32)[:, None] * spread[part].astype(np.float32)[None, :]
+        some = np.ascontiguousarray(vectors[part].T)
         own = query_ids[:, None] == ids[part][None, :]
         near[own] = top[own] = -np.inf
         # the best estimates first: their exact scores raise the bar for the rest
@@ -126,7 +138,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
                 mask = ~seen & ~own & (top >= floor[:, None])
             q, v = np.nonzero(mask)
             compared += len(q)
-            found = _best(np.r_[found[0], q], np.r_[found[1], ids[part][v]], np.r_[found[2], _exact(queries[q], vectors[part][v])], k)
+            found = _best(np.r_[found[0], q], np.r_[found[1], ids[part][v]], np.r_[found[2], _exact(columns, some, q, v)], k)
             full = np.flatnonzero(np.bincount(found[0], minlength=len(queries)) >= k)
             if len(full):
                 floor[full] = found[2][np.searchsorted(found[0], full, "right") - 1]
@@ -139,7 +151,7 @@ def _search(centre: np.ndarray, k: int):
         if len(left) and len(right):
             vectors = np.stack(left["embedding"].to_list()).astype(np.float64)
             bits = np.frombuffer(b"".join(left["bits"]), np.uint8).reshape(len(left), -1)
-            ids, length, align = left["vec_id"].to_numpy(), left["length"].to_numpy(), left["align"].to_numpy()
+            ids, length, align = left["vec_id"].to_numpy(), left["length"].to_numpy(), np.stack(left["align"].to_list())
             for a in range(0, len(right), CHUNK_QUERIES):
                 some = right.iloc[a : a + CHUNK_QUERIES]
                 names = some["query_id"].to_numpy()
