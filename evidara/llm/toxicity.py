@@ -89,8 +89,8 @@ class Restorer:
         self.model = model.tolist()
 
     @staticmethod
-    def lattice(token: str, spaced: bool) -> list[list[tuple[str, float]]]:
-        """Per character its readings with their channel costs."""
+    def lattice(token: str, spaced: bool, whole: bool = False) -> list[list[tuple[str, float]]]:
+        """Per character its readings with their channel costs; ``whole``: no lookalike inside is left out."""
         out = []
         for i, c in enumerate(token):
             again = bool(i) and token[i - 1] == c
@@ -99,7 +99,12 @@ class Restorer:
             else:
                 edge = i == 0 or not any(x.isalnum() for x in token[i:])
                 readings = [(x, _SWAP) for x in LOOKALIKES.get(c, "")]
-                readings.append(("", _EDGE if edge and not c.isdigit() else _INSIDE if readings or c.isdigit() else _SEPARATOR))
+                if edge and not c.isdigit():
+                    readings.append(("", _EDGE))
+                elif not readings:
+                    readings.append(("", _INSIDE if c.isdigit() else _SEPARATOR))
+                elif not whole:
+                    readings.append(("", _INSIDE))
             if again:
                 readings.append(("", _REPEAT))
             if spaced and i:
@@ -107,12 +112,12 @@ class Restorer:
             out.append(readings)
         return out
 
-    def restore(self, token: str, spaced: bool = False) -> str:
+    def restore(self, token: str, spaced: bool = False, whole: bool = False) -> str:
         """The reading with the best product of channel and character model; ``spaced``: blanks
-        may have stood between the characters of the token."""
+        may have stood between the characters of the token; ``whole``: no lookalike inside it is left out."""
         model = self.model
         states = {(0, 0): (0.0, None)}
-        for readings in self.lattice(token, spaced):
+        for readings in self.lattice(token, spaced, whole):
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, path) in states.items():
                 for text, cost in readings:
@@ -152,8 +157,11 @@ class Reader:
         if core and not (core.isalpha() and not _RUN.search(core)) and any(c.isalpha() for c in core):
             # a character repeated many times reads like two of it
             short = re.sub(r"(.)\1{2,}", r"\1\1", core)
-            for w in self.restorer.restore(short).split():
-                out += _entries(w)
+            readings = {self.restorer.restore(short)}
+            if any(c in LOOKALIKES for c in short[1:-1]):
+                readings.add(self.restorer.restore(short, whole=True))
+            for w in sorted(readings):
+                out += _entries(w) if w else []
         return out
 
     def spaced_keys(self, letters: list[str]) -> list[str]:
