@@ -238,6 +238,44 @@ def inventory_append(existing: DataFrame, entries: DataFrame, batch: str, status
     return admitted
 
 
+def merge_selection_signals(gene_wide: DataFrame, multi_hit: DataFrame, sites: DataFrame, key: str, level: float) -> DataFrame:
+    """(key, gene_wide_p, gene_wide_significant, multi_hit_p, multi_hit_significant, n_sites): every key that
+    any test has; a test without result is not significant, a missing site count is zero.
+    ``gene_wide``: key, gene_wide_p; ``multi_hit``: key, multi_hit_p; ``sites``: key, n_sites."""
+    got = gene_wide.join(multi_hit, key, "full").join(sites, key, "full")
+
+    def significant(name: str):
+        return F.coalesce(F.col(f"{name}_p") < level, F.lit(False)).alias(f"{name}_significant")
+
+    return got.select(key, "gene_wide_p", significant("gene_wide"), "multi_hit_p", significant("multi_hit"), F.coalesce("n_sites", F.lit(0)).alias("n_sites"))
+
+
+def restrict_to_ids(df: DataFrame, on: str, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows of ``df`` whose ``on`` is among ``ids``; repeated ids change nothing."""
+    return df.join(ids.select(F.col(id_col).alias(on)), on, "left_semi").select(*df.columns)
+
+
+def union_ids(parts: Sequence[DataFrame], id_col: str = "id") -> DataFrame:
+    """Every id of any part once."""
+    got = parts[0].select(id_col)
+    for part in parts[1:]:
+        got = got.union(part.select(id_col))
+    return got.distinct()
+
+
+def site_tiers(strict: DataFrame, lenient: DataFrame, key: str) -> DataFrame:
+    """(key, tier): ``high_confidence`` in both lists, else ``strict_only`` or ``lenient_only``."""
+    a = strict.select(key).distinct().withColumn("__a", F.lit(True))
+    b = lenient.select(key).distinct().withColumn("__b", F.lit(True))
+    tier = F.when(F.col("__a") & F.col("__b"), "high_confidence").when(F.col("__a"), "strict_only").otherwise("lenient_only")
+    return a.join(b, key, "full").select(key, tier.alias("tier"))
+
+
+def merge_manifests(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
+    """All rows of ``first`` and those of ``second`` whose key it lacks; columns that one side lacks are null."""
+    return first.unionByName(second.join(first.select(key), key, "left_anti"), allowMissingColumns=True)
+
+
 def gprotein_classes(focused: DataFrame, general: DataFrame, focused_map: DataFrame, general_map: DataFrame) -> DataFrame:
     """(gene, class, evalue, source): best mapped hit, the focused reference before the
     general one.  hits: gene, subject, evalue; maps: subject, class."""

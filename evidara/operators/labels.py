@@ -397,6 +397,25 @@ def funnel_counts(df: DataFrame, gates: Sequence[str]) -> DataFrame:
     return counts.unpivot([], ["input", *gates], "stage", "survivors")
 
 
+def clade_family_rollup(df: DataFrame, clade: str, family: str, focused: Column, characterized: Column, species: str) -> DataFrame:
+    """(clade, family, passing, focused_evidence, functionally_characterized, distinct_species): counts of the
+    rows that pass, those with either kind of evidence, and their species."""
+    return df.groupBy(F.col(clade).alias("clade"), F.col(family).alias("family")).agg(
+        F.count("*").alias("passing"), F.count_if(focused).alias("focused_evidence"),
+        F.count_if(characterized).alias("functionally_characterized"), F.countDistinct(species).alias("distinct_species"))
+
+
+def taxonomic_spread(df: DataFrame, family: str, phylum: str, class_: str, species: str) -> DataFrame:
+    """(family, phyla, classes, species): distinct ranks of every family and, as ``ALL``, of the table."""
+    counts = [F.countDistinct(c).alias(n) for c, n in ((phylum, "phyla"), (class_, "classes"), (species, "species"))]
+    return df.rollup(family).agg(*counts).select(F.coalesce(family, F.lit("ALL")).alias("family"), "phyla", "classes", "species")
+
+
+def modal_tier_report(df: DataFrame, group: str, tier: str) -> DataFrame:
+    """(group, tier, n): rows of each tier in each group."""
+    return df.groupBy(group, tier).agg(F.count("*").alias("n"))
+
+
 def paper_burden(df: DataFrame, key: str, papers: Column) -> DataFrame:
     """(key, min_paper_entry_count): size of the smallest paper behind each entry."""
     cited = df.select(key, F.explode(F.array_distinct(papers)).alias("paper")).where("paper <> ''")

@@ -204,7 +204,7 @@ def inventory_append(t):
 
 @query("expression_semi_filter", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO')")
 def expression_semi_filter(t):
-    return t.lineitem.join(t.part.where("p_type = 'PROMO'").select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi").select("l_orderkey", "l_linenumber", "l_partkey")
+    return ev.restrict_to_ids(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey", t.part.where("p_type = 'PROMO'"), "p_partkey")
 
 
 @query("gprotein_classification", """
@@ -375,17 +375,15 @@ def first_wins_dedup(t):
 
 @query("distinct_union_ids", "SELECT o_custkey AS id FROM orders WHERE o_totalprice > 400000 UNION SELECT c_custkey FROM customer WHERE c_acctbal < 0")
 def distinct_union_ids(t):
-    return t.orders.where("o_totalprice > 400000").select(F.col("o_custkey").alias("id")).union(t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("id"))).distinct()
+    return ev.union_ids([t.orders.where("o_totalprice > 400000").select(F.col("o_custkey").alias("id")), t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("id"))])
 
 
 @query("set_diff_sites", """
 WITH a AS (SELECT DISTINCT l_partkey k FROM lineitem WHERE l_returnflag = 'A'), b AS (SELECT DISTINCT l_partkey k FROM lineitem WHERE l_returnflag <> 'A')
 SELECT k AS site, 'high_confidence' AS tier FROM a WHERE k IN (SELECT k FROM b) UNION ALL SELECT k, 'strict_only' FROM a WHERE k NOT IN (SELECT k FROM b) UNION ALL SELECT k, 'lenient_only' FROM b WHERE k NOT IN (SELECT k FROM a)""")
 def set_diff_sites(t):
-    a = t.lineitem.where("l_returnflag = 'A'").select(F.col("l_partkey").alias("site")).distinct()
-    b = t.lineitem.where("l_returnflag <> 'A'").select(F.col("l_partkey").alias("site")).distinct()
-    got = a.withColumn("a", F.lit(True)).join(b.withColumn("b", F.lit(True)), "site", "full")
-    return got.select("site", F.when(F.col("a") & F.col("b"), "high_confidence").when(F.col("a"), "strict_only").otherwise("lenient_only").alias("tier"))
+    sites = t.lineitem.select(F.col("l_partkey").alias("site"), "l_returnflag")
+    return ev.site_tiers(sites.where("l_returnflag = 'A'"), sites.where("l_returnflag <> 'A'"), "site")
 
 
 @query("manifest_merge", """
@@ -393,7 +391,7 @@ SELECT s_suppkey AS taxid, s_name AS binomial, NULL::VARCHAR AS source FROM supp
 def manifest_merge(t):
     a = t.supplier.select(F.col("s_suppkey").alias("taxid"), F.col("s_name").alias("binomial"))
     b = t.customer.select(F.col("c_custkey").alias("taxid"), F.col("c_name").alias("binomial"), F.col("c_mktsegment").alias("source"))
-    return a.unionByName(b.join(a.select("taxid"), "taxid", "left_anti"), allowMissingColumns=True)
+    return ev.merge_manifests(a, b, "taxid")
 
 
 @query("anchor_set_build", """
@@ -631,7 +629,7 @@ def csv_column_helpers(t):
 
 @query("modal_tier_report", "SELECT p_brand AS p_brand, p_type AS p_type, count(*) AS n FROM part GROUP BY 1, 2")
 def modal_tier_report(t):
-    return t.part.groupBy("p_brand", "p_type").agg(F.count("*").alias("n"))
+    return lb.modal_tier_report(t.part, "p_brand", "p_type")
 
 
 @query("percentile_threshold_score", "SELECT c_custkey AS id, CASE WHEN c_acctbal > (SELECT quantile_cont(c_acctbal, 0.75) FROM customer) THEN c_acctbal ELSE 0 END AS score FROM customer")

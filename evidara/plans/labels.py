@@ -297,10 +297,7 @@ def paper_burden(t):
 SELECT p_brand AS clade, p_type AS family, count(*) AS passing, count(*) FILTER (p_size <= 3) AS focused_evidence,
  count(*) FILTER (p_retailprice > 1500) AS functionally_characterized, count(DISTINCT p_name) AS distinct_species FROM part GROUP BY 1, 2""")
 def clade_family_rollup(t):
-    return t.part.groupBy(F.col("p_brand").alias("clade"), F.col("p_type").alias("family")).agg(
-        F.count("*").alias("passing"), F.count_if(F.col("p_size") <= 3).alias("focused_evidence"),
-        F.count_if(F.col("p_retailprice") > 1500).alias("functionally_characterized"),
-        F.countDistinct("p_name").alias("distinct_species"))
+    return lb.clade_family_rollup(t.part, "p_brand", "p_type", F.col("p_size") <= 3, F.col("p_retailprice") > 1500, "p_name")
 
 
 @query("taxonomic_spread", """
@@ -309,7 +306,4 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
 def taxonomic_spread(t):
     rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
         t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return rows.rollup("r_name").agg(
-        F.countDistinct("n_nationkey").alias("phyla"), F.countDistinct("c_mktsegment").alias("classes"),
-        F.countDistinct("c_custkey").alias("species"),
-    ).select(F.coalesce("r_name", F.lit("ALL")).alias("family"), "phyla", "classes", "species")
+    return lb.taxonomic_spread(rows, "r_name", "n_nationkey", "c_mktsegment", "c_custkey")

@@ -312,7 +312,8 @@ def scan_records_dir(t):
 
 @query("scan_embeddings", "SELECT vec_id AS id, len(embedding)::INTEGER AS width, round(list_sum(embedding::DOUBLE[]), 6) AS total FROM embeddings")
 def scan_embeddings(t):
-    return t.embeddings.select(F.col("vec_id").alias("id"), F.size("embedding").alias("width"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("total"))
+    got = ns.scan_embeddings(t.embeddings, "vec_id", "embedding")
+    return got.select("id", "width", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
 @query("scan_asr_state", "SELECT 'Node7' AS node, string_agg(substr(c_mktsegment, 1, 1), '' ORDER BY c_custkey) AS seq FROM customer WHERE c_nationkey = 7")

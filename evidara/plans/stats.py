@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from evidara.operators import fusion as fu
 from evidara.operators import stats as st
+from evidara.operators.evidence import merge_selection_signals
 from evidara.ordering import row_numbers
 from evidara.plans.bindings import RANKS_SQL, SIGNAL_NAMES, VOTES_SQL
 from evidara.plans.fusion import votes
@@ -62,11 +63,7 @@ def selection_signal_merge(t):
         return t.lineitem.where(F.col("l_returnflag") == flag).groupBy(F.col("l_orderkey").alias("og")).agg(F.min("l_tax").alias(name))
 
     sites = t.lineitem.where("l_discount > 0.05").groupBy(F.col("l_orderkey").alias("og")).agg(F.count("*").alias("n_sites"))
-    got = best("A", "gene_wide_p").join(best("R", "multi_hit_p"), "og", "full").join(sites, "og", "full")
-    return got.select(
-        "og", "gene_wide_p", F.coalesce(F.col("gene_wide_p") < 0.03, F.lit(False)).alias("gene_wide_significant"),
-        "multi_hit_p", F.coalesce(F.col("multi_hit_p") < 0.03, F.lit(False)).alias("multi_hit_significant"),
-        F.coalesce("n_sites", F.lit(0)).alias("n_sites"))
+    return merge_selection_signals(best("A", "gene_wide_p"), best("R", "multi_hit_p"), sites, "og", 0.03)
 
 
 @query("lrt_pvalue", """

@@ -82,6 +82,11 @@ def _any(x: Column, texts) -> Column:
     return out
 
 
+def scan_embeddings(df: DataFrame, id_col: str, vec: str) -> DataFrame:
+    """(id, width, vec): embedding rows with their length, components as doubles; rows without a vector go."""
+    return df.where(F.col(vec).isNotNull()).select(F.col(id_col).alias("id"), F.size(vec).alias("width"), F.col(vec).cast("array<double>").alias("vec"))
+
+
 def scan_placement_json(files: DataFrame) -> DataFrame:
     """(path, query, edge_num, lwr): per query the placement row with the largest finite
     weight; NaN where a query has none."""
