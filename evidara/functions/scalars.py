@@ -18,13 +18,15 @@ LEGACY_COLUMNS = {
     "lse_depth_score_norm": "lse_divergence_score_norm",
     "has_lse_depth_data": "has_lse_divergence_data",
 }
-# Names of chemoreceptors; a name counts where it stands alone between non-alphanumerics.
-CHEMORECEPTOR_NAMES = (
-    r"olfr\d*", r"or\d+[a-z]?\d*", r"olfactory\s*receptor", r"odorant\s*receptor",
-    r"taste\s*receptor", r"tasr\d*", r"t[12]r\d*", r"vomero(?:nasal)?(?:\s*receptor)?", r"v[12]r\d*",
-    r"formyl[\s_-]?peptide(?:\s*receptor)?", r"fpr\d*",
-    r"trace[\s_-]?amine(?:[\s_-]?associated)?(?:\s*receptor)?", r"taar\d*",
-    r"gustatory(?:\s*receptor)?", r"chemosensory(?:\s*receptor)?", r"chemoreceptor",
+# Names of chemoreceptors; a name counts where it stands alone between non-alphanumerics.
+CHEMORECEPTOR_PATTERN = (
+    r"(?i)(^|[^a-z0-9])("
+    r"olfr\d*|or\d+[a-z]?\d*|olfactory\s*receptor|odorant\s*receptor"
+    r"|taste\s*receptor|tasr\d*|t[12]r\d*|vomero(?:nasal)?(?:\s*receptor)?|v[12]r\d*"
+    r"|formyl[\s_-]?peptide(?:\s*receptor)?|fpr\d*"
+    r"|trace[\s_-]?amine(?:[\s_-]?associated)?(?:\s*receptor)?|taar\d*"
+    r"|gustatory(?:\s*receptor)?|chemosensory(?:\s*receptor)?|chemoreceptor"
+    r")([^a-z0-9]|$)"
 )
 # Receptor families told apart by protein name, in order; the guard comes first.
 FAMILY_GUARD = r"gonadotropin[- ]releasing|gonadoliberin|\bGNRHR?\b"
@@ -78,16 +80,12 @@ def legacy_column_alias(df: DataFrame, names: Mapping[str, str] = LEGACY_COLUMNS
     return df.withColumnsRenamed({old: new for old, new in names.items() if old in have and new not in have})
 
 
-def chemoreceptor_pattern() -> str:
-    return r"(?i)(^|[^a-z0-9])(" + "|".join(CHEMORECEPTOR_NAMES) + r")([^a-z0-9]|$)"
-
-
 def reference_category_weight(name: Column, high: float = 2.0, other: float = 1.0, mapped: Column | None = None,
                               listed: Column | None = None) -> Column:
     """Weight of a reference: mapped value, else ``high`` for a listed or
     chemoreceptor name, else ``other``."""
     known = F.coalesce(listed, F.lit(False)) if listed is not None else F.lit(False)
-    by_name = F.when(known | name.rlike(chemoreceptor_pattern()), F.lit(high)).otherwise(F.lit(other))
+    by_name = F.when(known | name.rlike(CHEMORECEPTOR_PATTERN), F.lit(high)).otherwise(F.lit(other))
     by_name = F.when(F.coalesce(name, F.lit("")) == "", F.lit(other)).otherwise(by_name)
     return F.coalesce(mapped.cast("double"), by_name) if mapped is not None else by_name
 
