@@ -29,7 +29,7 @@ def ref_names(t):
 
 
 @query("reference_category_weight", f"""
-WITH {REF_SQL} SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 3.5::DOUBLE WHEN regexp_matches(nm, '{sc.chemoreceptor_pattern()}') THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM ref""")
+WITH {REF_SQL} SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 3.5::DOUBLE WHEN regexp_matches(nm, '{sc.CHEMORECEPTOR_PATTERN}') THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM ref""")
 def reference_category_weight(t):
     mapped = F.when(F.col("p_partkey") % 50 == 0, 3.5)
     return ref_names(t).select("p_partkey", sc.reference_category_weight(F.col("nm"), mapped=mapped).alias("weight"))
