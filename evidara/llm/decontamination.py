@@ -65,6 +65,16 @@ class SeedTable:
                 place = np.array([f[1:] for f in found], np.int64)[order]
                 self.tables.append((mask, h[order], place, present))
 
+    def state(self) -> tuple:
+        """Its contents as plain data, to be sent to the tasks."""
+        return self.ids, self.items, self.tables
+
+    @classmethod
+    def of(cls, state: tuple) -> SeedTable:
+        table = cls.__new__(cls)
+        table.ids, table.items, table.tables = state
+        return table
+
     def hits(self, t: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Distinct (document, item, place of the item's first token) of all seed hits."""
         out = []
@@ -103,7 +113,7 @@ def judge(item: np.ndarray, text: np.ndarray, first: int) -> tuple[int, int, int
 
 def _find(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = table.value
+        seeds = SeedTable.of(table.value)
         for batch in batches:
             for start, rows in doc_batches(batch, "text", BATCH_BYTES):
                 line, doc, begin = word_line(rows, True, EDGES)
@@ -133,7 +143,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = spark.createDataFrame([], schema)
     for s in range(shards):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == s).collect()
-        table = spark.sparkContext.broadcast(SeedTable([(r["item_id"], bytes(r["text"])) for r in mine]))
+        table = spark.sparkContext.broadcast(SeedTable([(r["item_id"], bytes(r["text"])) for r in mine]).state())
         out = out.union(rows.mapInArrow(_find(table), schema))
     return stash(out.distinct())
 
