@@ -20,6 +20,8 @@ NAMES = [
     "interval_loci", "tandem_clusters", "interval_overlap_join", "placement_cascade", "conserved_regions", "selection_score",
     "cds_splice", "identifier_recovery", "positive_control_lookup", "best_assembly", "tissue_enrichment", "family_expansion",
     "weighted_ref_proximity", "monophyly_check", "column_conservation", "near_duplicate_clusters", "knn_novelty", "swe_pooling",
+    "rra_score", "tied_block_size", "inventory_append", "quota_subsample", "balanced_sample", "merge_evidence_channels", "structure_mapping",
+    "anchor_set_build", "signal_groups", "scan_hmm_tblout", "identity_separation",
     "scan_paf", "scan_branch_json", "scan_newick", "sink_atomic_table",
 ]
 

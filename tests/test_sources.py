@@ -59,3 +59,15 @@ def test_tree_distances(spark):
     place = spark.createDataFrame([("t", "p", node["A"], 0.25, 0.5)], "tree string, query string, node long, distal double, pendant double")
     # half a unit out, 0.75 up to the parent, 2 down to B
     assert tr.placement_distance(edges, r, place).first()["dist"] == pytest.approx(0.5 + 0.75 + 2)
+
+
+def test_tag_beyond_the_thousandth(spark):
+    row = ["q", "100", "0", "90", "+", "c", "1000", "5", "95", "80", "90", "60"] + [f"x{i}:i:{i}" for i in range(1000)] + ["de:f:0.02"]
+    got = tx.scan_paf(spark.createDataFrame([("\t".join(row),)], "value string")).first()
+    assert got.chrom == "c" and abs(got.identity - 98.0) < 1e-9
+
+
+def test_hmm_rows_without_accession_or_score(spark):
+    lines = [("t1 - q1 - 1e-5 12.5 0.1",), ("t2 PF00001.23 q1 - 2e-5 n/a 0.1",), ("t3 PF1 q1 - x 1 0",)]
+    got = tx.scan_hmm_tblout(spark.createDataFrame(lines, "value string")).orderBy("target").collect()
+    assert [(r.target, r.accession, r.score) for r in got] == [("t1", "", 12.5), ("t2", "PF00001", None)]
