@@ -25,6 +25,8 @@ TOPICS = 8
 #: sweeps between two cuts of the lineage; raking ends when no side is off by more than TOLERANCE
 SWEEPS, TOLERANCE, MOST_SWEEPS = 6, 1e-6, 60
 SEED = 42
+#: a table of up to so many cells goes to every task
+BROADCAST_CELLS = 200_000
 
 
 def word_count(text: Column) -> Column:
@@ -126,6 +128,8 @@ def _decide(docs: DataFrame, targets, budget: float, topic: Column | None, seed:
     fitted = probabilities(rake(cells, targets), budget).select(
         *[F.col(s).alias(f"__{s}") for s in SIDES], (F.col("weight") / F.col("tokens")).alias("__factor"), F.col("probability").alias("__p"))
     fitted = cut(fitted)
+    # the documents stay where they are unless there are very many cells
+    fitted = F.broadcast(fitted) if fitted.count() <= BROADCAST_CELLS else fitted
     got = docs.withColumns(keys).join(fitted, [f"__{s}" for s in SIDES], "left")
     # a text without tokens weighs nothing, whatever is decided about it
     got = got.withColumn("__p", F.coalesce("__p", F.lit(0.0))).withColumn("__weight", F.coalesce(F.col("__factor") * F.col("__tokens"), F.lit(0.0)))
