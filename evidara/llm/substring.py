@@ -17,20 +17,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evidara.llm.common import (
-    doc_batches, gram_hashes, merge_spans, signed, span_hashes, split_by_ids, stash, window_runs, word_line,
+    BROADCAST_IDS, doc_batches, gram_hashes, merge_spans, signed, span_hashes, split_by_ids, stash, window_runs, word_line,
 )
 
 GRAM = 4
 BATCH_BYTES = 1 << 20
 #: words in the automaton of one task
 SHARD_WORDS = 60_000
-#: an owner with more distinct runs is split window by window
+#: an owner with more distinct runs is split window by window, and two places of each window meet
 HOT_RUNS = 2_000
 
 
@@ -152,10 +151,40 @@ def _runs(length: int):
 RUN_SCHEMA = "owner long, run long, doc_id long, key long, at int, n int"
 
 
+def _windows(length: int):
+    """Windows of the wanted runs: (doc_id, key, text, wanted) to WINDOW_SCHEMA, ``window`` the hash of a window's words."""
+    def flush(out: list[tuple]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*out)]
+        return pa.record_batch([pa.array(c) for c in columns], names=["window", "owner", "run", "off", "doc_id", "key", "at", "undecided"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for batch in batches:
+            for doc, key, row, wanted in zip(*batch.columns):
+                doc, key = doc.as_py(), key.as_py()
+                h = word_line([row.as_py() or b""])[0]
+                for w in wanted.as_py():
+                    off = np.arange(w["n"], dtype=np.int32)
+                    first = w["at"] + off
+                    owner, run_, mine, mark = (np.full(w["n"], v, np.int64) for v in (w["owner"], w["run"], doc, key))
+                    out.append((signed(span_hashes(h[first[0] : first[-1] + length], off, off + length)), owner, run_, off, mine, mark, first.astype(np.int32),
+                                np.full(w["n"], w["undecided"])))
+                    size += w["n"]
+                    if size >= 100_000:
+                        yield flush(out)
+                        out, size = [], 0
+        if out:
+            yield flush(out)
+    return run
+
+
+WINDOW_SCHEMA = "window long, owner long, run long, off int, doc_id long, key long, at int, undecided boolean"
+
+
 def _passages(length: int):
-    """Words of the wanted runs of each document: (text, wanted) to (shard, owner, run, off, least, undecided, words)."""
-    names = ["shard", "owner", "run", "off", "least", "undecided", "words"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
+    """Words of the wanted runs of each document: (text, wanted, hot) to (owner, run, least, undecided, hot, words)."""
+    names = ["owner", "run", "least", "undecided", "hot", "words"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
 
     def flush(out: list[tuple]) -> pa.RecordBatch:
         columns = zip(*out) if out else [()] * len(names)
@@ -164,14 +193,10 @@ def _passages(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for batch in batches:
-            for row, wanted in zip(batch.column(0), batch.column(1)):
-                h = word_line([row.as_py() or b""])[0]
+            for row, wanted, hot in zip(*batch.columns):
+                h, hot = word_line([row.as_py() or b""])[0], hot.as_py()
                 for w in wanted.as_py():
-                    part = h[w["at"] : w["at"] + w["n"] + length - 1]
-                    for off in range(w["n"]) if w["hot"] else (0,):
-                        raw = (part[off : off + length] if w["hot"] else part).tobytes()
-                        shard = xxhash.xxh3_64_intdigest(raw) >> 1 if w["hot"] else w["owner"]
-                        out.append((shard, w["owner"], w["run"], off, w["least"], w["undecided"], raw))
+                    out.append((w["owner"], w["run"], w["least"], w["undecided"], hot, h[w["at"] : w["at"] + w["n"] + length - 1].tobytes()))
                 if len(out) >= 20_000:
                     yield flush(out)
                     out = []
@@ -191,8 +216,8 @@ def _match(length: int):
             automaton.add(string, least)
         automaton.close()
         out = []
-        facts = zip(strings, *(part[c].tolist() for c in ("undecided", "owner", "run", "off", "least")))
-        for string, undecided, owner, run_, off, least in facts:
+        facts = zip(strings, *(part[c].tolist() for c in ("undecided", "owner", "run", "hot", "least")))
+        for string, undecided, owner, run_, hot, least in facts:
             if not undecided:
                 continue
             place = None
@@ -200,9 +225,10 @@ def _match(length: int):
                 if n >= length and mark < least:
                     place = i if place is None else place
                 elif place is not None:
-                    out.append((owner, run_, off + place, i - place))
+                    out.append((owner, run_, hot, place, i - place))
                     place = None
-        return pd.DataFrame(out, columns=["owner", "run", "skip", "m"]).astype({"owner": "int64", "run": "int64", "skip": "int32", "m": "int32"})
+        return pd.DataFrame(out, columns=["owner", "run", "hot", "skip", "m"]).astype(
+            {"owner": "int64", "run": "int64", "hot": "bool", "skip": "int32", "m": "int32"})
     return run
 
 
@@ -221,19 +247,38 @@ def repeated_windows(docs: DataFrame, length: int = 13) -> DataFrame:
     # the first document of a run is undecided where an earlier one holds other runs of the owner
     load = distinct.groupBy("owner").agg(F.max("undecided").alias("open"), F.count("*").alias("runs")).where("open")
     wanted = distinct.join(load.select("owner", (F.col("runs") > HOT_RUNS).alias("hot")), "owner")
-    wanted = stash(wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct(
-        "owner", "run", "at", "n", F.col("doc_id").alias("least"), "undecided", "hot")).alias("wanted")))
-    total = wanted.agg(F.sum(F.aggregate("wanted", F.lit(0).cast("long"), lambda s, w: s + w["n"] + length - 1))).first()[0]
+    wanted = stash(wanted.groupBy("doc_id", "key", "hot").agg(F.collect_list(F.struct(
+        "owner", "run", "at", "n", F.col("doc_id").alias("least"), "undecided")).alias("wanted")))
+    sizes = {r["hot"]: r["size"] for r in wanted.groupBy("hot").agg(F.sum(F.aggregate(
+        "wanted", F.lit(0).cast("long"), lambda s, w: s + w["n"] + length - 1)).alias("size")).collect()}
+    total = sizes.get(False, 0)
     spans = members.join(distinct.select("owner", "run", F.col("doc_id").alias("least")), ["owner", "run"])
     later = spans.where("doc_id > least").select("doc_id", "key", "at", "n")
-    if total:
+    if sizes:
         texts, _ = split_by_ids(rows, wanted.select("doc_id").distinct(), ["doc_id"])
         texts = texts.dropDuplicates(["doc_id", "key"])
-        parts = texts.join(wanted, ["doc_id", "key"]).select("text", "wanted").mapInArrow(
-            _passages(length), "shard long, owner long, run long, off int, least long, undecided boolean, words binary")
+        pieces = wanted.where("not hot").select("doc_id", "key", "wanted", "hot")
+        if True in sizes:
+            # of each window of a hot owner that several documents hold, the first place makes the automaton and the last streams past it
+            windows = stash(texts.join(wanted.where("hot"), ["doc_id", "key"]).select("doc_id", "key", "text", "wanted").mapInArrow(_windows(length), WINDOW_SCHEMA))
+            place = F.struct("doc_id", "key", "at")
+            twice = stash(windows.groupBy("window").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a.doc_id < b.doc_id"))
+            total += 2 * length * twice.count()
+            two = twice.select("window", F.inline(F.array(
+                F.struct("a.*", F.lit(False).alias("undecided")), F.struct("b.*", F.lit(True).alias("undecided")))))
+            pieces = pieces.union(two.groupBy("doc_id", "key").agg(F.collect_list(F.struct(
+                F.col("window").alias("owner"), F.lit(0).cast("long").alias("run"), "at", F.lit(1).alias("n"), F.col("doc_id").alias("least"), "undecided"))
+                .alias("wanted")).withColumn("hot", F.lit(True)))
+        parts = texts.join(pieces, ["doc_id", "key"]).select("text", "wanted", "hot").mapInArrow(
+            _passages(length), "owner long, run long, least long, undecided boolean, hot boolean, words binary")
         shards = max(1, -(-int(total) // SHARD_WORDS))
-        found = stash(parts.groupBy(F.pmod("shard", F.lit(shards)).alias("shard")).applyInPandas(
-            _match(length), "owner long, run long, skip int, m int"))
+        found = stash(parts.groupBy(F.pmod("owner", F.lit(shards)).alias("shard")).applyInPandas(
+            _match(length), "owner long, run long, hot boolean, skip int, m int"))
+        if True in sizes:
+            told = found.where("hot").select(F.col("owner").alias("window")).join(twice.select("window", F.col("a.doc_id").alias("least")), "window")
+            told = F.broadcast(told) if told.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else told
+            repeated = windows.where("undecided").join(told, "window").where("doc_id > least")
+            found = found.where("not hot").union(repeated.select("owner", "run", F.lit(True), F.col("off"), F.lit(1)))
         heads = spans.where("doc_id = least").join(found, ["owner", "run"])
         later = later.union(heads.select("doc_id", "key", (F.col("at") + F.col("skip")).alias("at"), F.col("m").alias("n")))
     return later.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "n")).alias("spans"))

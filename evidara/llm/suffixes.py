@@ -26,7 +26,7 @@ GRAM = 32
 BATCH_BYTES = 1 << 19
 #: bytes whose suffixes one task sorts at a time
 SHARD_BYTES = 1 << 20
-#: an owner with more distinct runs is split window by window
+#: an owner with more distinct runs is split window by window, and two places of each window are sorted
 HOT_RUNS = 1_000
 
 
@@ -135,10 +135,37 @@ def _slices(rows: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.nda
         yield (np.repeat([i for i, _ in group], sizes), np.arange(size) - np.repeat(begin, sizes), b"".join(t for _, t in group))
 
 
+def _windows(length: int):
+    """Windows of the wanted runs: (key, text, wanted) to WINDOW_SCHEMA, ``window`` the hash of a window's bytes."""
+    def flush(out: list[tuple]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*out)]
+        return pa.record_batch([pa.array(c) for c in columns], names=["window", "key", "at", "undecided"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for batch in batches:
+            for key, row, wanted in zip(*batch.columns):
+                key, raw = key.as_py(), memoryview(row.as_py() or b"")
+                for w in wanted.as_py():
+                    at = np.arange(w["at"], w["at"] + w["n"])
+                    window = np.fromiter((xxhash.xxh3_64_intdigest(raw[a : a + length]) for a in at.tolist()), np.uint64, len(at))
+                    out.append((signed(window), np.full(len(at), key, np.int64), at, np.full(len(at), w["undecided"])))
+                    size += len(at)
+                    if size >= 100_000:
+                        yield flush(out)
+                        out, size = [], 0
+        if out:
+            yield flush(out)
+    return run
+
+
+WINDOW_SCHEMA = "window long, key long, at long, undecided boolean"
+
+
 def _passages(length: int):
-    """Bytes of the wanted runs: (text, wanted) to (shard, owner, run, off, undecided, data)."""
-    names = ["shard", "owner", "run", "off", "undecided", "data"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+    """Bytes of the wanted runs: (text, wanted, hot) to (owner, run, undecided, hot, data)."""
+    names = ["owner", "run", "undecided", "hot", "data"]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
 
     def flush(out: list[tuple]) -> pa.RecordBatch:
         columns = zip(*out) if out else [()] * len(names)
@@ -147,17 +174,13 @@ def _passages(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for batch in batches:
-            for row, wanted in zip(batch.column(0), batch.column(1)):
-                text = row.as_py() or b""
+            for row, wanted, hot in zip(*batch.columns):
+                text, hot = row.as_py() or b"", hot.as_py()
                 for w in wanted.as_py():
-                    part = text[w["at"] : w["at"] + w["n"] + length - 1]
-                    for off in range(w["n"]) if w["hot"] else (0,):
-                        piece = part[off : off + length] if w["hot"] else part
-                        shard = xxhash.xxh3_64_intdigest(piece) >> 1 if w["hot"] else w["owner"]
-                        out.append((shard, w["owner"], w["run"], off, w["undecided"], piece))
-                        if len(out) >= 10_000:
-                            yield flush(out)
-                            out = []
+                    out.append((w["owner"], w["run"], w["undecided"], hot, text[w["at"] : w["at"] + w["n"] + length - 1]))
+                    if len(out) >= 10_000:
+                        yield flush(out)
+                        out = []
         yield flush(out)
     return run
 
@@ -187,11 +210,12 @@ def _sort(length: int):
     def run(_, part):
         out = []
         hits = repeated_starts(part["data"].tolist(), length)
-        for owner, run_, off, undecided, hit in zip(part["owner"], part["run"], part["off"], part["undecided"], hits):
+        for owner, run_, undecided, hot, hit in zip(part["owner"], part["run"], part["undecided"], part["hot"], hits):
             if undecided:
                 edges = np.flatnonzero(np.diff(np.r_[0, hit, 0]))
-                out += [(owner, run_, off + a, b - a) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
-        return pd.DataFrame(out, columns=["owner", "run", "skip", "m"]).astype({"owner": "int64", "run": "int64", "skip": "int64", "m": "int32"})
+                out += [(owner, run_, hot, a, b - a) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
+        return pd.DataFrame(out, columns=["owner", "run", "hot", "skip", "m"]).astype(
+            {"owner": "int64", "run": "int64", "hot": "bool", "skip": "int64", "m": "int32"})
     return run
 
 
@@ -208,19 +232,37 @@ def repeated_spans(keyed: DataFrame, length: int) -> DataFrame:
     distinct = stash(distinct.join(owners, "owner").select("owner", "run", "n", "copies", "rep.*"))
     load = distinct.groupBy("owner").agg(F.min("copies").alias("least"), F.count("*").alias("runs")).where("least = 1")
     wanted = distinct.join(load.select("owner", (F.col("runs") > HOT_RUNS).alias("hot")), "owner")
-    wanted = stash(wanted.groupBy("key").agg(F.collect_list(F.struct(
-        "owner", "run", "at", "n", (F.col("copies") == 1).alias("undecided"), "hot")).alias("wanted")))
-    total = wanted.agg(F.sum(F.aggregate("wanted", F.lit(0).cast("long"), lambda s, w: s + F.when(
-        w["hot"], w["n"] * F.lit(length)).otherwise(w["n"] + length)))).first()[0]
+    wanted = stash(wanted.groupBy("key", "hot").agg(F.collect_list(F.struct("owner", "run", "at", "n", (F.col("copies") == 1).alias("undecided"))).alias("wanted")))
+    sizes = {r["hot"]: r["size"] for r in wanted.groupBy("hot").agg(F.sum(F.aggregate(
+        "wanted", F.lit(0).cast("long"), lambda s, w: s + w["n"] + length)).alias("size")).collect()}
+    total = sizes.get(False, 0)
     # a run that occurs twice as a whole is repeated wherever it stands
     spans = runs.join(distinct.where("copies > 1").select("owner", "run"), ["owner", "run"]).select("key", "at", "n")
-    if total:
+    if sizes:
         texts, _ = split_by_ids(rows, wanted.select("key"), ["key"])
         texts = texts.dropDuplicates(["key"])
-        parts = texts.join(wanted, "key").select("text", "wanted").mapInArrow(
-            _passages(length), "shard long, owner long, run long, off int, undecided boolean, data binary")
+        pieces = wanted.where("not hot").select("key", "wanted", "hot")
+        if True in sizes:
+            # of each window of a hot owner that occurs twice, two places are sorted, however many there are
+            windows = stash(texts.join(wanted.where("hot"), "key").select("key", "text", "wanted").mapInArrow(_windows(length), WINDOW_SCHEMA))
+            place = F.struct("key", "at")
+            twice = stash(windows.groupBy("window").agg(F.count("*").alias("all"), F.max("undecided").alias("open"), F.array(F.min(place), F.max(place)).alias("two"))
+                          .where("all > 1 and open").select("window", "two"))
+            total += 2 * length * twice.count()
+            two = twice.select("window", F.explode("two").alias("p")).select("window", "p.*")
+            pieces = pieces.union(two.groupBy("key").agg(F.collect_list(F.struct(
+                F.col("window").alias("owner"), F.lit(0).cast("long").alias("run"), "at", F.lit(1).alias("n"), F.lit(True).alias("undecided")))
+                .alias("wanted")).withColumn("hot", F.lit(True)))
+        parts = texts.join(pieces, "key").select("text", "wanted", "hot").mapInArrow(
+            _passages(length), "owner long, run long, undecided boolean, hot boolean, data binary")
         shards = max(1, -(-int(total) // SHARD_BYTES))
-        found = parts.groupBy(F.pmod("shard", F.lit(shards)).alias("shard")).applyInPandas(_sort(length), "owner long, run long, skip long, m int")
+        found = parts.groupBy(F.pmod("owner", F.lit(shards)).alias("shard")).applyInPandas(
+            _sort(length), "owner long, run long, hot boolean, skip long, m int")
+        if True in sizes:
+            found = stash(found)
+            repeated, _ = split_by_ids(windows.where("undecided"), found.where("hot").select(F.col("owner").alias("window")).distinct(), ["window"])
+            spans = spans.union(repeated.select("key", "at", F.lit(1)))
+            found = found.where("not hot")
         edges = distinct.where("copies = 1").join(found, ["owner", "run"])
         spans = spans.union(edges.select("key", F.col("at") + F.col("skip"), "m"))
     return spans.groupBy("key").agg(F.collect_list(F.struct("at", "n")).alias("spans"))

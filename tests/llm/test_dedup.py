@@ -159,6 +159,40 @@ def test_byte_removal_of_long_texts_in_slices(spark, monkeypatch):
     assert h.same(suffixes.removal_digests(h.docs(spark, rows), 60).collect(), h.byte_removal(rows, 60))
 
 
+def _noticed(n, size):
+    """Documents that hold one notice in differing surroundings."""
+    notice = h.words_text(42, size, 10**6)
+    rows = [(i, f"{h.words_text(100 + i, 8, 10**6)} {notice} {h.words_text(500 + i, 8, 10**6)}") for i in range(n)]
+    return rows + [(3, rows[5][1]), (n, h.words_text(9, 30, 10**6)), (n + 1, notice), (n + 2, f"{notice} {notice}"), (None, notice)]
+
+
+def _met(real, column, most):
+    """``real``, which must not meet equal strings more often than ``most`` in one group."""
+    def strict(length):
+        run = real(length)
+
+        def checked(key, part):
+            assert part[column].value_counts().max() <= most, "copies of one window in one group"
+            return run(key, part)
+        return checked
+    return strict
+
+
+@pytest.mark.parametrize("size", [13, 15])
+def test_a_window_of_a_hot_owner_streams_once(spark, monkeypatch, size):
+    monkeypatch.setattr(substring, "HOT_RUNS", 4)
+    monkeypatch.setattr(substring, "_match", _met(substring._match, "words", 2))
+    rows = _noticed(40, size)
+    assert h.same(substring.removal_digests(h.docs(spark, rows)).collect(), h.word_removal(rows, 13))
+
+
+def test_a_window_of_a_hot_owner_is_sorted_twice_at_most(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT_RUNS", 4)
+    monkeypatch.setattr(suffixes, "_sort", _met(suffixes._sort, "data", 2))
+    rows = _noticed(40, 12)
+    assert h.same(suffixes.removal_digests(h.docs(spark, rows), 70).collect(), h.byte_removal(rows, 70))
+
+
 def test_suffix_array():
     r = random.Random(1)
     for _ in range(500):
