@@ -3,12 +3,14 @@
 A seed is a mask over neighbouring tokens; only the tokens under its ones are hashed, so a
 substitution under a zero does not hide the passage.  The hashes of the benchmark go to every
 task in shards of bounded size; each document's hashes meet them, and around each hit the item
-is laid over the document without gaps and the best stretch is judged.
+is laid over the document without gaps and the stretch with the most equal tokens is judged.
+Every stretch that counts holds one of the masks, so none is missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -17,14 +19,16 @@ from pyspark.sql import functions as F
 
 from evidara.llm.common import doc_batches, mix, split_by_ids, stash, word_line
 
-#: masks of weight 5; with up to one substitution in four tokens a passage of 16 tokens is hit with high probability
-SEEDS = ("11111", "1101011", "110010011", "1010110001")
+#: masks of weight 5; one of them fits into every stretch of 10 equal tokens or more at IDENTITY
+SEEDS = ("11111", "1101011", "110010011", "1010110001", "11001010001", "11100001001", "10100110001")
+#: for items that fewer than LEAST_TOKENS equal tokens cover; with SEEDS one fits into every stretch of 5 to 9 at IDENTITY
+SHORT_SEEDS = ("101111", "110111", "111011", "111101", "1001111", "1010111", "1011011", "1011101", "1100111", "1101101", "1110011", "1110101",
+               "1111001", "11010101", "101000111")
 #: a stretch counts from so many equal tokens, or from that share of the item (and SHORT tokens)
 LEAST_TOKENS, LEAST_COVER, SHORT = 10, 0.6, 5
 #: share of equal tokens in a stretch
 IDENTITY = 0.7
-MISMATCH = -2.0
-#: tokens of benchmark items that one pass over the documents looks for (about 100 MB of tables)
+#: tokens of benchmark items that one pass over the documents looks for (100 to 400 MB of tables, the more the shorter the items)
 SHARD_TOKENS = 1_000_000
 BATCH_BYTES = 1 << 20
 FILTER_BITS = 22
@@ -42,27 +46,34 @@ def seed_hashes(t: np.ndarray, mask: str) -> np.ndarray:
     return mix(h)
 
 
+def _least(size):
+    """Equal tokens from which a stretch covers enough of an item of ``size`` tokens."""
+    part, whole = Fraction(str(LEAST_COVER)).as_integer_ratio()
+    return np.maximum(SHORT, -(-size * part // whole))
+
+
 class SeedTable:
     """Hashes of a shard of benchmark items for every mask."""
 
     def __init__(self, items: list[tuple[int, bytes]]):
         self.ids = [i for i, _ in items]
-        line, _, begin = word_line([t for _, t in items], True, EDGES)
+        line, row, begin = word_line([t for _, t in items], True, EDGES)
         self.items = np.split(line, begin[1:]) if items else []
+        size = np.bincount(row, minlength=len(items))
         shortest = min(len(m) for m in SEEDS)
         # an item too short for every mask is looked for as a whole
-        masks = [*SEEDS, *("1" * n for n in sorted({len(t) for t in self.items if 0 < len(t) < shortest}))]
+        masks = [(m, size >= shortest) for m in SEEDS] + [(m, _least(size) < LEAST_TOKENS) for m in SHORT_SEEDS]
+        masks += [("1" * n, size == n) for n in range(1, shortest)]
         self.tables = []
-        for mask in masks:
-            whole = len(mask) < shortest
-            found = [(h, i, p) for i, t in enumerate(self.items) if not whole or len(t) == len(mask)
-                     for p, h in enumerate(seed_hashes(t, mask).tolist())]
-            if found:
-                h = np.array([f[0] for f in found], np.uint64)
+        for mask, wanted in masks:
+            h = seed_hashes(line, mask)
+            at = np.flatnonzero((row[: len(h)] == row[len(mask) - 1 :]) & wanted[row[: len(h)]])
+            if len(at):
+                h = h[at]
                 order = np.argsort(h, kind="stable")
                 present = np.zeros(1 << FILTER_BITS, bool)
                 present[h >> np.uint64(64 - FILTER_BITS)] = True
-                place = np.array([f[1:] for f in found], np.int64)[order]
+                place = np.c_[row[at], at - begin[row[at]]].astype(np.int32)[order]
                 self.tables.append((mask, h[order], place, present))
 
     def state(self) -> tuple:
@@ -92,11 +103,15 @@ class SeedTable:
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
-    """Bounds of the stretch with the largest sum of +1 for equal and MISMATCH for unequal tokens."""
-    total = np.r_[0.0, np.cumsum(np.where(equal, 1.0, MISMATCH))]
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    return int(np.argmin(total[: end + 1])), end
+    """Bounds of the stretch with the most equal tokens of those with a share of IDENTITY: from each
+    end back to the first place whose sum of (equal - IDENTITY) is not larger."""
+    part, whole = Fraction(str(IDENTITY)).as_integer_ratio()
+    total = np.r_[0, np.cumsum(np.where(equal, whole - part, -part))]
+    count = np.r_[0, np.cumsum(equal)]
+    start = np.searchsorted(-np.minimum.accumulate(total), -total)
+    end = int(np.argmax(count - count[start]))
+    lo = int(start[end])
+    return (lo + int(np.argmax(equal[lo:end])), end) if end > lo else (lo, lo)
 
 
 def judge(item: np.ndarray, text: np.ndarray, first: int) -> tuple[int, int, int] | None:
@@ -107,8 +122,7 @@ def judge(item: np.ndarray, text: np.ndarray, first: int) -> tuple[int, int, int
     lo, hi = best_stretch(equal)
     same = int(equal[lo:hi].sum())
     whole = len(item) <= SHORT and same == len(item)
-    enough = same >= LEAST_TOKENS or (same >= SHORT and same >= LEAST_COVER * len(item))
-    return (first + a + lo, hi - lo, same) if whole or (enough and same >= IDENTITY * (hi - lo)) else None
+    return (first + a + lo, hi - lo, same) if whole or same >= min(LEAST_TOKENS, _least(len(item))) else None
 
 
 def _find(table):

@@ -158,6 +158,63 @@ def test_decontamination_is_brute_force_on_seed_hits(spark, monkeypatch):
         assert got[i] == sorted(set(found))
 
 
+def _counts(item, text):
+    """The stated rule by trying all places and stretches of two lists of tokens: the most equal tokens, 0 if none counts."""
+    most = 0
+    for at in range(-len(item) + 1, len(text)):
+        lo, hi = max(0, -at), min(len(item), len(text) - at)
+        equal = [item[i] == text[at + i] for i in range(lo, hi)]
+        for a in range(len(equal)):
+            for b in range(a + 1, len(equal) + 1):
+                same = sum(equal[a:b])
+                if len(item) <= 5:
+                    counts = same == len(item)
+                else:
+                    counts = (same >= 10 or (same >= 5 and 10 * same >= 6 * len(item))) and 10 * same >= 7 * (b - a)
+                most = max(most, same if counts else 0)
+    return most
+
+
+def test_decontamination_is_the_stated_rule(spark):
+    r = random.Random(11)
+    items = [(i, h.words_text(3000 + i, 3 + i % 24, 10**6)) for i in range(72)]
+    rows = []
+    for i in range(360):
+        words = items[i % 72][1].split()
+        for p in r.sample(range(len(words)), min(len(words), round(len(words) * r.choice([0, 0.2, 0.25, 0.28, 0.3, 0.33])))):
+            words[p] = f"zz{r.randrange(10**6)}"
+        rows.append((i, " ".join([h.words_text(i, 4, 10**6), *words, h.words_text(7000 + i, 3, 10**6)])))
+    got = {x.doc_id: x for x in decontamination.contamination(h.docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for i, text in rows:
+        want = _counts(items[i % 72][1].split(), text.split())
+        assert (got[i].item_ids, got[i].matched) == ([i % 72] if want else [], want), (i, text)
+    assert 100 < sum(x.contaminated for x in got.values()) < 340
+
+
+@pytest.mark.parametrize("least, most", [(5, 9), (10, 99)])
+def test_every_stretch_that_counts_holds_a_seed(least, most):
+    """All strings of equal and other tokens that avoid the masks, by their last tokens: the largest sum of
+    (equal - 0.7) for each number of equal tokens stays below 0."""
+    masks = decontamination.SEEDS + (decontamination.SHORT_SEEDS if least < 10 else ())
+    width = max(map(len, masks))
+    need = [(int(m, 2), len(m)) for m in masks]
+    full = (1 << width) - 1
+    step = [[(s << 1 | b) & full for b in (0, 1)] for s in range(full + 1)]
+    bad = [any(s & m == m for m, _ in need) for s in range(full + 1)]
+    best = {(0, 0): 0}
+    seen = {}
+    while best:
+        then = {}
+        for (state, n), total in best.items():
+            for b in (0, 1):
+                key, value = (step[state][b], min(n + b, least)), total + (3 if b else -7)
+                if not bad[key[0]] and value > max(seen.get(key, -100), then.get(key, -100)):
+                    then[key] = value
+        seen |= then
+        best = then
+        assert all(value < 0 for (_, n), value in then.items() if n >= least)
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contamination(h.docs(spark, []), none).collect() == []
