@@ -20,7 +20,9 @@ BROADCAST_RULES = 200_000
 
 _TAG = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 _HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_REFRESH = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)"
+_REFRESH = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*"
+_TARGET = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)"
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
 def host(url: Column) -> Column:
@@ -40,18 +42,38 @@ def address(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.concat(host(url), rest))
 
 
+def without_dots(path: Column) -> Column:
+    """A path from the root with its segments ``.`` and ``..`` worked off."""
+    def step(done: Column, segment: Column) -> Column:
+        return (F.when(segment == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
+                .when(segment == ".", done).otherwise(F.concat(done, F.array(segment))))
+
+    segments = F.split(path, "/")
+    segments = F.when(path.rlike(r"/\.\.?$"), F.concat(segments, F.array(F.lit("")))).otherwise(segments)
+    worked = F.array_join(F.aggregate(segments, F.array().cast("array<string>"), step), "/")
+    return F.when(F.contains(path, F.lit("/.")), worked).otherwise(path)
+
+
 def absolute(link: Column, base: Column) -> Column:
-    """A link as an address: absolute, scheme-relative or from the root of the page's host; null otherwise."""
-    return (F.when(F.contains(link, F.lit("://")), address(link))
+    """A link of the page ``base`` as an address: absolute, scheme-relative, from the root of the host, or
+    relative to the page's folder; null for a mere fragment and other schemes (``mailto:``)."""
+    named = F.regexp_extract(link, r"(?s)^[^?#]*", 0)
+    query = F.regexp_extract(link, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    here = F.when(path(base) == "", F.lit("/")).otherwise(path(base))
+    target = (F.when(named.startswith("/"), named).when(named == "", here)
+              .otherwise(F.concat(F.regexp_extract(here, "(?s)^.*/", 0), named)))
+    return (F.when(link.rlike(_SCHEME + "//"), address(link))
             .when(link.startswith("//"), address(F.concat(F.lit("http:"), link)))
-            .when(link.startswith("/"), address(F.concat(F.lit("http://"), host(base), link))))
+            .when(~link.rlike(_SCHEME) & ~link.startswith("#"), address(F.concat(F.lit("http://"), host(base), without_dots(target), query))))
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): addresses that a page (url, html) ties together by a canonical link or a refresh."""
+    """(a, b): addresses that a page (url, html) ties together by a canonical link or a refresh, all of its tags."""
     tagged = pages.where(F.contains(ascii_lower(F.col("html")), F.lit("canonical")) | F.contains(ascii_lower(F.col("html")), F.lit("refresh")))
-    links = F.array(F.regexp_extract(F.regexp_extract("html", _TAG, 0), _HREF, 1), F.regexp_extract("html", _REFRESH, 1))
+    links = F.concat(F.transform(F.regexp_extract_all("html", F.lit(_TAG), F.lit(0)), lambda t: F.regexp_extract(t, _HREF, 1)),
+                     F.transform(F.regexp_extract_all("html", F.lit(_REFRESH), F.lit(0)), lambda t: F.regexp_extract(t, _TARGET, 1)))
     found = tagged.select("url", F.explode(links).alias("link")).where("link <> ''")
+    found = found.withColumn("link", F.regexp_replace("link", "&(?:amp|#38|#[xX]26);", "&"))
     found = found.select(address(F.col("url")).alias("a"), absolute(F.col("link"), F.col("url")).alias("b"))
     return found.where("a is not null and b is not null and a <> b").distinct()
 

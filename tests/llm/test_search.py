@@ -62,6 +62,29 @@ def test_aliases_carry_blocks_unless_allowed(spark):
     assert {i for i, v in got.items() if v == "block"} == blocked and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("url, html, target", [
+    ("http://a.x/d/e.html?q=1", "<meta http-equiv=refresh content='0;url=next.html'>", "a.x/d/next.html"),
+    ("http://a.x/d/e.html", "<link rel=canonical href='a/b'>", "a.x/d/a/b"),
+    ("http://a.x/d/e/f", "<link rel=canonical href='../x'>", "a.x/d/x"),
+    ("http://a.x/d", "<link rel=canonical href='../../x/./y/..'>", "a.x/x/"),
+    ("http://a.x/d/e?p=1", "<link rel=canonical href='?p=2#z'>", "a.x/d/e?p=2"),
+    ("http://a.x", "<link rel=canonical href='b?u=http://c.x/'>", "a.x/b?u=http://c.x/"),
+    ("http://a.x/1", "<link rel=canonical href='/1'><LINK href='/2' rel=canonical>", "a.x/2"),
+    ("http://a.x/1", "<meta http-equiv=refresh content='5'><meta http-equiv=refresh content='0;url=/2'>", "a.x/2"),
+    ("http://a.x/1", "<meta content='0;url=/2' http-equiv=refresh>", "a.x/2"),
+    ("http://a.x/1", "<link rel=canonical href='/2?a=1&amp;b=2'>", "a.x/2?a=1&b=2"),
+    ("http://a.x/1", "<link rel=canonical href='mailto:b@c.x'><link rel=canonical href='#top'>", None),
+])
+def test_links_of_every_kind_carry_blocks(spark, url, html, target):
+    pages = spark.createDataFrame([(1, url, html)], "page_id long, url string, html string")
+    assert [r.b for r in urls.alias_edges(pages).collect()] == ([target] if target else [])
+    if target:
+        path = target[3:].partition("?")[0]
+        other = spark.createDataFrame([(2, "http://" + target, None)], pages.schema)
+        got = {r.page_id: r.verdict for r in urls.filter_urls(pages.union(other), [("a.x", path, "block")]).collect()}
+        assert got == {1: "block", 2: "block"}
+
+
 def test_url_filter_of_nothing(spark):
     assert urls.filter_urls(pages(spark, []), URL_RULES).collect() == []
     none = spark.createDataFrame([], "host string, path string, verdict string")
