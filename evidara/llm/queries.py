@@ -13,6 +13,7 @@ from evidara.llm.language import identify
 from evidara.llm.minhash import near_duplicates
 from evidara.llm.mixing import mixture
 from evidara.llm.neighbours import nearest
+from evidara.llm.recipes import exact_groups
 from evidara.llm.toxicity import toxicity
 from evidara.llm.urls import filter_urls
 from evidara.llm.warc import archive_round_trip
@@ -188,3 +189,13 @@ _BASE32 = " || ".join(
 """)
 def op6(spark: SparkSession, path: str) -> DataFrame:
     return archive_round_trip(table(spark, path, "pages"))
+
+
+@query("op13_exact_dedup", """
+    with n as (
+      select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+    g as (select t, max(doc_id) as keep_id, count(*) as group_size from n group by t)
+    select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256 from n join g using (t)
+""")
+def op13(spark: SparkSession, path: str) -> DataFrame:
+    return exact_groups(table(spark, path, "documents"))
