@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from evidara.llm import substring, suffixes
 from evidara.llm.decontamination import contamination
 from evidara.llm.language import identify
+from evidara.llm.lexical import rank_documents
 from evidara.llm.minhash import near_duplicates
 from evidara.llm.mixing import mixture
 from evidara.llm.neighbours import nearest
@@ -199,3 +200,25 @@ def op6(spark: SparkSession, path: str) -> DataFrame:
 """)
 def op13(spark: SparkSession, path: str) -> DataFrame:
     return exact_groups(table(spark, path, "documents"))
+
+
+@query("op11_lexical_search", r"""
+    with d as (
+      select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts from documents),
+    i as (
+      select row_number() over () as q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts from benchmark),
+    s as (select sum(len(ts))::bigint as l, count(*) filter (len(ts) > 0) as n from d),
+    q as (select q, item_id, term, count(*) as c from (select q, item_id, unnest(ts) as term from i) group by all),
+    p as (select r, term, count(*) as tf from (select r, unnest(ts) as term from d) where term in (select term from q) group by all),
+    f as (select term, floor(1000 * ln((2 * max(n) + 2) / (2 * count(*) + 1)))::bigint as w from p, s group by term),
+    m as (select r, doc_id, 75 + (25 * len(ts) * n) // l as m from d, s where len(ts) > 0),
+    x as (
+      select q, item_id, r, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+      from q join p using (term) join f using (term) join m using (r) group by all),
+    k as (select *, row_number() over (partition by q order by score desc, doc_id)::int as rank from x where score > 0)
+    select item_id, rank, doc_id, score from k where rank <= 20
+""")
+def op11(spark: SparkSession, path: str) -> DataFrame:
+    return rank_documents(table(spark, path, "documents"), table(spark, path, "benchmark"))
