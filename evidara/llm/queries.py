@@ -16,6 +16,7 @@ from evidara.llm.mixing import mixture
 from evidara.llm.neighbours import nearest
 from evidara.llm.recipes import exact_groups
 from evidara.llm.toxicity import toxicity
+from evidara.llm.tries import prefix_trie
 from evidara.llm.urls import filter_urls
 from evidara.llm.warc import archive_round_trip
 
@@ -222,3 +223,40 @@ def op13(spark: SparkSession, path: str) -> DataFrame:
 """)
 def op11(spark: SparkSession, path: str) -> DataFrame:
     return rank_documents(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
+@query("op12_conversation_trie", r"""
+    with t as (
+      select conv_id, row_number() over (partition by conv_id order by turn nulls first, sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) as pos,
+        sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as g,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words
+      from conversations where conv_id is not null),
+    ops as (
+      select conv_id, conv_id::varchar as s, list_concat([4294967295], flatten(list_transform(range(1, strlen(conv_id::varchar) + 1),
+        lambda i: [ascii(substr(conv_id::varchar, i, 1))::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))) as l
+      from (select distinct conv_id from t)),
+    c as (
+      select conv_id, conv_id - conv_id % 20 as donor,
+        xor(list_reduce(l, lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384 * (a & 1)) end), 4294967295) % 4 as h from ops),
+    lead_ as (select c.conv_id, t.pos as d, t.g, t.words from c join t on t.conv_id = c.donor and t.pos <= c.h),
+    own as (
+      select t.conv_id, t.pos - c.h + (select count(*) from lead_ where lead_.conv_id = t.conv_id) as d, t.g, t.words
+      from t join c using (conv_id) where t.pos > c.h),
+    r as (select * from lead_ union all select * from own),
+    p as (
+      select conv_id, d, words, sha256(string_agg(g, '' order by d) over (partition by conv_id order by d)) as k from r
+      union all select conv_id, 0, 0, 'root' from c),
+    n as (select d, k, min(conv_id) as conv_id, count(*) as n_convs, max(words) as words from p group by d, k),
+    x as (select n.*, q.k as up from n left join p q on q.conv_id = n.conv_id and q.d = n.d - 1),
+    kids as (select d - 1 as d, up as k, count(*) as n_children from x where up is not null group by all),
+    y as (select x.*, coalesce(n_children, 0) as n_children from x left join kids using (d, k)),
+    sub as (
+      select p.d, p.k, sum((y.n_convs - 1) * y.words)::bigint as saved_tokens, count(*) filter (y.n_children = 0) as n_leaves
+      from y join p on p.conv_id = y.conv_id and p.d <= y.d group by all),
+    last_ as (select conv_id, max(d) as d from p group by conv_id),
+    e as (select p.d, p.k, string_agg(conv_id::varchar, ',' order by conv_id) as s from p join last_ using (conv_id, d) group by all)
+    select y.conv_id, y.d as depth, u.conv_id as parent_conv_id, y.n_convs, y.n_children, n_leaves, saved_tokens, sha256(coalesce(s, '')) as ends_sha256
+    from y join sub using (d, k) left join e using (d, k) left join n u on u.d = y.d - 1 and u.k = y.up
+""")
+def op12(spark: SparkSession, path: str) -> DataFrame:
+    return prefix_trie(table(spark, path, "conversations"))
