@@ -18,15 +18,26 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
-def stash(df: DataFrame) -> DataFrame:
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stash(df: DataFrame, release: bool = False) -> DataFrame:
     """Write ``df`` once as a compressed table in the shared folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` at a fraction of the bytes.  The files go when
-    the driver's JVM ends.
+    the driver's JVM ends.  With ``release`` the shuffle files of the write go as soon as the
+    table is there; otherwise they wait for the driver's garbage collection.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_RELEASE, "false")
+    if release:
+        spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if release:
+            spark.conf.set(_RELEASE, before)
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
@@ -167,29 +178,3 @@ def doc_batches(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[tuple[
 
 def signed(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values).view(np.int64)
-
-
-#: a table of at most so many bytes is sent to every task
-BROADCAST_BYTES = 64 << 20
-#: rows of one key that a shuffled join gives to one task
-HOT_ROWS = 100_000
-
-
-def join_unique(left: DataFrame, right: DataFrame, on: list[str], rows: str, spread: list[str], size: Column | None = None,
-                small: int = BROADCAST_BYTES, hot: int = HOT_ROWS) -> DataFrame:
-    """Left outer join with ``right``, whose keys ``on`` are unique and whose column ``rows`` tells how many rows of ``left``
-    have the key.  ``size`` estimates the bytes of a row of ``right`` (64 if not given).
-
-    Up to ``small`` bytes ``right`` goes to every task.  Beyond, a key of more than ``hot`` rows is dealt over several tasks by
-    the hash of ``spread``; only these keys' hashes, at most one for each ``hot`` rows of ``left``, are sent to all tasks.
-    """
-    weight = F.lit(64) if size is None else size
-    if (right.agg(F.sum(weight)).first()[0] or 0) <= small:
-        return left.join(F.broadcast(right.drop(rows)), on, "left")
-    parts = F.ceil(F.col(rows) / hot).cast("int")
-    heavy = F.broadcast(right.where(F.col(rows) > hot).groupBy(F.xxhash64(*on).alias("__hot")).agg(F.max(parts).alias("__parts")))
-    dealt = left.withColumn("__hot", F.xxhash64(*on)).join(heavy, "__hot", "left")
-    dealt = dealt.withColumn("__part", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("__parts")).cast("int"), F.lit(0)))
-    copies = right.drop(rows).withColumn("__hot", F.xxhash64(*on)).join(heavy, "__hot", "left")
-    copies = copies.withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)))
-    return dealt.drop("__hot", "__parts").join(copies.drop("__hot", "__parts"), [*on, "__part"], "left").drop("__part")

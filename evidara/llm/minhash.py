@@ -10,6 +10,7 @@ variance of the similarity estimate against independent hash functions.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidara.graph import components
-from evidara.llm.common import doc_batches, gram_hashes, mix, signed, split_by_ids, stash, word_line
+from evidara.llm import common
+from evidara.llm.common import doc_batches, gram_hashes, mix, signed, split_by_ids, word_line
 
 #: with 4 slots a band and 28 bands a pair at similarity 0.8 shares no band with probability 4e-7
 BANDS, BAND_SLOTS = 28, 4
@@ -26,6 +28,8 @@ BATCH_BYTES = 1 << 20
 ACTIVE_ROWS = 40_000
 #: sets of up to so many shingles travel through the rest join whole
 CARRIED = 1_000
+#: the joins between tables are many; their shuffle files go with each table written
+stash = partial(common.stash, release=True)
 _SEED = np.uint64(0x632BE59BD9B4E019)
 _MASK = (1 << 64) - 1
 

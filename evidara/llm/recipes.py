@@ -12,7 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidara.llm.common import ascii_lower, join_unique, stash
+from evidara.joins import join_unique
+from evidara.llm.common import ascii_lower, stash
 
 LEAST, MOST = 256, 2048
 #: characters other than A-Z that ``lower`` may change; unassigned ones may be letters in a later version of Unicode
@@ -63,7 +64,7 @@ def exact_groups(docs: DataFrame, least: int = LEAST, most: int = MOST, digests:
     marks the rows of that doc_id, ``text_sha256`` is the hex digest of the lower-cased text.  Repeated rows
     give one row each, and all that have the largest doc_id are kept.  Rows without doc_id count and are kept
     only where no equal text has one.  Texts of any length; further columns are ignored; an empty table gives
-    no rows.  ``join`` goes to :func:`evidara.llm.common.join_unique`.
+    no rows.  ``join`` goes to :func:`evidara.joins.join_unique`.
     """
     cut = docs.select("doc_id", chunks(folded(F.coalesce("text", F.lit(""))), least, most).alias("chunks"))
     # an inner explode would infer a filter on the array and cut the text a second time for it
