@@ -61,12 +61,12 @@ def nearest_refs(edges: DataFrame, queries: DataFrame, refs: DataFrame, k: int =
     """(tree, leaf, ref, dist, lca): the k references nearest to each query, by summed
     length or by number of edges (``by='steps'``), ties by reference id.
 
-    Every ancestor keeps only its k best references, and a query looks at its own
-    ancestors, so the work is leaves × depth × k.
+    Every ancestor keeps only its k + 1 best references, of which a query that is a
+    reference itself uses one, and a query looks at its own ancestors, so the work is leaves × depth × k.
     """
     q, r = closure(edges, queries), closure(edges, refs)
     best = Window.partitionBy("tree", "anc").orderBy(by, "leaf")
-    top = r.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k)
+    top = r.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k + 1)
     met = q.join(top.select("tree", "anc", F.col("leaf").alias("ref"), F.col(by).alias("rd")), ["tree", "anc"]).where("leaf <> ref")
     # the path over the lowest common ancestor is the shortest of a pair
     pair = met.groupBy("tree", "leaf", "ref").agg(F.min(F.struct((F.col(by) + F.col("rd")).alias("d"), F.col("steps").alias("s"), F.col("anc").alias("a"))).alias("m"))

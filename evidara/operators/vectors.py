@@ -31,6 +31,13 @@ def unit(vec: Column) -> Column:
     return F.when(norm > 0, F.transform(vec, lambda x: x / norm)).otherwise(F.transform(vec, lambda x: x.cast("double")))
 
 
+def measured(df: DataFrame, vec: str = "vec") -> DataFrame:
+    """Rows of ``df`` whose vector is there, not empty, and holds finite numbers only.  The others take no part in any
+    operator of this module that measures distances or fits a model."""
+    x = F.col(vec)
+    return df.where(x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < math.inf)))
+
+
 def mean_vectors(df: DataFrame, keys: Sequence[str], vec: str = "vec") -> DataFrame:
     got = df.groupBy(*keys).agg(Summarizer.mean(array_to_vector(F.col(vec).cast("array<double>"))).alias("m"), F.count("*").alias("n"))
     return got.select(*keys, vector_to_array("m").alias(vec), "n")
@@ -38,6 +45,7 @@ def mean_vectors(df: DataFrame, keys: Sequence[str], vec: str = "vec") -> DataFr
 
 def family_centroids(df: DataFrame, excluded: Sequence = ()) -> DataFrame:
     """(label, vec, n): mean vector per family scaled to length 1."""
+    df = measured(df)
     rows = df.where(F.col("label").isNotNull() & ~F.col("label").isin(list(excluded))) if excluded else df.where("label IS NOT NULL")
     got = mean_vectors(rows, ["label"])
     return got.select("label", unit(F.col("vec")).alias("vec"), "n")
@@ -56,8 +64,9 @@ def nearest(queries: DataFrame, refs: DataFrame, k: int, metric: str = "euclid",
     them are dealt into blocks by their hash, queries meet every block in a task of its own,
     and the blocks' best are merged; no reference passes through the driver.  No references give
     no rows.
+    Vectors that are not :func:`measured` are neither found nor given a row.
     """
-    refs = cut(refs.select("ref", "label", "vec"))
+    refs, queries = cut(measured(refs.select("ref", "label", "vec"))), measured(queries)
     n, d = refs.count(), max(1, width_of(refs))
     blocks = max(1, math.ceil(n * d / BLOCK_VALUES))
     schema = T.StructType([queries.schema["id"], T.StructField("ref", refs.schema["ref"].dataType),
@@ -148,7 +157,11 @@ def centered_moments(df: DataFrame, centroids: DataFrame) -> tuple[np.ndarray, i
 
 def shrinkage_precision(df: DataFrame) -> tuple[np.ndarray, float]:
     """(precision, shrinkage): Ledoit-Wolf covariance of the within-family centered
-    vectors and its pseudo-inverse.  ``df``: vec, label."""
+    vectors and its pseudo-inverse.  ``df``: vec, label; without a measured vector of a
+    family the precision is an empty matrix and the shrinkage 0."""
+    df = measured(df).where("label IS NOT NULL")
+    if df.isEmpty():
+        return np.zeros((0, 0)), 0.0
     xx, n, quad = centered_moments(df, mean_vectors(df, ["label"]))
     p = xx.shape[0]
     cov = xx / n
@@ -166,9 +179,11 @@ def whitening_matrix(precision: np.ndarray) -> np.ndarray:
 
 
 def whiten_vectors(df: DataFrame, w: np.ndarray) -> DataFrame:
+    """``df`` with vec times ``w``; a vector that is not :func:`measured` becomes null."""
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def times(v: pd.Series) -> pd.Series:
-        return pd.Series(list(np.stack([np.asarray(x, dtype=float) for x in v]) @ w), index=v.index)
+        return pd.Series([None if x is None or not len(x) or not np.isfinite(y := np.asarray(x, dtype=float)).all() else y @ w for x in v],
+                         index=v.index, dtype=object)
 
     return df.withColumn("vec", times("vec"))
 
@@ -176,6 +191,7 @@ def whiten_vectors(df: DataFrame, w: np.ndarray) -> DataFrame:
 def family_prototypes(df: DataFrame, k: int = 3, rounds: int = 10, seed: int = 0) -> DataFrame:
     """(label, proto, vec): k-means centers per family, the mean for families with fewer
     than ``k`` members.  All families move in the same pass over the data."""
+    df = measured(df).where("label IS NOT NULL")
     sizes = df.groupBy("label").agg(F.count("*").alias("n"))
     big = cut(df.join(sizes.where(F.col("n") >= k).select("label"), "label", "left_semi").select("id", "label", "vec"))
     small = mean_vectors(df.join(sizes.where(F.col("n") < k).select("label"), "label", "left_semi"), ["label"])
@@ -233,7 +249,8 @@ def directions(n: int, width: int, seed: int = 0) -> np.ndarray:
 
 
 def projections(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """(…, slice, value): every vector projected on ``n`` fixed directions."""
+    """(…, slice, value): every measured vector projected on ``n`` fixed directions."""
+    df = measured(df)
     w = directions(n, width_of(df), seed).T
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -264,6 +281,7 @@ def pca_projection(df: DataFrame, k: int) -> DataFrame:
     each component's largest weight is made positive, so signs do not flip between runs."""
     from pyspark.ml.feature import PCA
 
+    df = measured(df)
     mean = mean_vectors(df.select(F.lit(1).alias("g"), "vec"), ["g"]).select("vec").scalar()
     rows = cut(df.select("id", "vec", mean.alias("m")).select("id", array_to_vector(F.zip_with("vec", "m", lambda a, b: a.cast("double") - b)).alias("v")))
     model = PCA(k=k, inputCol="v", outputCol="p").fit(rows)
@@ -278,6 +296,7 @@ def family_probe(train: DataFrame, queries: DataFrame, max_iter: int = 50, reg:
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StringIndexer
 
+    train, queries = measured(train).where("label IS NOT NULL"), measured(queries)
     rows = cut(train.select(F.col("label").cast("string").alias("family"), array_to_vector(F.col("vec").cast("array<double>")).alias("features")))
     names = StringIndexer(inputCol="family", outputCol="y", stringOrderType="alphabetAsc").fit(rows)
     model = LogisticRegression(labelCol="y", maxIter=max_iter, regParam=reg, family="multinomial").fit(names.transform(rows))

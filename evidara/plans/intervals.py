@@ -85,9 +85,10 @@ def locus_provenance(t):
     return iv.reconcile_genes(models(t), genes).select("chrom", "strand", "locus", "provenance", "qc_flags")
 
 
-def placements(t, mod):
+def placements(t, mod, methods=4):
+    """The lines of one of so many methods, by line number."""
     s = F.col("l_partkey") % 500 * 100
-    return t.lineitem.where(F.col("l_linenumber") % 4 == mod).select(
+    return t.lineitem.where(F.col("l_linenumber") % methods == mod).select(
         F.col("l_orderkey").alias("query"), F.col("l_returnflag").alias("chrom"), s.alias("start"),
         (s + F.col("l_quantity").cast("long") * 200 + 1).alias("end"), F.col("l_linestatus").alias("strand"),
         F.round(90 + F.col("l_discount") * 100, 2).alias("identity"), (F.col("l_quantity") * 2).alias("coverage"),
@@ -102,9 +103,14 @@ conc AS (SELECT DISTINCT a.* FROM (SELECT * FROM pm WHERE m = 'm0' AND ident >=
   ON a.query = b.query AND a.chrom = b.chrom AND a.strand = b.strand AND a.s < b.e AND b.s < a.e AND b.ident > a.ident)"""
 
 
-@query("concordant_placement", f'WITH {PL_SQL} SELECT query, chrom, s AS start, e AS "end", strand, ident AS identity, cov AS coverage, m AS method FROM conc')
+def methods_sql(sql, methods):
+    return sql.replace("l_linenumber % 4", f"l_linenumber % {methods}")
+
+
+@query("concordant_placement", f'WITH {methods_sql(PL_SQL, 2)} SELECT query, chrom, s AS start, e AS "end", strand, ident AS identity, cov AS coverage, m AS method FROM conc')
 def concordant_placement(t):
-    got = iv.concordant_placements(placements(t, 0), placements(t, 1), 92, 20, 2000)
+    """Even lines are placed by one method, odd lines by the other."""
+    got = iv.concordant_placements(placements(t, 0, 2), placements(t, 1, 2), 92, 20, 2000)
     return got.select("query", "chrom", "start", "end", "strand", "identity", "coverage", "method")
 
 
@@ -117,9 +123,9 @@ bm AS (SELECT *, row_number() OVER (PARTITION BY step, query ORDER BY ident DESC
 
 
 @query("best_and_margin", f"""
-WITH {CASCADE_SQL} SELECT query, chrom, s AS start, e AS "end", strand, ident AS identity, coalesce(round(ident - nx, 4), 'inf'::DOUBLE) AS margin, n_loci FROM bm WHERE step = 1 AND k = 1""")
+WITH {methods_sql(CASCADE_SQL.replace("SELECT 0 step, * FROM conc", "SELECT 0 step, * FROM pm WHERE ident >= 92 AND cov >= 20"), 1)} SELECT query, chrom, s AS start, e AS "end", strand, ident AS identity, coalesce(round(ident - nx, 4), 'inf'::DOUBLE) AS margin, n_loci FROM bm WHERE step = 0 AND k = 1""")
 def best_and_margin(t):
-    rows = placements(t, 2).where("identity >= 92 AND coverage >= 20")
+    rows = placements(t, 0, 1).where("identity >= 92 AND coverage >= 20")
     got = iv.best_and_margin(rows)
     return got.select("query", "chrom", "start", "end", "strand", "identity", F.round("margin", 4).alias("margin"), "n_loci")
 

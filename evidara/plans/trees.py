@@ -62,10 +62,19 @@ def tree_ancestors(t):
     return rounded(tr.closure(world(t), order_nodes(t, "true"))).drop("tree")
 
 
-NEAR_SQL = WORLD_SQL + """, rf AS (SELECT 'o' || o_orderkey node FROM orders WHERE o_totalprice > 495000), qr AS (SELECT 'o' || o_orderkey node FROM orders WHERE o_orderstatus = 'F' AND o_totalprice < 100000),
+# finished orders are the references, all others ask
+Q, R = "o_orderstatus <> 'F'", "o_orderstatus = 'F'"
+REF_SQL = WORLD_SQL + """, rf AS (SELECT 'o' || o_orderkey node FROM orders WHERE o_orderstatus = 'F'), qr AS (SELECT 'o' || o_orderkey node FROM orders WHERE o_orderstatus <> 'F')"""
+
+
+def near_sql(order):
+    """References near each asking leaf: the five best below each of its ancestors hold its own five best."""
+    return REF_SQL + f""", r5 AS (SELECT * FROM (SELECT cl.*, row_number() OVER (PARTITION BY anc ORDER BY {order}, leaf) k FROM cl JOIN rf ON rf.node = cl.leaf) WHERE k <= 5),
 pr AS (SELECT q.leaf, r.leaf ref, q.dist + r.dist d, q.steps + r.steps s, q.anc lca, row_number() OVER (PARTITION BY q.leaf, r.leaf ORDER BY q.steps) k
- FROM cl q JOIN qr ON qr.node = q.leaf JOIN cl r ON r.anc = q.anc JOIN rf ON rf.node = r.leaf), lca AS (SELECT * FROM pr WHERE k = 1)"""
-Q, R = "o_orderstatus = 'F' AND o_totalprice < 100000", "o_totalprice > 495000"
+ FROM cl q JOIN qr ON qr.node = q.leaf JOIN r5 r ON r.anc = q.anc), lca AS (SELECT * FROM pr WHERE k = 1)"""
+
+
+NEAR_SQL = near_sql("dist")
 
 
 @query("nearest_ref_distance", f"WITH RECURSIVE {NEAR_SQL} SELECT leaf, round(min(d), 9) AS dist FROM lca GROUP BY 1")
@@ -74,7 +83,7 @@ def nearest_ref_distance(t):
 
 
 @query("landmark_nearest", f"""
-WITH RECURSIVE {NEAR_SQL}, k AS (SELECT leaf, ref, s, row_number() OVER (PARTITION BY leaf ORDER BY s, ref) rn FROM lca) SELECT leaf, ref, s AS dist FROM k WHERE rn = 1""")
+WITH RECURSIVE {near_sql("steps")}, k AS (SELECT leaf, ref, s, row_number() OVER (PARTITION BY leaf ORDER BY s, ref) rn FROM lca) SELECT leaf, ref, s AS dist FROM k WHERE rn = 1""")
 def landmark_nearest(t):
     return tr.nearest_refs(world(t), order_nodes(t, Q), order_nodes(t, R), 1, by="steps").select("leaf", "ref", "dist")
 
@@ -148,16 +157,17 @@ def bipartition_distance(t):
 
 
 @query("placement_distance", f"""
-WITH RECURSIVE {WORLD_SQL}, rf AS (SELECT 'o' || o_orderkey node FROM orders WHERE o_totalprice > 495000), v AS (SELECT DISTINCT 'c' || o_custkey node FROM orders WHERE o_orderstatus = 'F'),
-pr AS (SELECT q.leaf v, r.leaf ref, q.dist + r.dist d, q.anc, row_number() OVER (PARTITION BY q.leaf, r.leaf ORDER BY q.steps) k FROM cl q JOIN v ON v.node = q.leaf JOIN cl r ON r.anc = q.anc JOIN rf ON rf.node = r.leaf),
-b AS (SELECT v, min(CASE WHEN anc = v THEN d + len / 2 ELSE d - len / 2 END) d FROM pr JOIN e ON e.node = v WHERE k = 1 GROUP BY 1) SELECT 'x' || o_orderkey AS query, round(d + 0.1, 9) AS dist FROM b JOIN orders ON v = 'c' || o_custkey WHERE o_orderstatus = 'F'""")
+WITH RECURSIVE {WORLD_SQL}, rf AS (SELECT 'o' || o_orderkey node FROM orders WHERE o_orderstatus <> 'F'), v AS (SELECT DISTINCT 'c' || o_custkey node FROM orders WHERE o_orderstatus = 'F'),
+bc AS (SELECT anc, min(dist) d FROM cl JOIN rf ON rf.node = cl.leaf GROUP BY 1), ch AS (SELECT e.parent anc, e.node child, d + len d FROM bc JOIN e ON e.node = bc.anc),
+o AS (SELECT q.leaf v, min(q.dist + ch.d) d FROM cl q JOIN v ON v.node = q.leaf JOIN cl c ON c.leaf = q.leaf AND c.steps = q.steps - 1 JOIN ch ON ch.anc = q.anc AND ch.child <> c.anc GROUP BY 1),
+b AS (SELECT v.node v, least(o.d - len / 2, bc.d + len / 2) d FROM v JOIN e USING (node) LEFT JOIN o ON o.v = v.node LEFT JOIN bc ON bc.anc = v.node) SELECT 'x' || o_orderkey AS query, round(d + 0.1, 9) AS dist FROM b JOIN orders ON v = 'c' || o_custkey WHERE o_orderstatus = 'F'""")
 def placement_distance(t):
-    """Every F order is a query placed half way up the edge of its customer."""
+    """Every F order is a query placed half way up the edge of its customer; the other orders are references."""
     e = world(t)
     pl = t.orders.where("o_orderstatus = 'F'").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.lit("world").alias("tree"), _name("x", "o_orderkey").alias("query"), _name("c", "o_custkey").alias("node"),
         ((F.abs("c_acctbal") / 10000 + 0.01) / 2).alias("distal"), F.lit(0.1).alias("pendant"))
-    return rounded(tr.placement_distance(e, order_nodes(t, R), pl)).drop("tree")
+    return rounded(tr.placement_distance(e, order_nodes(t, Q), pl)).drop("tree")
 
 
 @query("clade_consensus", f"""

@@ -55,3 +55,34 @@ def test_nearest_without_references(data):
     _, df = data
     got = vc.nearest(df.where("id < 3"), df.where("id < 0").withColumnRenamed("id", "ref"), 5)
     assert got.columns == ["id", "ref", "label", "dist", "rank"] and got.collect() == []
+
+
+def test_vectors_that_are_not_measured_take_no_part(spark, data):
+    m, df = data
+    bad = spark.createDataFrame([(900, 0, None), (901, 1, []), (902, 2, [None] * 6), (903, None, [float("nan")] * 6), (904, 3, [float("inf")] * 6)], df.schema)
+    mixed = df.union(bad)
+    refs, more = df.withColumnRenamed("id", "ref"), mixed.withColumnRenamed("id", "ref")
+
+    def rows(x):
+        return sorted(map(str, x.collect()))
+
+    assert rows(vc.nearest(mixed.where("id < 9 OR id >= 900"), more, 3)) == rows(vc.nearest(df.where("id < 9"), refs, 3))
+    assert rows(vc.knn_novelty(mixed, more, 3)) == rows(vc.knn_novelty(df, refs, 3))
+    assert rows(vc.family_prototypes(mixed)) == rows(vc.family_prototypes(df))
+    precision, shrink = vc.shrinkage_precision(mixed)
+    assert np.allclose(precision, vc.shrinkage_precision(df)[0])
+    white = {r["id"]: r["vec"] for r in vc.whiten_vectors(mixed, vc.whitening_matrix(precision)).collect()}
+    assert all(white[i] is None for i in range(900, 905)) and np.allclose(white[3], m[3] @ vc.whitening_matrix(precision))
+    got = vc.mahalanobis_assign(mixed, vc.family_prototypes(mixed), precision)
+    assert got.count() == 240 and vc.mahalanobis_assign(df, vc.family_prototypes(df), precision).count() == 240
+    empty = df.limit(0)
+    assert vc.shrinkage_precision(empty)[0].shape == (0, 0) and vc.nearest(df, empty.withColumnRenamed("id", "ref"), 2).count() == 0
+
+
+def test_mahalanobis_assign_against_numpy(data):
+    m, df = data
+    precision, _ = vc.shrinkage_precision(df)
+    protos = vc.family_prototypes(df).collect()
+    for r in vc.mahalanobis_assign(df.where("id < 40"), vc.family_prototypes(df), precision).collect():
+        d = sorted((float((x := m[r.id] - np.array(p.vec)) @ precision @ x), p.label) for p in protos)
+        assert r.novelty == pytest.approx(d[0][0]) and r.family == d[0][1]
