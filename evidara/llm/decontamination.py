@@ -52,6 +52,13 @@ def _least(size):
     return np.maximum(SHORT, -(-size * part // whole))
 
 
+def present(hashes: np.ndarray) -> np.ndarray:
+    """Which leading bits occur among ``hashes``."""
+    out = np.zeros(1 << FILTER_BITS, bool)
+    out[hashes >> np.uint64(64 - FILTER_BITS)] = True
+    return out
+
+
 class SeedTable:
     """Hashes of a shard of benchmark items for every mask."""
 
@@ -71,27 +78,26 @@ class SeedTable:
             if len(at):
                 h = h[at]
                 order = np.argsort(h, kind="stable")
-                present = np.zeros(1 << FILTER_BITS, bool)
-                present[h >> np.uint64(64 - FILTER_BITS)] = True
                 place = np.c_[row[at], at - begin[row[at]]].astype(np.int32)[order]
-                self.tables.append((mask, h[order], place, present))
+                self.tables.append((mask, h[order], place, present(h)))
 
     def state(self) -> tuple:
-        """Its contents as plain data, to be sent to the tasks."""
-        return self.ids, self.items, self.tables
+        """Its contents as plain data, to be sent to the tasks; they mark the present hashes anew."""
+        return self.ids, self.items, [t[:3] for t in self.tables]
 
     @classmethod
     def of(cls, state: tuple) -> SeedTable:
         table = cls.__new__(cls)
-        table.ids, table.items, table.tables = state
+        table.ids, table.items, tables = state
+        table.tables = [(*t, present(t[1])) for t in tables]
         return table
 
     def hits(self, t: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Distinct (document, item, place of the item's first token) of all seed hits."""
         out = []
-        for mask, hashes, place, present in self.tables:
+        for mask, hashes, place, some in self.tables:
             h = seed_hashes(t, mask)
-            at = np.flatnonzero(present[h >> np.uint64(64 - FILTER_BITS)])
+            at = np.flatnonzero(some[h >> np.uint64(64 - FILTER_BITS)])
             at = at[doc[at] == doc[at + len(mask) - 1]]
             lo, hi = np.searchsorted(hashes, h[at], "left"), np.searchsorted(hashes, h[at], "right")
             n = hi - lo
