@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -21,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evidara.llm.common import (
-    BROADCAST_IDS, doc_batches, gram_hashes, merge_spans, signed, span_hashes, split_by_ids, stash, window_runs, word_line,
-)
+from evidara.llm import common
+from evidara.llm.common import BROADCAST_IDS, doc_batches, gram_hashes, merge_spans, signed, span_hashes, split_by_ids, window_runs, word_line
+
+#: the joins between tables are many; their shuffle files go with each table written
+stash = partial(common.stash, release=True)
 
 GRAM = 4
 BATCH_BYTES = 1 << 20
