@@ -22,7 +22,8 @@ NAMES = [
     "weighted_ref_proximity", "monophyly_check", "column_conservation", "near_duplicate_clusters", "knn_novelty", "swe_pooling",
     "rra_score", "tied_block_size", "inventory_append", "quota_subsample", "balanced_sample", "merge_evidence_channels", "structure_mapping",
     "anchor_set_build", "signal_groups", "scan_hmm_tblout", "identity_separation",
-    "scan_paf", "scan_branch_json", "scan_newick", "sink_atomic_table",
+    "scan_paf", "scan_branch_json", "scan_newick", "sink_atomic_table", "two_sample_tests", "hit_graph_clustering",
+    "nearest_ref_distance", "landmark_nearest", "placement_distance", "best_and_margin", "concordant_placement",
 ]
 
 
