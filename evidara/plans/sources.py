@@ -75,10 +75,13 @@ def scan_quant_tree(t):
 
 @query("scan_hmm_tblout", "SELECT p_type AS target, 'PF' || p_size AS accession, 'q' || p_partkey AS query, p_retailprice / 1e6 AS evalue, p_retailprice AS score FROM part WHERE p_size % 5 > 0")
 def scan_hmm_tblout(t):
+    return tx.scan_hmm_tblout(hmm_lines(t))
+
+
+def hmm_lines(t):
     row = F.concat_ws("   ", F.col("p_type"), F.concat(F.lit("PF"), s("p_size"), F.lit(".12")), F.concat(F.lit("q"), s("p_partkey")), F.lit("-"),
                       F.when(F.col("p_size") % 5 > 0, (F.col("p_retailprice") / 1e6).cast("string")).otherwise("n/a"), s("p_retailprice"), F.lit("0.1 1 2"))
-    lines = t.part.select(row.alias("value")).unionByName(t.region.select(F.concat(F.lit("# "), "r_name").alias("value"))).unionByName(t.region.select(F.lit("short row").alias("value")))
-    return tx.scan_hmm_tblout(lines)
+    return t.part.select(row.alias("value")).unionByName(t.region.select(F.concat(F.lit("# "), "r_name").alias("value"))).unionByName(t.region.select(F.lit("short row").alias("value")))
 
 
 @query("scan_foldseek", """
@@ -95,13 +98,17 @@ def scan_foldseek(t):
 SELECT 't' || l_orderkey AS query, 'chr' || l_suppkey AS chrom, l_partkey AS start, l_partkey + 500 AS "end", '+' AS strand, round(CASE l_linenumber % 3 WHEN 0 THEN 100 * (1 - l_discount) WHEN 1 THEN 100 * (1 - l_tax) ELSE 100.0 * (20 + l_quantity + 4) / (20 + l_quantity + 4 + 1 + 3 + 2) END, 6) AS identity,
  100.0 * l_quantity / 50 AS coverage, 'minimap2' AS method, 60.0::DOUBLE AS score FROM lineitem""")
 def scan_paf(t):
+    return tx.scan_paf(paf_lines(t)).withColumn("identity", F.round("identity", 6))
+
+
+def paf_lines(t):
     q = F.col("l_quantity").cast("int").cast("string")
     k = F.col("l_linenumber") % 3
     tag = F.when(k == 0, F.concat(F.lit("tp:A:P\tdv:f:0.5\tde:f:"), s("l_discount"))).when(k == 1, F.concat(F.lit("dv:f:"), s("l_tax"))).otherwise(
         F.concat(F.lit("cs:Z::20*ac+ttt:"), q, F.lit("~gt100ag-cc=ACGT")))
     row = F.concat_ws("\t", F.concat(F.lit("t"), s("l_orderkey")), F.lit("50"), F.lit("0"), q, F.lit("+"), F.concat(F.lit("chr"), s("l_suppkey")), F.lit("100000"), s("l_partkey"),
                       (F.col("l_partkey") + 500).cast("string"), F.lit("30"), F.lit("900"), F.lit("60"), tag)
-    return tx.scan_paf(t.lineitem.select(row.alias("value"))).withColumn("identity", F.round("identity", 6))
+    return t.lineitem.select(row.alias("value"))
 
 
 @query("scan_blast_tab", """
@@ -115,11 +122,14 @@ def scan_blast_tab(t):
 @query("scan_gff", """
 SELECT 'q' || l_orderkey AS query, 'chr' || l_suppkey AS chrom, l_partkey AS start, l_partkey + 300 AS "end", l_linestatus AS strand, round(l_discount * 100, 6) AS identity, CASE WHEN l_linenumber % 2 = 0 THEN l_quantity ELSE 0 END AS coverage, 'miniprot' AS method FROM lineitem WHERE l_returnflag = 'A'""")
 def scan_gff(t):
+    return rounded(tx.gff_placements(tx.scan_gff(gff_lines(t)), "miniprot", True), 6)
+
+
+def gff_lines(t):
     att = F.concat(F.lit("ID=x"), s("l_partkey"), F.lit(";Target=q"), s("l_orderkey"), F.lit(" 1 99;Identity="), s("l_discount"), F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("; coverage="), s("l_quantity"))).otherwise(""), F.lit(";partial=true"))
     kind = F.when(F.col("l_returnflag") == "A", "mRNA").otherwise("CDS")
     row = F.concat_ws("\t", F.concat(F.lit("chr"), s("l_suppkey")), F.lit("miniprot"), kind, (F.col("l_partkey") + 1).cast("string"), (F.col("l_partkey") + 300).cast("string"), F.lit("."), F.col("l_linestatus"), F.lit("."), att)
-    lines = t.lineitem.select(row.alias("value")).unionByName(t.region.select(F.lit("##gff-version 3").alias("value")))
-    return rounded(tx.gff_placements(tx.scan_gff(lines), "miniprot", True), 6)
+    return t.lineitem.select(row.alias("value")).unionByName(t.region.select(F.lit("##gff-version 3").alias("value")))
 
 
 def order_files(t, line, sep="\n", head=None):
