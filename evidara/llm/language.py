@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from evidara.session import cut
 
-#: landmark texts and texts learned from, over all languages
+#: landmark texts and texts learned from, over all languages (one of each language at least)
 LANDMARKS, MAX_TRAINING = 96, 6_000
-#: bits of the hash of each n-gram length
-BITS = (8, 11, 12, 13)
+#: bits of the hash of each n-gram length; a text of 20,000 words leaves most of the longer blocks free
+BITS = (8, 11, 13, 15)
 OFFSETS = np.cumsum([0] + [1 << b for b in BITS])
 RIDGE = 1e-3
 #: texts in one matrix product; bytes hashed at a time
@@ -74,10 +74,10 @@ def _readable(text):
 
 def _sample(docs: DataFrame, landmarks: int, most: int) -> DataFrame:
     """(text, lang, landmark): about the same number of texts of every language, those whose ids
-    have the smallest hashes; at most ``most`` in all."""
+    have the smallest hashes; at most ``most`` in all, but one of each language at least."""
     known = docs.where(~_held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & _readable("text")).select(
         "doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(landmarks).collect()
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not sizes:
         return None
     each = max(1, most // len(sizes))
@@ -163,8 +163,8 @@ def identify(docs: DataFrame, landmarks: int = LANDMARKS, most: int = MAX_TRAINI
     """(doc_id, held_out, lang_pred, score), one row per row of ``docs`` (doc_id, text, lang).
 
     Learned from at most ``most`` texts with a language whose crc32(doc_id as text) modulo 3 is
-    not 1, evenly over the languages (the ``landmarks`` largest, if there are more); ``landmarks``
-    of them carry the kernel.  A prediction sees the text only.  ``score`` is the regression's
+    not 1, evenly over the languages; ``landmarks`` of them carry the kernel.  Of every language, one
+    text at least is learned from and one is a landmark, however many languages there are.  A prediction sees the text only.  ``score`` is the regression's
     best value mapped from [-1, 1] to [0, 1].  Null, empty and letterless texts give ``und`` with
     score 0, and so does every text when nothing is labelled.  Rows without doc_id are predicted,
     not learned from, and not held out.  Further columns are ignored.
