@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidara.llm.common import ascii_lower
+from evidara.ordering import Scan, running
 from evidara.session import cut
 
 SIDES = ("source", "lang", "topic")
@@ -22,10 +23,11 @@ TEMPERING: Mapping[str, float] = {"source": 0.7, "lang": 0.7, "topic": 0.5}
 #: expected share of the corpus' tokens in the sample
 BUDGET = 0.5
 TOPICS = 8
-#: sweeps between two cuts of the lineage; raking ends when no side is off by more than TOLERANCE
-SWEEPS, TOLERANCE, MOST_SWEEPS = 6, 1e-6, 60
+#: sweeps between two cuts of the lineage; raking ends when no side is off by more than TOLERANCE, or
+#: when a round of sweeps takes less than the share STALL off the error
+SWEEPS, TOLERANCE, STALL = 6, 1e-6, 0.01
 SEED = 42
-#: a table of up to so many cells goes to every task
+#: a table of up to so many cells goes to every task, and is raked in one
 BROADCAST_CELLS = 200_000
 
 
@@ -64,30 +66,66 @@ def _targets(cells: DataFrame, side: str, wish: float | Mapping[str, float]) ->
     return share.select(F.col(side), F.try_divide(F.col("g"), total).alias(f"target_{side}"))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TEMPERING) -> DataFrame:
+def _off(cells: DataFrame, sides: list[str]) -> float:
+    """Largest distance of a value's share of the weight from its target."""
+    whole = cells.agg(F.sum("tokens").cast("double").alias("w")).scalar()
+    gaps = [cells.groupBy(side).agg(F.sum("weight").alias("w"), F.first(f"target_{side}").alias("t")).select(
+        F.abs(F.try_divide(F.col("w"), whole) - F.col("t")).alias("off")) for side in sides]
+    together = gaps[0]
+    for more in gaps[1:]:
+        together = together.unionByName(more)
+    return together.agg(F.max("off")).first()[0] or 0.0
+
+
+def _sweeps_in_one_task(cells: DataFrame, sides: list[str]) -> DataFrame:
+    """SWEEPS sweeps over a table that one task holds, in one stage."""
+    for _ in range(SWEEPS):
+        for side in sides:
+            now = F.sum("weight").over(Window.partitionBy(side))
+            cells = cells.withColumn("weight", F.coalesce(F.try_divide(F.col("weight") * F.col(f"target_{side}") * F.col("__sum"), now), F.lit(0.0)))
+    return cut(cells)
+
+
+def _sweep_spread(cells: DataFrame, sides: list[str]) -> DataFrame:
+    """One sweep over a table of any size: sums by value with partial sums in every task, joined back."""
+    for side in sides:
+        sums = cells.groupBy(side).agg(F.sum("weight").alias("__now"))
+        got = cells.join(sums, side, "left")
+        fitted = F.coalesce(F.try_divide(F.col("weight") * F.col(f"target_{side}") * F.col("__sum"), F.col("__now")), F.lit(0.0))
+        cells = cut(got.withColumn("weight", fitted).select(*cells.columns))
+    return cells
+
+
+def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TEMPERING, one_task: int = BROADCAST_CELLS) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``weight``, the token weight that gives each side
-    its target shares; the weights sum to the tokens.
+    its target shares (the weights sum to the tokens), and ``raking_error``, the largest distance of a
+    value's share from its target that is left.
 
-    Where an exact fit does not exist (a target on a combination without tokens) the weights are
-    those after the last sweep, exact on the last side.
+    Sweeps go on until the error is at most TOLERANCE or has stopped falling.  Where no exact fit exists (a
+    target on a combination without tokens) it stops falling, and the weights are those
+    after the last sweep, exact on the last side.  A table of up to ``one_task`` cells is raked in one
+    task; a larger one is summed and joined by Spark, with the same steps.
     """
+    sides = list(targets)
     got = cells.where("tokens > 0")
     for side, wish in targets.items():
         got = got.join(_targets(cells.where("tokens > 0"), side, wish), side)
-    whole = Window.partitionBy("__all")
-    got = got.withColumn("__all", F.lit(0)).withColumn("__sum", F.sum("tokens").over(whole).cast("double"))
-    # the cell table is as small as its three sides; one partition lets every sweep run in one stage
-    got = cut(got.withColumn("weight", F.col("tokens").cast("double")).coalesce(1))
-    for _ in range(0, MOST_SWEEPS, SWEEPS):
-        for _ in range(SWEEPS):
-            for side in targets:
-                now = F.sum("weight").over(Window.partitionBy(side))
-                got = got.withColumn("weight", F.coalesce(F.try_divide(F.col("weight") * F.col(f"target_{side}") * F.col("__sum"), now), F.lit(0.0)))
-        off = [F.abs(F.sum("weight").over(Window.partitionBy(s)) / F.col("__sum") - F.col(f"target_{s}")) for s in targets]
-        got = cut(got.withColumn("__off", F.greatest(*off, F.lit(0.0))))
-        if (got.agg(F.max("__off")).first()[0] or 0.0) <= TOLERANCE:
+    whole = cells.where("tokens > 0").agg(F.sum("tokens").cast("double").alias("w")).scalar()
+    got = cut(got.withColumn("weight", F.col("tokens").cast("double")).withColumn("__sum", whole))
+    small = got.count() <= one_task
+    if small:
+        got = got.coalesce(1)
+    before = off = float("inf")
+    while sides:
+        if small:
+            got = _sweeps_in_one_task(got, sides)
+        else:
+            for _ in range(SWEEPS):
+                got = _sweep_spread(got, sides)
+        before, off = off, _off(got, sides)
+        if off <= TOLERANCE or off > (1 - STALL) * before:
             break
-    return got.select(*cells.columns, "weight")
+    return got.select(*cells.columns, "weight", F.lit(off if sides else 0.0).alias("raking_error"))
 
 
 def probabilities(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
@@ -95,23 +133,19 @@ def probabilities(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
     at most 1, such that ``budget`` of all tokens are expected in the sample (all that has weight,
     if that is less).
 
-    With the cells in falling order of their factor, those before some place are taken whole and
-    the rest shares what is left; the place is the first whose share stays below 1.
+    With the factors in falling order, the cells before some place are taken whole and the rest
+    shares what is left; the place is the first whose share stays below 1.  Cells of one factor count
+    as one row, and the rows are added up in ranges.
     """
-    f = cells.withColumn("__f", F.col("weight") / F.col("tokens")).withColumn("__all", F.lit(0))
-    order = Window.partitionBy("__all").orderBy(F.desc("__f"), *SIDES)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy("__all")
-    f = f.withColumn("__whole", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-    f = f.withColumn("__rest", F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    f = f.withColumn("__want", F.lit(float(budget)) * F.sum("tokens").over(every))
-    c = F.try_divide(F.col("__want") - F.col("__whole"), F.col("__rest"))
-    f = f.withColumn("__c", F.when((F.col("__f") > 0) & (c * F.col("__f") <= 1), c))
-    c = F.max(F.struct(F.col("__f").alias("f"), F.col("__c").alias("c"))).over(Window.partitionBy("__all", F.col("__c").isNotNull()))["c"]
-    f = f.withColumn("__pick", F.max(F.when(F.col("__c").isNotNull(), c)).over(every))
-    shared = F.least(F.lit(1.0), F.greatest(F.col("__pick"), F.lit(0.0)) * F.col("__f"))
-    p = F.when(F.col("__f") <= 0, 0.0).when(F.col("__pick").isNull(), 1.0).otherwise(shared)
-    return f.select(*cells.columns, p.alias("probability"))
+    f = cut(cells.withColumn("__f", F.col("weight") / F.col("tokens")))
+    steps = cut(f.groupBy((-F.col("__f")).alias("down")).agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight")))
+    every = steps.agg(F.sum("tokens").cast("double").alias("t"), F.sum("weight").alias("w")).first()
+    order = running(steps, [], ["down"], {"whole": Scan("sum", F.col("tokens")), "gone": Scan("sum", F.col("weight"))}, cut_input=False)
+    want = F.lit(float(budget) * (every["t"] or 0.0))
+    c = F.try_divide(want - F.coalesce("whole", F.lit(0)), F.lit(every["w"] or 0.0) - F.coalesce("gone", F.lit(0.0)))
+    pick = order.select((-F.col("down")).alias("f"), c.alias("c")).where("f > 0 AND c * f <= 1").agg(F.max(F.struct("f", "c"))["c"]).first()[0]
+    shared = F.lit(1.0) if pick is None else F.least(F.lit(1.0), F.lit(max(pick, 0.0)) * F.col("__f"))
+    return f.select(*cells.columns, F.when(F.col("__f") <= 0, 0.0).otherwise(shared).alias("probability"))
 
 
 def draw(doc_id: Column, seed: int = SEED) -> Column:
@@ -126,7 +160,7 @@ def _decide(docs: DataFrame, targets, budget: float, topic: Column | None, seed:
     counted = docs.select(*[c.alias(k) for k, c in keys.items()]).groupBy("__source", "__lang", "__topic").agg(F.sum("__tokens").alias("tokens"))
     cells = cut(counted.toDF(*SIDES, "tokens"))
     fitted = probabilities(rake(cells, targets), budget).select(
-        *[F.col(s).alias(f"__{s}") for s in SIDES], (F.col("weight") / F.col("tokens")).alias("__factor"), F.col("probability").alias("__p"))
+        *[F.col(s).alias(f"__{s}") for s in SIDES], (F.col("weight") / F.col("tokens")).alias("__factor"), F.col("probability").alias("__p"), F.col("raking_error").alias("__error"))
     fitted = cut(fitted)
     # the documents stay where they are unless there are very many cells
     fitted = F.broadcast(fitted) if fitted.count() <= BROADCAST_CELLS else fitted
@@ -138,13 +172,14 @@ def _decide(docs: DataFrame, targets, budget: float, topic: Column | None, seed:
 
 def mixture(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TEMPERING, budget: float = BUDGET,
             topic: Column | None = None, seed: int = SEED) -> DataFrame:
-    """(doc_id, source, lang, topic, n_tokens, weight, probability, selected), one row per row of
-    ``docs`` (doc_id, text, source, lang).
+    """(doc_id, source, lang, topic, n_tokens, weight, probability, selected, raking_error), one row per row
+    of ``docs`` (doc_id, text, source, lang).
 
     ``targets``: per side a power of the token shares or a share for each value (values not
     named get 0).  ``topic``: a column, or else the bucket of the vocabulary.  ``weight`` is the
     raked weight of the document's tokens, ``probability`` its chance, ``selected`` the draw,
-    fixed by doc_id and ``seed``.  Null values of a side are the value ``(none)``.  Null, empty
+    fixed by doc_id and ``seed``.  ``raking_error`` is what :func:`rake` leaves (null in a cell without
+    tokens).  Null values of a side are the value ``(none)``.  Null, empty
     and blank texts have no tokens and weight 0; they share their cell's probability (0 in a cell
     without tokens).  Repeated rows of one doc_id and null ids share one draw each; further columns are
     ignored; an empty table gives no rows.
@@ -152,7 +187,7 @@ def mixture(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]]
     got = _decide(docs.select("doc_id", "text", "source", "lang") if topic is None else docs, targets, budget, topic, seed)
     return got.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"),
                       F.col("__tokens").alias("n_tokens"), F.col("__weight").alias("weight"), F.col("__p").alias("probability"),
-                      F.col("__taken").alias("selected"))
+                      F.col("__taken").alias("selected"), F.col("__error").alias("raking_error"))
 
 
 def sample_mixture(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TEMPERING, budget: float = BUDGET,

@@ -31,6 +31,37 @@ def test_language(spark):
     assert np.mean([rows[r.doc_id][2] == r.lang_pred for r in held]) == 1
 
 
+def test_more_languages_than_landmarks(spark):
+    """Every language is learned, the rarest too."""
+    langs = [f"l{i:02}" for i in range(24)]
+    letters = {lang: [chr(0x100 + 12 * i + j) for j in range(12)] for i, lang in enumerate(langs)}
+    r = random.Random(8)
+    rows = []
+    for i, lang in enumerate(langs):
+        for _ in range(9 + 6 * (i % 3)):
+            rows.append((len(rows), " ".join("".join(r.choice(letters[lang]) for _ in range(5)) for _ in range(20)), lang))
+    got = language.identify(h.docs(spark, rows), landmarks=6, most=60).collect()
+    assert all(rows[g.doc_id][2] == g.lang_pred for g in got if g.held_out) and {g.lang_pred for g in got} == set(langs)
+
+
+def test_language_by_length(spark):
+    """Held-out texts of one word to 20,000 words, each length with every language."""
+    rows = [(i, _text(lang, i), lang) for i, lang in enumerate(list(ALPHABETS) * 40)]
+    long = [(1000 + len(ALPHABETS) * k + j, _text(lang, 7 + k, n), lang) for k, n in enumerate((3, 300, 3_000, 20_000)) for j, lang in enumerate(ALPHABETS)]
+    got = {g.doc_id: g.lang_pred for g in language.identify(h.docs(spark, rows + [(i, t, None) for i, t, _ in long])).collect()}
+    assert all(got[i] == lang for i, _, lang in long)
+
+
+def test_blocks_stay_open_for_long_texts():
+    """A real-size vocabulary at 20,000 words fills no block of the longer n-grams by half."""
+    r = random.Random(1)
+    syllables = ["".join(p) for p in zip("bcdfglmnprst" * 5, "aeiou" * 12)]
+    words = ["".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(3_000)]
+    row = language.presence([" ".join(r.choice(words) for _ in range(20_000)).encode()])[0]
+    filled = [row[a:b].mean() for a, b in zip(language.OFFSETS[2:-1], language.OFFSETS[3:])]
+    assert max(filled) < 0.5
+
+
 def test_language_without_labels(spark):
     assert language.identify(h.docs(spark, [])).collect() == []
     assert language.identify(h.docs(spark, [(1, "abc", None)])).collect()[0].lang_pred == "und"
@@ -265,6 +296,35 @@ def test_raking_is_iterative_proportional_fitting(spark):
         assert x.weight == pytest.approx(w["abc".index(x.source), "klmn".index(x.lang), "xy".index(x.topic)], rel=1e-5)
 
 
+CELLS = "source string, lang string, topic string, tokens long"
+
+
+def test_raking_goes_on_until_it_fits(spark):
+    """A table that takes well over a hundred sweeps."""
+    cells = [("a", "k", "x", 300), ("a", "l", "x", 1), ("b", "k", "x", 1), ("b", "l", "x", 6)]
+    goals = {"source": {"a": 0.5, "b": 0.5}, "lang": {"k": 0.5, "l": 0.5}}
+    got = {(r.source, r.lang): r for r in mixing.rake(spark.createDataFrame(cells, CELLS), goals).collect()}
+    diagonal = 308 * 0.5 * 1800**0.5 / (1 + 1800**0.5)
+    assert got["a", "k"].weight == pytest.approx(diagonal, abs=1e-2) and got["b", "l"].weight == pytest.approx(diagonal, abs=1e-2)
+    assert all(r.raking_error <= mixing.TOLERANCE for r in got.values())
+
+
+def test_raking_without_a_fit_says_so(spark):
+    cells = [("a", "k", "x", 30), ("b", "l", "x", 60), ("b", "l", "y", 0)]
+    got = mixing.rake(spark.createDataFrame(cells, CELLS), {"source": {"a": 0.7, "b": 0.3}, "lang": {"k": 0.5, "l": 0.5}}).collect()
+    assert len(got) == 2 and all(r.raking_error == pytest.approx(0.2) for r in got)
+    assert {r.lang: r.weight for r in got} == {"k": pytest.approx(45), "l": pytest.approx(45)}
+
+
+def test_raking_beyond_one_task(spark):
+    r = random.Random(3)
+    cells = [(f"h{i}", lang, topic, r.randrange(0, 90)) for i in range(40) for lang in "kl" for topic in "xyz" if r.random() < 0.8]
+    key = lambda x: (x.source, x.lang, x.topic)
+    one, many = (sorted(mixing.rake(spark.createDataFrame(cells, CELLS), one_task=n).collect(), key=key) for n in (10**6, 0))
+    assert [key(x) for x in one] == [key(x) for x in many]
+    assert all(x.weight == pytest.approx(y.weight, rel=1e-9) for x, y in zip(one, many)) and many[0].raking_error <= mixing.TOLERANCE
+
+
 def test_probabilities_meet_the_budget(spark):
     cells = [("a", "x", "t", 10, 40.0), ("b", "x", "t", 100, 70.0), ("c", "x", "t", 30, 30.0), ("d", "x", "t", 5, 0.0)]
     table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long, weight double")
