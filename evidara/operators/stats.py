@@ -14,11 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from evidara.functions.seats import seat_column, seats
 from evidara.operators import fusion as fu
 from evidara.ordering import Scan, percentiles, positions, ranked, row_numbers, running
 from evidara.graph import components
 from evidara.session import cut
 
+#: seats a task holds at a time
+SEATS_AT_ONCE = 1 << 20
+
 
 def draw(*parts: Column | str | int) -> Column:
     """A hex string that orders items at random but always the same way."""
@@ -296,14 +300,19 @@ def topk_separation(scores: DataFrame, k: int, key: str = "scenario") -> DataFra
 def permuted_votes(ranks: DataFrame, n_perm: int, seed: int = 0) -> DataFrame:
     """(scenario, id, list, r): in every scenario each signal's normalized ranks are
     dealt anew to the ids that vote on it.  Ranks do not change when their holders
-    swap, so they are moved instead of recomputed."""
-    seat = row_numbers(ranks.select("signal", "id", "r"), ["signal"], ["r", "id"], "seat")
-    seat = cut(seat)
-    many = scenarios(seat.select("signal", "id"), n_perm).withColumn(
-        "h", draw(seed, F.col("scenario"), F.col("signal"), F.col("id"))
-    )
-    dealt = row_numbers(many, ["scenario", "signal"], ["h", "id"], "seat")
-    return dealt.join(seat.select("signal", "seat", "r"), ["signal", "seat"]).select(
+    swap, so they are moved instead of recomputed.
+
+    The votes of a signal are sorted once.  A scenario moves every place by a bijection
+    that the row's own task evaluates (:mod:`evidara.functions.seats`), so nothing is sorted by scenario;
+    signals (in alphabetical order) and scenarios number the bijections."""
+    place = cut(row_numbers(ranks.select("signal", "id", "r"), ["signal"], ["r", "id"], "place"))
+    sizes = place.groupBy("signal").agg(F.count("*").alias("n"))
+    numbers = row_numbers(sizes, [], ["signal"], "number")
+    many = scenarios(place.join(numbers, "signal"), n_perm)
+    signals = sizes.agg(F.count("*")).scalar()
+    moved = seat_column(F.col("place") - 1, F.col("scenario") * signals + F.col("number") - 1, F.col("n"), seed)
+    dealt = many.select("scenario", "id", "signal", (moved + 1).alias("place"))
+    return dealt.join(place.select("signal", "place", "r"), ["signal", "place"]).select(
         "scenario", "id", F.col("signal").alias("list"), "r"
     )
 
@@ -363,16 +372,34 @@ def bootstrap_rank_ci(votes: DataFrame, signals: Sequence[str], k: int, n_boot:
 
 def enrichment_null(order: DataFrame, positives: DataFrame, k: int, n_perm: int, seed: int = 0) -> DataFrame:
     """One row: mean place of the positives and share among the first k, each against
-    random sets of the same size.  ``order``: id, place; ``positives``: id."""
+    random sets of the same size.  ``order``: id, place (1 to the number of ids, each once);
+    ``positives``: id, those that are not in ``order`` do not count.
+
+    A random set is the seats that a bijection of all places gives to the first ``size`` places;
+    tasks add them up block by block, so neither sets nor orders are written or sorted."""
     o = cut(order.join(positives.select("id", F.lit(True).alias("hit")), "id", "left"))
-    size = int(o.where("hit").count())
+    total, last, size = o.agg(F.count("*"), F.max("place"), F.count("hit")).first()
+    if total != (last or 0):
+        raise ValueError(f"places must be 1 to {total}, the last is {last}")
     seen = o.where("hit").agg(
         F.avg("place").alias("mean"), (F.count_if(F.col("place") <= k) / F.lit(k)).alias("prec")
     )
-    many = scenarios(o.select("id", "place"), n_perm).withColumn("h", draw(seed, F.col("scenario"), F.col("id")))
-    drawn = row_numbers(many, ["scenario"], ["h", "id"], "seat").where(F.col("seat") <= size)
-    null = drawn.groupBy("scenario").agg(
-        F.avg("place").alias("mean"), (F.count_if(F.col("place") <= k) / F.lit(k)).alias("prec")
+    step = max(1, SEATS_AT_ONCE // n_perm)
+
+    def drawn(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            sums, hits = np.zeros(n_perm, np.int64), np.zeros(n_perm, np.int64)
+            for a in range(0, len(batch), step):
+                places = 1 + seats(batch["id"].to_numpy()[a : a + step, None], np.arange(n_perm), total, seed)
+                sums += places.sum(axis=0)
+                hits += (places <= k).sum(axis=0)
+            yield pd.DataFrame({"scenario": np.arange(n_perm), "places": sums, "hits": hits})
+
+    sums = o.sparkSession.range(size).mapInPandas(drawn, "scenario long, places long, hits long")
+    null = sums.groupBy("scenario").agg(
+        (F.sum("places") / F.lit(size)).alias("mean"), (F.sum("hits") / F.lit(k)).alias("prec")
     )
     null = null.select("mean", "prec", seen.select("mean").scalar().alias("om"), seen.select("prec").scalar().alias("op"))
     return null.agg(

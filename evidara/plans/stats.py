@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from evidara.functions.seats import seats_sql
 from evidara.operators import fusion as fu
 from evidara.operators import stats as st
 from evidara.operators.evidence import merge_selection_signals
@@ -303,9 +304,9 @@ def permutation_null(t):
 
 
 @query("permuted_votes", f"""
-WITH {RANKS_SQL}, seat AS (SELECT id, signal, rk / n r, row_number() OVER (PARTITION BY signal ORDER BY rk, id) s FROM ranks),
-h AS (SELECT i.i scenario, signal, id, row_number() OVER (PARTITION BY i.i, signal ORDER BY {hash_sql("0", "i.i", "signal", "id")}, id) s FROM seat, generate_series(0, 3) i(i))
-SELECT h.scenario::INTEGER AS scenario, h.id, h.signal AS list, round(seat.r, 9) AS r FROM h JOIN seat USING (signal, s)""")
+WITH RECURSIVE {RANKS_SQL}, place AS (SELECT id, signal, rk / n r, row_number() OVER (PARTITION BY signal ORDER BY rk, id) - 1 z, count(*) OVER (PARTITION BY signal) m, dense_rank() OVER (ORDER BY signal) - 1 g FROM ranks),
+{seats_sql("SELECT i.i * (SELECT max(g) + 1 FROM place) + g p, z, m n FROM place, generate_series(0, 3) i(i)")}
+SELECT (p // s)::INTEGER AS scenario, a.id, a.signal AS list, round(b.r, 9) AS r FROM seat CROSS JOIN (SELECT max(g) + 1 s FROM place) JOIN place a ON a.g = p % s AND a.z = seat.z JOIN place b ON b.g = a.g AND b.z = seat.x""")
 def permuted_votes(t):
     return rounded(st.permuted_votes(cut(fu.normalized_ranks(votes(t))), 4))
 
@@ -324,10 +325,10 @@ def resampled_lists(t):
 
 
 @query("enrichment_null", f"""
-WITH o AS (SELECT c_custkey id, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) place, c_mktsegment = 'BUILDING' hit FROM customer),
+WITH RECURSIVE o AS (SELECT c_custkey id, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) place, c_mktsegment = 'BUILDING' hit FROM customer),
 z AS (SELECT count(*) FILTER (hit) size, avg(place) FILTER (hit) om, count(*) FILTER (hit AND place <= 100) / 100.0 op FROM o),
-h AS (SELECT i.i sc, place, row_number() OVER (PARTITION BY i.i ORDER BY {hash_sql("0", "i.i", "id")}, id) s FROM o, generate_series(0, 29) i(i)),
-d AS (SELECT sc, avg(place) m, count(*) FILTER (place <= 100) / 100.0 p FROM h, z WHERE s <= size GROUP BY 1)
+{seats_sql("SELECT i.i p, row_number() OVER (PARTITION BY i.i) - 1 z, (SELECT count(*) FROM o) n FROM o, generate_series(0, 29) i(i) WHERE hit")},
+d AS (SELECT p sc, avg(x + 1) m, count(*) FILTER (x + 1 <= 100) / 100.0 p FROM seat GROUP BY 1)
 SELECT max(size) AS n_positives, round(max(om), 6) AS observed_mean_rank, round((count(*) FILTER (m <= om) + 1) / (count(*) + 1), 9) AS p_value,
  round(max(op), 6) AS precision_at_k, round((count(*) FILTER (p >= op) + 1) / (count(*) + 1), 9) AS precision_p_value FROM d, z""")
 def enrichment_null(t):
