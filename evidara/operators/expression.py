@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidara.ordering import percentiles
+from evidara.ordering import percentiles, row_numbers
 from evidara.session import cut
 
 
@@ -177,6 +177,29 @@ def verdict_summary(df: DataFrame, key: str, verdict: str) -> DataFrame:
         F.count_if(F.col(verdict) == "include").alias("n_keep"), F.count_if(F.col(verdict) == "exclude").alias("n_exclude"))
 
 
+VERDICT = "class string, verdict string, n_infiltrations long, rf double, support_drop double, reasons array<string>"
+
+
+def verdict_lists(files: DataFrame) -> DataFrame:
+    """Verdicts (``path`` unique, ``value`` one JSON object) -> path, class, verdict, list, place, line.
+
+    ``list`` is keep for include, exclude for exclude, null for any other verdict or none, and where no
+    class is named; ``place`` counts the classes of a list in alphabetical order (equal ones by path).
+    ``line`` is the row of the review table: ``?`` for a missing text or count, 0 for a missing
+    number.  An unreadable text is a row without class and verdict."""
+    v = F.from_json("value", VERDICT)
+    part = lambda n, none: F.coalesce(v[n].cast("string"), F.lit(none))
+    number = lambda n, form: F.format_string(form, F.coalesce(v[n], F.lit(0.0)))
+    reasons = F.coalesce(F.array_join(v["reasons"], "; "), F.lit(""))
+    cells = [part("class", "?"), part("verdict", "?"), part("n_infiltrations", "?"), number("rf", "%.3f"), number("support_drop", "%.1f"),
+             F.when(reasons == "", "—").otherwise(reasons)]
+    kind = F.when(v["class"].isNull(), None).when(v["verdict"] == "include", "keep").when(v["verdict"] == "exclude", "exclude")
+    rows = files.select("path", v["class"].alias("class"), v["verdict"].alias("verdict"), kind.alias("list"),
+                        F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    return row_numbers(rows.withColumn("__class", F.coalesce("class", F.lit(""))), ["list"], ["__class", "path"], "place").select(
+        "path", "class", "verdict", "list", F.when(F.col("list").isNotNull(), F.col("place")).alias("place"), "line")
+
+
 def column_sum(df: DataFrame, column: str) -> DataFrame:
     """Sum of a text column with blanks and words as 0."""
     return df.agg(F.sum(F.coalesce(F.col(column).try_cast("double"), F.lit(0.0))).alias("total"))

@@ -621,6 +621,20 @@ def anchor_verdict_summary(t):
     return ex.verdict_summary(v, "brand", "v")
 
 
+@query("anchor_verdict_lists", """
+WITH v AS (SELECT 'v' || p_partkey AS path, CASE WHEN p_size % 11 > 0 THEN p_name END AS class, CASE WHEN p_size <= 20 THEN 'include' WHEN p_size < 40 THEN 'exclude' WHEN p_size < 45 THEN 'open' END AS verdict, p_size FROM part),
+l AS (SELECT *, CASE WHEN class IS NULL THEN NULL WHEN verdict = 'include' THEN 'keep' WHEN verdict = 'exclude' THEN 'exclude' END AS list FROM v)
+SELECT path, class, verdict, list, CASE WHEN list IS NOT NULL THEN row_number() OVER (PARTITION BY list ORDER BY coalesce(class, ''), path) END AS place,
+ '| ' || coalesce(class, '?') || ' | ' || coalesce(verdict, '?') || ' | ' || p_size || ' | ' || printf('%.3f', CASE WHEN p_size % 3 > 0 THEN p_size / 1000.0 ELSE 0 END) || ' | ' || printf('%.1f', p_size / 10.0) || ' | ' || CASE WHEN p_size % 4 > 0 THEN 'far; r' || p_size ELSE '—' END || ' |' AS line FROM l""")
+def anchor_verdict_lists(t):
+    size = F.col("p_size")
+    verdict = F.when(size <= 20, "include").when(size < 40, "exclude").when(size < 45, "open")
+    reasons = F.when(size % 4 > 0, F.array(F.lit("far"), F.concat(F.lit("r"), size.cast("string")))).otherwise(F.array().cast("array<string>"))
+    text = F.to_json(F.struct(F.when(size % 11 > 0, F.col("p_name")).alias("class"), verdict.alias("verdict"), size.alias("n_infiltrations"),
+                              F.when(size % 3 > 0, size / 1000).alias("rf"), (size / 10).alias("support_drop"), reasons.alias("reasons")))
+    return ex.verdict_lists(t.part.select(F.concat(F.lit("v"), F.col("p_partkey").cast("string")).alias("path"), text.alias("value")))
+
+
 @query("csv_column_helpers", "SELECT sum(CASE WHEN p_size % 3 = 0 THEN 0 WHEN p_size % 3 = 1 THEN p_size ELSE 0 END)::DOUBLE AS total FROM part")
 def csv_column_helpers(t):
     text = F.when(F.col("p_size") % 3 == 0, "").when(F.col("p_size") % 3 == 1, F.col("p_size").cast("string")).otherwise("n/a")

@@ -1,6 +1,7 @@
 import random
 
 from evidara.operators import evidence as ev
+from evidara.operators import expression as ex
 
 
 def test_channels_take_whole_rows(spark):
@@ -31,3 +32,13 @@ def test_inventory_admits_each_genome_once(spark):
                               spark.createDataFrame(entries, "pos long, taxid long, accession string, status string"), "b2", ["ok"]).collect()
     assert sorted((x.taxid, x.accession or "") for x in got if x.source_batch == "b2") == sorted((t, a or "") for t, a in _append(existing, entries, ["ok"]))
     assert sorted((x.taxid, x.accession) for x in got if x.source_batch == "") == existing
+
+
+def test_verdict_lists(spark):
+    rows = [("3", '{"class":"B","verdict":"include","n_infiltrations":2,"rf":0.25,"support_drop":1.5,"reasons":["near","low"]}'), ("1", '{"class":"C","verdict":"include"}'),
+            ("2", '{"class":"A","verdict":"exclude","reasons":[]}'), ("4", '{"verdict":"include"}'), ("5", "not json"), ("6", None), ("7", '{"class":"B","verdict":"include"}'), ("8", '{"class":"D","verdict":"open"}')]
+    got = {r.path: r for r in ex.verdict_lists(spark.createDataFrame(rows, "path string, value string")).collect()}
+    assert {p: (r.list, r.place) for p, r in got.items()} == {
+        "1": ("keep", 3), "2": ("exclude", 1), "3": ("keep", 1), "4": (None, None), "5": (None, None), "6": (None, None), "7": ("keep", 2), "8": (None, None)}
+    assert got["3"].line == "| B | include | 2 | 0.250 | 1.5 | near; low |" and got["1"].line == "| C | include | ? | 0.000 | 0.0 | — |"
+    assert got["6"].line == "| ? | ? | ? | 0.000 | 0.0 | — |"

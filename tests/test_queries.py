@@ -24,7 +24,7 @@ NAMES = [
     "anchor_set_build", "signal_groups", "scan_hmm_tblout", "identity_separation",
     "scan_paf", "scan_branch_json", "scan_newick", "sink_atomic_table", "two_sample_tests", "hit_graph_clustering",
     "nearest_ref_distance", "landmark_nearest", "placement_distance", "best_and_margin", "concordant_placement",
-    "permuted_votes", "enrichment_null",
+    "permuted_votes", "enrichment_null", "anchor_verdict_lists",
     "read_hmm_tblout", "read_paf", "read_gff", "read_quant_tree", "read_anchor_blocks", "read_cluster_dump", "read_hhr", "read_structure_alignment",
 ]
 
