@@ -19,12 +19,14 @@ UNCLASSIFIED = "unclassified"
 UNCLASSIFIED_GROUP = "unclassified-og"
 
 
-def modal_label(df: DataFrame, keys: Sequence[str], label: str, tie: Column | None = None) -> DataFrame:
+def modal_label(df: DataFrame, keys: Sequence[str], label: str, tie: Column | None = None, weight: str | None = None) -> DataFrame:
     """(keys, label, n_top, n_total, n_tied): the most frequent label of each group.
-    ``tie`` (smallest wins, aggregated by min) settles equal counts; default alphabet."""
+    ``tie`` (smallest wins, aggregated by min) settles equal counts; default alphabet.
+    A row counts once, or ``weight`` times."""
     keys = list(keys)
     tie = F.col(label) if tie is None else tie
-    counts = df.groupBy(*keys, label).agg(F.count("*").alias("__n"), F.min(tie).alias("__tie"))
+    count = F.sum(weight) if weight else F.count("*")
+    counts = df.groupBy(*keys, label).agg(count.alias("__n"), F.min(tie).alias("__tie"))
     levels = counts.groupBy(*keys, "__n").agg(
         F.count("*").alias("__tied"), F.min(F.struct("__tie", label)).alias("__w")
     )

@@ -1,8 +1,9 @@
 """Trees as edge tables (tree, node, parent, length, support).
 
 The root has a null parent.  Paths are found by doubling, so the number of joins grows
-with the logarithm of the depth.  Distances between two sets of leaves go through their
-common ancestors (best per ancestor first), never through all pairs of leaves.
+with the logarithm of the depth.  Aggregates over subtrees and nearest references come from
+``folds``, which contracts the trees; no table of leaves × ancestors or of pairs of leaves is
+made, except by ``closure`` itself and ``placement_distance``.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidara.operators.folds import contract, fold_up, highest_above, nearest
 from evidara.operators.labels import modal_label
 from evidara.operators.stats import spearman
 from evidara.ordering import percentiles
@@ -61,18 +63,13 @@ def nearest_refs(edges: DataFrame, queries: DataFrame, refs: DataFrame, k: int =
     """(tree, leaf, ref, dist, lca): the k references nearest to each query, by summed
     length or by number of edges (``by='steps'``), ties by reference id.
 
-    Every ancestor keeps only its k + 1 best references, of which a query that is a
-    reference itself uses one, and a query looks at its own ancestors, so the work is leaves × depth × k.
+    Every node keeps the k + 1 best references of the whole tree, of which a query that is a
+    reference itself uses one.  Lengths must not be negative.
     """
-    q, r = closure(edges, queries), closure(edges, refs)
-    best = Window.partitionBy("tree", "anc").orderBy(by, "leaf")
-    top = r.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k + 1)
-    met = q.join(top.select("tree", "anc", F.col("leaf").alias("ref"), F.col(by).alias("rd")), ["tree", "anc"]).where("leaf <> ref")
-    # the path over the lowest common ancestor is the shortest of a pair
-    pair = met.groupBy("tree", "leaf", "ref").agg(F.min(F.struct((F.col(by) + F.col("rd")).alias("d"), F.col("steps").alias("s"), F.col("anc").alias("a"))).alias("m"))
-    pair = pair.select("tree", "leaf", "ref", F.col("m.d").alias("dist"), F.col("m.a").alias("lca"))
-    near = Window.partitionBy("tree", "leaf").orderBy("dist", "ref")
-    return pair.withColumn("rn", F.row_number().over(near)).where(F.col("rn") <= k).drop("rn")
+    near = nearest(edges, refs, k + 1, by).join(queries.select("tree", "node").distinct(), ["tree", "node"], "left_semi").where("node <> ref")
+    order = Window.partitionBy("tree", "node").orderBy("d", "ref")
+    near = near.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k)
+    return near.select("tree", F.col("node").alias("leaf"), "ref", F.col("d").alias("dist"), "lca")
 
 
 def path_support(edges: DataFrame, pairs: DataFrame, threshold: float = 70.0) -> DataFrame:
@@ -135,28 +132,27 @@ def placement_distance(edges: DataFrame, refs: DataFrame, placements: DataFrame)
 def edge_family_map(edges: DataFrame, leaf_labels: DataFrame) -> DataFrame:
     """(tree, node, family): the family of the edge above each node where all labelled
     leaves below agree.  ``leaf_labels``: tree, node, family."""
-    c = closure(edges, leaf_labels.select("tree", "node"))
-    rows = c.join(leaf_labels.withColumnRenamed("node", "leaf"), ["tree", "leaf"])
-    got = rows.groupBy("tree", F.col("anc").alias("node")).agg(F.min("family").alias("family"), F.max("family").alias("hi"), F.count("*").alias("n_leaves"))
-    return got.where("family = hi").drop("hi")
+    own = leaf_labels.select("tree", "node", "family", F.col("family").alias("hi"), F.lit(1).cast("long").alias("n_leaves"))
+    got = fold_up(edges, own, {"family": F.min, "hi": F.max, "n_leaves": F.sum})
+    return got.where("family = hi").select("tree", "node", "family", "n_leaves")
 
 
 def monophyly_check(edges: DataFrame, leaf_labels: DataFrame) -> DataFrame:
     """(tree, family, n, monophyletic): some clade holds exactly the label's leaves;
-    null for labels with fewer than two leaves."""
-    c = cut(closure(edges, leaves(edges)))
-    size = c.groupBy("tree", "anc").agg(F.count("*").alias("size"))
-    own = c.join(leaf_labels.withColumnRenamed("node", "leaf"), ["tree", "leaf"]).groupBy("tree", "anc", "family").agg(F.count("*").alias("k"))
+    null for labels with fewer than two leaves.  A leaf has one label or none."""
+    family = F.col("family")
+    own = leaves(edges).join(leaf_labels.select("tree", "node", "family"), ["tree", "node"], "left").select(
+        "tree", "node", family, family.alias("hi"), family.isNotNull().cast("long").alias("k"), F.lit(1).cast("long").alias("size"))
+    clades = fold_up(edges, own, {"family": F.min, "hi": F.max, "k": F.sum, "size": F.sum}).where("family = hi AND k = size")
     total = leaf_labels.groupBy("tree", "family").agg(F.count("*").alias("n"))
-    hit = own.join(size, ["tree", "anc"]).join(total, ["tree", "family"]).where("k = n AND size = n").select("tree", "family").distinct().withColumn("hit", F.lit(True))
+    hit = clades.join(total, ["tree", "family"]).where("k = n").select("tree", "family").distinct().withColumn("hit", F.lit(True))
     got = total.join(hit, ["tree", "family"], "left")
     return got.select("tree", "family", "n", F.when(F.col("n") >= 2, F.coalesce("hit", F.lit(False))).alias("monophyletic"))
 
 
 def duplications(edges: DataFrame, leaf_taxa: DataFrame) -> DataFrame:
     """(tree, node, n_shared): inner nodes with a taxon below more than one child."""
-    c = closure(edges, leaf_taxa.select("tree", "node"))
-    kids = c.join(leaf_taxa.withColumnRenamed("node", "leaf"), ["tree", "leaf"]).select("tree", F.col("anc").alias("node"), "taxon").distinct()
+    kids = fold_up(edges, leaf_taxa.select("tree", "node", "taxon", F.lit(1).alias("any")), {"any": F.max}, ["taxon"]).drop("any")
     up = kids.join(edges.select("tree", "node", "parent"), ["tree", "node"]).where("parent IS NOT NULL")
     shared = up.groupBy("tree", F.col("parent").alias("node"), "taxon").agg(F.count("*").alias("k")).where("k > 1")
     return shared.groupBy("tree", "node").agg(F.count("*").alias("n_shared"))
@@ -165,9 +161,10 @@ def duplications(edges: DataFrame, leaf_taxa: DataFrame) -> DataFrame:
 def clade_keys(edges: DataFrame, members: DataFrame) -> DataFrame:
     """(tree, node, size, key): an order-free 128-bit key of the leaf set of each clade,
     over the leaves in ``members`` (node) only."""
-    c = closure(edges, leaves(edges).join(members.select("node").distinct(), "node", "left_semi"))
-    key = F.struct(F.bit_xor(F.xxhash64("leaf")).alias("a"), F.bit_xor(F.xxhash64("leaf", F.lit(1))).alias("b"))
-    return c.groupBy("tree", F.col("anc").alias("node")).agg(F.count("*").alias("size"), key.alias("key"))
+    own = leaves(edges).join(members.select("node").distinct(), "node", "left_semi").select(
+        "tree", "node", F.lit(1).cast("long").alias("size"), F.xxhash64("node").alias("a"), F.xxhash64("node", F.lit(1)).alias("b"))
+    got = fold_up(edges, own, {"size": F.sum, "a": F.bit_xor, "b": F.bit_xor})
+    return got.select("tree", "node", "size", F.struct("a", "b").alias("key"))
 
 
 def bipartition_distance(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -191,27 +188,29 @@ def bipartition_distance(a: DataFrame, b: DataFrame) -> DataFrame:
 def clade_consensus(edges: DataFrame, leaf_families: DataFrame, focal: DataFrame, min_support: float) -> DataFrame:
     """(tree, node, n, family, share): modal family of every supported clade whose leaves
     are all focal."""
-    c = cut(closure(edges, leaves(edges)))
-    f = c.join(focal.select("node").distinct().withColumnRenamed("node", "leaf").withColumn("f", F.lit(1)), "leaf", "left")
-    pure = f.groupBy("tree", "anc").agg(F.count("*").alias("n"), F.count("f").alias("nf")).where("n = nf AND n >= 2")
-    ok = edges.where(F.col("support") >= min_support).select("tree", F.col("node").alias("anc"))
-    pure = pure.join(ok, ["tree", "anc"], "left_semi")
-    rows = c.join(pure.select("tree", "anc", "n"), ["tree", "anc"]).join(leaf_families.withColumnRenamed("node", "leaf"), ["tree", "leaf"])
-    got = modal_label(rows, ["tree", "anc", "n"], "family")
-    return got.select("tree", F.col("anc").alias("node"), "n", "family", (F.col("n_top") / F.col("n_total")).alias("share"))
+    plan = contract(edges)
+    focus = focal.select("node").distinct().withColumn("nf", F.lit(1).cast("long"))
+    own = leaves(edges).join(focus, "node", "left").select("tree", "node", F.lit(1).cast("long").alias("n"), "nf")
+    sizes = fold_up(edges, own, {"n": F.sum, "nf": F.sum}, plan=plan).where("n = nf AND n >= 2")
+    pure = sizes.join(edges.where(F.col("support") >= min_support).select("tree", "node"), ["tree", "node"], "left_semi").select("tree", "node", "n")
+    # only leaves of focal clades have a family that counts
+    named = leaf_families.select("tree", "node", "family").join(focus.select("node"), "node", "left_semi").join(leaves(edges), ["tree", "node"], "left_semi")
+    counts = fold_up(edges, named.withColumn("weight", F.lit(1).cast("long")), {"weight": F.sum}, ["family"], plan)
+    got = modal_label(counts.join(pure, ["tree", "node"]), ["tree", "node", "n"], "family", weight="weight")
+    return got.select("tree", "node", "n", "family", (F.col("n_top") / F.col("n_total")).alias("share"))
 
 
 def anchor_infiltration(edges: DataFrame, anchors: DataFrame, ingroup: DataFrame, min_support: float) -> DataFrame:
     """(tree, leaf, nested, in_share): does an anchor sit inside a supported clade most of
     whose other leaves belong to the in-group?  Reported with the largest such share."""
-    c = cut(closure(edges, leaves(edges)))
-    g = c.join(ingroup.select(F.col("node").alias("leaf")).distinct().withColumn("g", F.lit(1)), "leaf", "left")
-    size = g.groupBy("tree", "anc").agg(F.count("*").alias("n"), F.count("g").alias("k"))
+    group = ingroup.select("node").distinct().withColumn("k", F.lit(1).cast("long"))
+    own = leaves(edges).join(group, "node", "left").select("tree", "node", F.lit(1).cast("long").alias("n"), F.coalesce("k", F.lit(0).cast("long")).alias("k"))
+    size = cut(fold_up(edges, own, {"n": F.sum, "k": F.sum}))
     whole = size.groupBy("tree").agg(F.max("n").alias("all"))
-    ok = edges.where((F.col("support") >= min_support) & F.col("parent").isNotNull()).select("tree", F.col("node").alias("anc"))
-    size = size.join(ok, ["tree", "anc"], "left_semi").join(whole, "tree").where("n < all AND n > 1")
-    rows = c.where("steps > 0").join(anchors.select(F.col("node").alias("leaf")).distinct(), "leaf", "left_semi").join(size, ["tree", "anc"])
-    best = rows.groupBy("tree", "leaf").agg(F.max(F.col("k") / (F.col("n") - 1)).alias("in_share"))
+    ok = edges.where((F.col("support") >= min_support) & F.col("parent").isNotNull()).select("tree", "node")
+    size = size.join(ok, ["tree", "node"], "left_semi").join(whole, "tree").where("n < all AND n > 1")
+    best = highest_above(edges, size.select("tree", "node", (F.col("k") / (F.col("n") - 1)).alias("score")))
+    best = best.select("tree", F.col("node").alias("leaf"), F.col("top").alias("in_share"))
     every = leaves(edges).join(anchors.select("node").distinct(), "node", "left_semi").select("tree", F.col("node").alias("leaf"))
     got = every.join(best, ["tree", "leaf"], "left").withColumn("in_share", F.coalesce("in_share", F.lit(0.0)))
     return got.withColumn("nested", F.col("in_share") > 0.5)
@@ -233,7 +232,8 @@ def deep_nodes(edges: DataFrame, focal: DataFrame, point: float) -> DataFrame:
     percentile of all inner nodes; the deepest one where none does."""
     inner = edges.join(leaves(edges), ["tree", "node"], "left_anti").select("tree", "node")
     depth = cut(root_paths(edges).join(inner, ["tree", "node"]).select("tree", "node", "dist"))
-    over = closure(edges, focal.select("tree", "node")).where("steps > 0").select("tree", F.col("anc").alias("node")).distinct()
+    above = edges.where("parent IS NOT NULL").join(focal.select("tree", "node").distinct(), ["tree", "node"], "left_semi").select("tree", F.col("parent").alias("node"), F.lit(1).alias("any"))
+    over = fold_up(edges, above, {"any": F.max})
     rows = depth.join(over, ["tree", "node"], "left_semi")
     at = percentiles(depth, ["tree"], "dist", {"p": point}).select("tree", "p")
     top = rows.groupBy("tree").agg(F.max("dist").alias("top"))
