@@ -186,7 +186,16 @@ def anchor_infiltration(t):
     return rounded(tr.anchor_infiltration(world(t), order_nodes(t, "o_orderstatus = 'P' AND o_totalprice > 400000"), order_nodes(t, "o_orderstatus = 'O'"), 50)).drop("tree")
 
 
-@query("condition_compare")
+@query("condition_compare", """
+WITH t AS (SELECT 'base' tree UNION ALL SELECT 'long'), w AS (SELECT c_custkey k, n_nationkey n, n_regionkey r, c_acctbal a, abs(c_acctbal) / 10000 + 0.01 lc, (n_nationkey % 5 + 1) * 0.25 ln, 0.5 lr FROM customer JOIN nation ON c_nationkey = n_nationkey),
+c AS (SELECT tree, k, n, r, a, CASE tree WHEN 'base' THEN lc ELSE lc * lc END::DOUBLE lc, CASE tree WHEN 'base' THEN ln ELSE ln * ln END::DOUBLE ln, CASE tree WHEN 'base' THEN lr ELSE lr * lr END::DOUBLE lr FROM w, t),
+f AS (SELECT * FROM c WHERE a > 9000), b1 AS (SELECT tree, n, min(lc) m FROM f GROUP BY 1, 2), b2 AS (SELECT tree, r, min(lc + ln) m FROM f GROUP BY 1, 2), b3 AS (SELECT tree, min(lc + ln + lr) m FROM f GROUP BY 1),
+d AS (SELECT c.tree, c.k, least(lc + b1.m, lc + ln + b2.m, lc + ln + lr + b3.m) d FROM c LEFT JOIN b1 USING (tree, n) LEFT JOIN b2 USING (tree, r) JOIN b3 USING (tree) WHERE a <= 9000),
+g AS (SELECT x.tree, x.d, y.d b FROM d x JOIN d y ON y.k = x.k AND y.tree = 'base'),
+k AS (SELECT tree, rank() OVER (PARTITION BY tree ORDER BY d) + (count(*) OVER (PARTITION BY tree, d) - 1) / 2 x, rank() OVER (PARTITION BY tree ORDER BY b) + (count(*) OVER (PARTITION BY tree, b) - 1) / 2 y FROM g),
+s AS (SELECT r_regionkey * 20 + 15 v FROM region UNION ALL SELECT n_nationkey * 4 FROM nation WHERE n_nationkey % 3 > 0)
+SELECT tree, n_scored, round(m, 9) AS median_dist, (SELECT round(avg(v), 9) FROM s) AS mean_support, round(rho, 9) AS spearman
+FROM (SELECT tree, count(*) n_scored, quantile_cont(d, 0.5) m FROM d GROUP BY 1) JOIN (SELECT tree, corr(x, y) rho FROM k GROUP BY 1) USING (tree)""")
 def condition_compare(t):
     a = world(t, with_orders=False).withColumn("tree", F.lit("base"))
     b = world(t, with_orders=False).withColumn("tree", F.lit("long")).withColumn("length", F.col("length") * F.col("length"))

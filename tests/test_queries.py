@@ -25,6 +25,7 @@ NAMES = [
     "scan_paf", "scan_branch_json", "scan_newick", "sink_atomic_table", "two_sample_tests", "hit_graph_clustering",
     "nearest_ref_distance", "landmark_nearest", "placement_distance", "best_and_margin", "concordant_placement",
     "permuted_votes", "enrichment_null", "anchor_verdict_lists",
+    "condition_compare", "clade_consensus", "anchor_infiltration", "edge_family_map",
     "read_hmm_tblout", "read_paf", "read_gff", "read_quant_tree", "read_anchor_blocks", "read_cluster_dump", "read_hhr", "read_structure_alignment",
 ]
 
