@@ -86,3 +86,17 @@ def test_mahalanobis_assign_against_numpy(data):
     for r in vc.mahalanobis_assign(df.where("id < 40"), vc.family_prototypes(df), precision).collect():
         d = sorted((float((x := m[r.id] - np.array(p.vec)) @ precision @ x), p.label) for p in protos)
         assert r.novelty == pytest.approx(d[0][0]) and r.family == d[0][1]
+
+
+def test_few_distances_are_held_at_a_time(spark, data, monkeypatch):
+    """Before, a batch of queries held its distances to all references at once."""
+    m, df = data
+    refs = df.withColumnRenamed("id", "ref")
+    whole = [sorted(map(tuple, vc.nearest(df, refs, 4, how).collect())) for how in ("euclid", "cosine")]
+    monkeypatch.setattr(vc, "TILE_VALUES", 700)
+    monkeypatch.setattr(vc, "TASK_PAIRS", 5000)
+    assert [sorted(map(tuple, vc.nearest(df, refs, 4, how).collect())) for how in ("euclid", "cosine")] == whole
+    monkeypatch.setattr(vc, "BLOCK_VALUES", 300)
+    got = vc.nearest(df, refs, 4).select("id", "ref", "rank").collect()
+    far = ((m[:, None] - m[None]) ** 2).sum(axis=2)
+    assert {(r["id"], r["rank"]): r["ref"] for r in got} == {(i, k + 1): int(j) for i in range(len(m)) for k, j in enumerate(np.argsort(far[i], kind="stable")[:4])}
