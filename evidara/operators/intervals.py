@@ -15,9 +15,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from evidara.joins import split_hot
 from evidara.ordering import Scan, row_numbers, running
 from evidara.session import cut
 
+#: placements of one query that are compared as a list
+LIST_ROWS = 1000
+#: rows of one query that one task orders
+TASK_ROWS = 100_000
+
 
 def interval_loci(df: DataFrame, keys: Sequence[str], id_col: str, start: str = "start", end: str = "end",
                   name: str = "locus") -> DataFrame:
@@ -83,10 +89,30 @@ def with_bins(df: DataFrame, width: int, start: str = "start", end: str = "end")
 def concordant_placements(a: DataFrame, b: DataFrame, min_identity: float, min_coverage: float, width: int) -> DataFrame:
     """Placements (query, chrom, start, end, strand, identity, coverage, method) that
     two methods agree on: both pass the gates and overlap; the one with the higher
-    identity speaks (``a`` on a tie).  Semi joins: no pair leaves the join."""
+    identity speaks (``a`` on a tie).
+
+    A query's placements meet as one short list.  Queries that may have more than ``LIST_ROWS`` of them meet
+    by semi joins over bins: no pair leaves the join."""
     gate = (F.col("identity") >= min_identity) & (F.col("coverage") >= min_coverage)
-    a, b = cut(a.where(gate)), cut(b.where(gate))
-    keys = ["query", "chrom", "strand"]
+    keys, cols = ["query", "chrom", "strand"], a.columns
+    # a missing key agrees with none
+    known = gate & F.col("query").isNotNull() & F.col("chrom").isNotNull() & F.col("strand").isNotNull()
+    both = cut(a.where(known).withColumn("__first", F.lit(True)).unionByName(b.where(known).withColumn("__first", F.lit(False))))
+    few, many = split_hot(both, ["query"], LIST_ROWS)
+
+    def agrees(x: Column, y: Column) -> Column:
+        wins = F.when(x["__first"], x["identity"] >= y["identity"]).otherwise(x["identity"] > y["identity"])
+        return ((x["__first"] != y["__first"]) & (x["chrom"] == y["chrom"]) & (x["strand"] == y["strand"])
+                & (x["start"] < y["end"]) & (y["start"] < x["end"]) & wins)
+
+    rest = [c for c in cols if c != "query"]
+    lists = few.groupBy("query").agg(F.collect_set(F.struct(*rest, "__first")).alias("__all"))
+    said = F.filter("__all", lambda x: F.exists("__all", lambda y: agrees(x, y)))
+    got = lists.select("query", F.explode(F.array_distinct(F.transform(said, lambda x: F.struct(*[x[c].alias(c) for c in rest])))).alias("x"))
+    got = got.select("query", "x.*").select(*cols)
+    if many is None:
+        return got
+    a, b = cut(many.where("__first").drop("__first")), cut(many.where("NOT __first").drop("__first"))
 
     def agreed(x: DataFrame, y: DataFrame, wins: Column) -> DataFrame:
         xs = with_bins(x, width).alias("x")
@@ -98,9 +124,10 @@ def concordant_placements(a: DataFrame, b: DataFrame, min_identity: float, min_c
             on = on & s
         return xs.join(ys, on & touch & wins, "left_semi").drop("bin").distinct()
 
-    return agreed(a, b, F.col("x.identity") >= F.col("y.identity")).unionByName(
+    more = agreed(a, b, F.col("x.identity") >= F.col("y.identity")).unionByName(
         agreed(b, a, F.col("x.identity") > F.col("y.identity"))
     ).distinct()
+    return got.unionByName(more)
 
 
 _BEST_FIRST = ("chrom", "start", "end", "strand", "method")
@@ -108,23 +135,34 @@ _BEST_FIRST = ("chrom", "start", "end", "strand", "method")
 
 def best_and_margin(placements: DataFrame, id_col: str | None = None) -> DataFrame:
     """Per query the best placement over distinct loci, its identity margin over the
-    next locus (infinite when alone) and the number of loci."""
+    next locus (infinite when alone) and the number of loci.
+
+    A query's placements are ordered in one task, all steps after a single shuffle; queries that may have more than
+    ``TASK_ROWS`` of them are cut into ranges."""
     rows = placements if id_col else placements.withColumn("__id", F.xxhash64(*placements.columns))
-    loci = interval_loci(rows, ["query", "chrom", "strand"], id_col or "__id")
+    keys = ["query", "chrom", "strand"]
+    few, many = split_hot(cut(rows.where(F.col("query").isNotNull())), ["query"], TASK_ROWS)
     rest = [c for c in placements.columns if c not in ("query",)]
     first = F.struct((-F.col("identity")).alias("i"), *_BEST_FIRST)
-    rep = loci.groupBy("query", "chrom", "strand", "locus").agg(F.min_by(F.struct(*rest), first).alias("r"))
-    rep = cut(rep.select("query", F.col("r.*")))
-    order = Window.partitionBy("query").orderBy(F.col("identity").desc(), *_BEST_FIRST)
-    two = rep.withColumn("rn", F.row_number().over(order)).where("rn <= 2")
-    n = rep.groupBy("query").agg(F.count("*").alias("n_loci"))
-    best = two.groupBy("query").agg(
-        F.min_by(F.struct(*rest), "rn").alias("b"), F.max(F.when(F.col("rn") == 2, F.col("identity"))).alias("second")
-    )
-    return best.join(n, "query").select(
-        "query", F.col("b.*"),
-        F.coalesce(F.col("b.identity") - F.col("second"), F.lit(float("inf"))).alias("margin"), "n_loci",
-    )
+
+    def picked(loci: DataFrame) -> DataFrame:
+        rep = loci.groupBy(*keys, "locus").agg(F.min_by(F.struct(*rest), first).alias("r")).select("query", F.col("r.*"))
+        order = Window.partitionBy("query").orderBy(F.col("identity").desc(), *_BEST_FIRST)
+        two = rep.withColumn("rn", F.row_number().over(order)).withColumn("n_loci", F.count("*").over(Window.partitionBy("query")))
+        best = two.where("rn <= 2").groupBy("query").agg(
+            F.min_by(F.struct(*rest), "rn").alias("b"), F.max(F.when(F.col("rn") == 2, F.col("identity"))).alias("second"), F.max("n_loci").alias("n_loci")
+        )
+        return best.select(
+            "query", F.col("b.*"),
+            F.coalesce(F.col("b.identity") - F.col("second"), F.lit(float("inf"))).alias("margin"), "n_loci",
+        )
+
+    order = Window.partitionBy(*keys).orderBy("start", "end", id_col or "__id")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("__reach").isNull() | (F.col("start") >= F.col("__reach")), 1).otherwise(0)
+    loci = few.repartition("query").withColumn("__reach", reach).withColumn("__open", opens)
+    got = picked(loci.withColumn("locus", F.sum("__open").over(order.rowsBetween(Window.unboundedPreceding, 0))))
+    return got if many is None else got.unionByName(picked(interval_loci(many, keys, id_col or "__id")))
 
 
 def placement_cascade(queries: DataFrame, minimap: DataFrame, gmap: DataFrame, protein: DataFrame, reciprocal: DataFrame,
@@ -138,20 +176,20 @@ def placement_cascade(queries: DataFrame, minimap: DataFrame, gmap: DataFrame, p
         ("rbh", "low", reciprocal.where(gate)),
     ]
     tagged = None
-    for i, (name, confidence, df) in enumerate(steps):
+    for i, (_, _, df) in enumerate(steps):
         # the step is part of the query key, so all three steps share one pass
-        part = df.withColumn("query", F.struct(F.col("query").alias("q"), F.lit(i).alias("step"))).withColumn(
-            "placed_by", F.lit(name)).withColumn("confidence", F.lit(confidence))
+        part = df.withColumn("query", F.struct(F.col("query").alias("q"), F.lit(i).alias("step")))
         tagged = part if tagged is None else tagged.unionByName(part)
     got = best_and_margin(tagged).where((F.col("n_loci") == 1) | (F.col("margin") >= min_margin))
     pick = got.groupBy(F.col("query.q").alias("query")).agg(
-        F.min_by(F.struct("chrom", "start", "end", "strand", "identity", "coverage", "placed_by", "confidence", "margin", "n_loci"),
+        F.min_by(F.struct("chrom", "start", "end", "strand", "identity", "coverage", F.col("query.step").alias("step"), "margin", "n_loci"),
                  F.col("query.step")).alias("p")
     )
+    names, levels = (F.array(*[F.lit(s[i]) for s in steps]) for i in (0, 1))
     return queries.select("query").join(pick, "query", "left").select(
         "query", F.col("p.chrom").alias("chrom"), F.col("p.start").alias("start"), F.col("p.end").alias("end"),
         F.col("p.strand").alias("strand"), F.col("p.identity").alias("identity"), F.col("p.coverage").alias("coverage"),
-        F.coalesce("p.placed_by", F.lit("unplaced")).alias("method"), F.coalesce("p.confidence", F.lit("none")).alias("confidence"),
+        F.coalesce(F.get(names, F.col("p.step")), F.lit("unplaced")).alias("method"), F.coalesce(F.get(levels, F.col("p.step")), F.lit("none")).alias("confidence"),
         F.col("p.margin").alias("margin"), F.coalesce(F.col("p.n_loci") >= 2, F.lit(False)).alias("multi_mapping"),
     )
 

@@ -49,3 +49,24 @@ def test_segments_merge(spark):
         else:
             want.append([h, h + 21])
     assert got == [tuple(w) for w in want]
+
+
+def test_hot_queries_are_placed_like_the_others(spark, monkeypatch):
+    """Lists and windows for queries of few rows, bins and ranges for hot ones: the same placements, repeated rows and missing keys too."""
+    rows = [(q if q else None, "ac"[i // 2 % 2], 50 * (i * 7 % 9), 50 * (i * 7 % 9) + 30 * (i % 4) + 20, "+", 90.0 + i * 5 % 8, 50.0, f"m{i % 2}")
+            for q in range(5) for i in range(4 + 6 * q)]
+    df = spark.createDataFrame(rows + rows[:6], "query long, chrom string, start long, end long, strand string, identity double, coverage double, method string")
+
+    def placed():
+        a, b = df.where("method = 'm0'"), df.where("method = 'm1'")
+        asked = spark.range(7).withColumnRenamed("id", "query")
+        got = iv.concordant_placements(a, b, 91, 20, 40), iv.best_and_margin(df), iv.placement_cascade(asked, a, b, a, b, 91, 20, 0.5, 40)
+        return [sorted(map(str, g.collect())) for g in got]
+
+    plain = placed()
+    by_hand = {x for x in rows if x[0] and x[5] >= 91 and any(
+        y[0] == x[0] and y[7] != x[7] and y[1] == x[1] and x[2] < y[3] and y[2] < x[3] and 91 <= y[5] and (x[5] > y[5] or x[7] == "m0" and x[5] == y[5]) for y in rows)}
+    assert len(plain[0]) == len(by_hand) > 0 and len(plain[1]) == 4 and len(plain[2]) == 7
+    monkeypatch.setattr(iv, "LIST_ROWS", 12)
+    monkeypatch.setattr(iv, "TASK_ROWS", 12)
+    assert placed() == plain
