@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from evidara.operators import fusion as fu
 from evidara.operators import selection as sl
 from evidara.operators import stats as st
 
@@ -111,3 +112,30 @@ def test_components_of_a_descending_path(spark):
     edges = spark.createDataFrame([(0, n)] + [(i, i - 1) for i in range(2, n + 1)], "a long, b long")
     got = st.connected_components(edges, spark.range(n + 2).withColumnRenamed("id", "node")).collect()
     assert {r.component for r in got if r.node <= n} == {0} and {r.component for r in got if r.node > n} == {n + 1}
+
+
+def test_draws_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    """Few narrow rows that become many draws do not stay in one task, and the resamples stay the same."""
+    df = spark.createDataFrame([(i, float(i * 7 % 11), float(i % 3)) for i in range(60)], "id long, a double, b double").coalesce(1)
+    plain = st.bootstrap_ci_diff(df, "a", "b", 30).collect()
+    monkeypatch.setattr(st, "TASK_DRAWS", 100)
+    assert st.tasks_for(60 * 30, df) >= 18
+    assert [tuple(round(x, 9) for x in r) for r in st.bootstrap_ci_diff(df, "a", "b", 30).collect()] == [tuple(round(x, 9) for x in r) for r in plain]
+
+
+def test_lists_as_columns_score_like_collected_lists(spark):
+    rows = [(i % 3, i // 3, s, (i * (j + 3) % 17 + 1) / 17) for i in range(60) for j, s in enumerate("abcd") if (i + j) % 4]
+    lists = spark.createDataFrame(rows, "scenario int, id long, list string, r double")
+    keys = ["scenario", "id"]
+    assert sorted(fu.rho_from_lists(lists, keys, list("abcd")).collect()) == sorted(fu.rho_from_lists(lists, keys).collect())
+
+
+def test_resampled_ranks_of_repeated_and_undrawn_signals(spark):
+    """An id without a drawn signal takes the last place, a repeated vote counts twice."""
+    votes = spark.createDataFrame([(1, "a", 3.0), (1, "a", 2.0), (2, "b", 1.0), (2, "a", 1.0), (3, "b", 9.0), (None, "a", 0.5)], "id long, signal string, value double")
+    ranks = fu.normalized_ranks(votes)
+    wide = st.resampled_ranks(ranks, ["a", "b"], 6).collect()
+    long = st.resampled_lists(ranks, ["a", "b"], 6).collect()
+    assert len(wide) == 4 * 6 and sum(len(x.r) for w in wide for x in w.rs) == len(long)
+    got = {r.id: r for r in st.bootstrap_rank_ci(votes, ["a", "b"], 1, 6).collect()}
+    assert len(got) == 4 and got[None].rank_median == 4
