@@ -11,8 +11,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evidara.operators.stats import tasks_for
 from evidara.session import cut
 
+#: families that an anchor meets, about: rows it becomes in a task
+MET_FAMILIES = 4
 # The order that settles a tie between classes, and the word for "none".
 CLASS_ORDER = ("A", "B", "C", "F")
 UNCLASSIFIED = "unclassified"
@@ -210,16 +213,20 @@ def cross_clade_concordance(anchors: DataFrame, reference_clade: str, skipped_cl
     ``anchors``: accession, clade, family, og.  Families are counted per group first;
     an anchor meets those counts, never the other anchors one by one.
     """
-    seeds = anchors.where(F.col("clade") == reference_clade).groupBy("og", F.col("family").alias("mode")).agg(
+    anchors = cut(anchors)
+    # an anchor meets several families, and they are counted where they meet: tasks grow in number, not in size
+    parts = tasks_for(MET_FAMILIES * anchors.count(), anchors)
+    seeds = anchors.where(F.col("clade") == reference_clade).repartition(parts, "og").groupBy("og", F.col("family").alias("mode")).agg(
         F.count("*").alias("n")
     )
     asked = anchors.where((F.col("clade") != reference_clade) & ~F.col("clade").isin(list(skipped_clades) or [""]))
-    met = asked.join(seeds, "og").groupBy("accession", "mode").agg(F.sum("n").alias("n"))
+    met = asked.select("accession", "og").repartition(parts, "og").join(seeds, "og")
+    met = met.repartition(parts, "accession").groupBy("accession", "mode").agg(F.sum("n").alias("n"))
     levels = met.groupBy("accession", "n").agg(F.count("*").alias("tied"), F.min("mode").alias("mode"))
     best = levels.groupBy("accession").agg(
         F.max(F.struct("n", "tied", "mode")).alias("b"), F.sum(F.col("n") * F.col("tied")).alias("n_reference")
     )
-    who = asked.groupBy("accession", "clade", "family").agg(F.count("*").alias("n_groups"))
+    who = asked.repartition(parts, "accession").groupBy("accession", "clade", "family").agg(F.count("*").alias("n_groups"))
     got = who.join(best, "accession", "left")
     bucket = (
         F.when(F.col("b").isNull(), "NOT_SPANNED")
@@ -249,15 +256,17 @@ def gate_loo(
         if regime == "leave_one"
         else F.col("clade")
     )
-    rows = anchors.withColumn("held", held)
-    seeds = rows.where("characterized").groupBy("og", "family").agg(F.count("*").alias("n"))
+    rows = cut(anchors.withColumn("held", held))
+    # groups and anchors are dealt over tasks that grow in number, not in size
+    parts = tasks_for(MET_FAMILIES * rows.count(), rows)
+    seeds = rows.where("characterized").repartition(parts, "og").groupBy("og", "family").agg(F.count("*").alias("n"))
     if regime == "leave_one":
         removed = seeds.select("og", F.col("family").alias("held"), "family", F.lit(1).cast("long").alias("gone"))
     else:
-        removed = rows.where("characterized").groupBy("og", "held", "family").agg(F.count("*").alias("gone"))
+        removed = rows.where("characterized").repartition(parts, "og").groupBy("og", "held", "family").agg(F.count("*").alias("gone"))
     asked = rows.where(~F.col("clade").isin(list(skipped_clades) or [""]))
     left = (
-        asked.select("og", "held").distinct()
+        asked.select("og", "held").repartition(parts, "og").distinct()
         .join(seeds, "og")
         .join(removed, ["og", "held", "family"], "left")
         .withColumn("n", F.col("n") - F.coalesce("gone", F.lit(0)))
@@ -269,7 +278,8 @@ def gate_loo(
         F.sum(F.col("n") * F.col("tied")).alias("total"),
         F.sum("tied").alias("families"),
     )
-    got = asked.select("og", "held", "accession", "clade", "family").join(sizes, "og").join(best, ["og", "held"], "left")
+    got = asked.select("og", "held", "accession", "clade", "family").repartition(parts, "og").join(sizes.repartition(parts, "og"), "og")
+    got = got.repartition(parts, "og", "held").join(best.repartition(parts, "og", "held"), ["og", "held"], "left")
     impure = (
         F.when(F.col("families") > 1, "mixed_family_seeds")
         if purity == "strict"
@@ -290,7 +300,7 @@ def gate_loo(
     got = got.withColumn("fail_reason", reason).withColumn(
         "assigned_family", F.when(named, F.col("b.modal")).otherwise("")
     )
-    pick = got.groupBy("accession", "clade", "family").agg(
+    pick = got.repartition(parts, "accession").groupBy("accession", "clade", "family").agg(
         F.min(F.struct((F.col("fail_reason") != "").alias("bad"), "size", "og", "assigned_family", "fail_reason")).alias("p")
     )
     outcome = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evidara.operators import labels as lb
+from evidara.operators.stats import tasks_for
 from evidara.ordering import percentiles
 from evidara.plans.registry import query
 from evidara.session import cut
@@ -153,7 +154,10 @@ PART_ANCHORS_SQL = """p AS (SELECT DISTINCT p_partkey accession, p_brand clade,
 
 
 def part_anchors(t):
-    return t.lineitem.select("l_partkey", "l_suppkey").distinct().join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+    # dealt by their number before copies go, so no task holds the keys of more rows than planned
+    lines = t.lineitem.select("l_partkey", "l_suppkey")
+    lines = lines.repartition(tasks_for(lines.count(), lines), "l_partkey").distinct()
+    return lines.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_partkey").alias("accession"), F.col("p_brand").alias("clade"), F.col("p_type").alias("family"),
         (F.col("p_size") <= 25).alias("characterized"), F.col("l_suppkey").alias("og"),
     )
