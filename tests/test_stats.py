@@ -139,3 +139,10 @@ def test_resampled_ranks_of_repeated_and_undrawn_signals(spark):
     assert len(wide) == 4 * 6 and sum(len(x.r) for w in wide for x in w.rs) == len(long)
     got = {r.id: r for r in st.bootstrap_rank_ci(votes, ["a", "b"], 1, 6).collect()}
     assert len(got) == 4 and got[None].rank_median == 4
+
+
+def test_equal_places_are_their_own_percentile(spark):
+    """One list alone gives every scenario the same places, and no bound falls below them."""
+    votes = spark.createDataFrame([(i, "a", float(-i)) for i in range(150)], "id long, signal string, value double")
+    got = {r.id: (r.rank_ci_lo, r.rank_ci_hi, r.rank_median) for r in st.bootstrap_rank_ci(votes, ["a"], 5, 20).collect()}
+    assert got == {i: (i + 1, i + 1, i + 1) for i in range(150)}
