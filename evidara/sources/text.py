@@ -10,6 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` plus ``value``, computed once a row.  It leaves through ``explode``: of a plain column, a filter above
+    would be moved below it with a copy of ``value``, and of what that is made of, for each mention."""
+    return df.select(*[F.col(c) for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def read_lines(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     """(value, path): lines of every file below ``path``, or one row per file."""
     reader = spark.read.option("recursiveFileLookup", True)
@@ -73,7 +79,7 @@ def scan_quant_tree(lines: DataFrame, root: str) -> DataFrame:
 def fields(lines: DataFrame) -> DataFrame:
     """Adds ``f``: the whitespace-separated fields; comments and blank lines go."""
     text = F.regexp_replace("value", r"^\s+|\s+$", "")
-    return lines.where(F.col("value").rlike(r"^\s*[^#\s]")).withColumn("f", F.split(text, r"\s+"))
+    return once(lines.where(F.col("value").rlike(r"^\s*[^#\s]")), "f", F.split(text, r"\s+"))
 
 
 def at(i: int) -> Column:
@@ -109,31 +115,35 @@ def cs_identity(cs: Column) -> Column:
     inserted + deleted letters), introns skipped; null for an unknown operator."""
     ops = F.regexp_extract_all(cs, F.lit(r":\d+|=[A-Za-z]+|\*[A-Za-z]{2}|[+-][A-Za-z]+|~[A-Za-z]+\d+[A-Za-z]+"), F.lit(0))
 
-    def total(test, size) -> Column:
-        return F.aggregate(F.filter(ops, test), F.lit(0), lambda a, x: a + size(x))
+    def add(a: Column, x: Column) -> Column:
+        mark, more = F.substring(x, 1, 1), F.length(x) - 1
+        same = F.when(mark == ":", F.substr(x, F.lit(2)).cast("int")).when(mark == "=", more).otherwise(0)
+        apart = F.when(mark == "*", 1).when(mark.isin("+", "-"), more).otherwise(0)
+        return F.struct((a["same"] + same).alias("same"), (a["apart"] + apart).alias("apart"), (a["read"] + more + 1).alias("read"))
 
-    def starts(*marks):
-        return lambda x: F.substring(x, 1, 1).isin(*marks)
+    def share(a: Column) -> Column:
+        n = a["same"] + a["apart"]
+        return F.when((a["read"] == F.length(cs)) & (n > 0), 100.0 * a["same"] / n)
 
-    run = total(starts(":"), lambda x: F.substr(x, F.lit(2)).cast("int"))
-    same = run + total(starts("="), lambda x: F.length(x) - 1)
-    subs = total(starts("*"), lambda x: F.lit(1))
-    indel = total(starts("+", "-"), lambda x: F.length(x) - 1)
-    read = F.aggregate(ops, F.lit(0), lambda a, x: a + F.length(x)) == F.length(cs)
-    return F.when(read & (same + subs + indel > 0), 100.0 * same / (same + subs + indel))
+    return F.aggregate(ops, F.struct(*[F.lit(0).alias(c) for c in ("same", "apart", "read")]), add, share)
 
 
 def scan_paf(lines: DataFrame) -> DataFrame:
     """Alignments as placements: identity from the divergence tag (``de`` before ``dv``),
     else from the ``cs`` string; a row with neither is an error."""
-    raw = lines.withColumn("f", F.split("value", "\t")).where(F.size("f") >= 12)
-    tag = lambda name: F.get(F.transform(F.filter(F.slice("f", F.lit(13), F.greatest(F.size("f") - 12, F.lit(1))), lambda x: x.startswith(name + ":")), lambda x: F.regexp_replace(x, "^[^:]*:[^:]*:", "")), F.lit(0))
-    div = F.when(tag("de").isNotNull(), tag("de").try_cast("double")).otherwise(tag("dv").try_cast("double"))
+    raw = once(lines, "f", F.split("value", "\t")).where(F.size("f") >= 12)
+    tags = F.concat(F.lit("\t"), F.array_join(F.slice("f", F.lit(13), F.greatest(F.size("f") - 12, F.lit(1))), "\t"))
+
+    def tag(name: str) -> Column:
+        field = F.regexp_extract("tags", f"\t({name}:[^\t]*)", 1)
+        return F.when(field != "", F.regexp_replace(field, "^[^:]*:[^:]*:", ""))
+
     got = raw.select(
-        at(0).alias("query"), at(5).alias("chrom"), at(7).try_cast("long").alias("start"), at(8).try_cast("long").alias("end"), at(4).alias("strand"),
-        F.coalesce(100.0 * (1.0 - div), cs_identity(tag("cs"))).alias("identity"),
+        at(0).alias("query"), at(5).alias("chrom"), at(7).try_cast("long").alias("start"), at(8).try_cast("long").alias("end"), at(4).alias("strand"), tags.alias("tags"),
         at(1).try_cast("long").alias("qlen"), at(2).try_cast("long").alias("qs"), at(3).try_cast("long").alias("qe"), at(11).try_cast("double").alias("score"),
     ).where("start IS NOT NULL AND end IS NOT NULL AND qlen IS NOT NULL AND qs IS NOT NULL AND qe IS NOT NULL AND score IS NOT NULL")
+    div = F.when(tag("de").isNotNull(), tag("de").try_cast("double")).otherwise(tag("dv").try_cast("double"))
+    got = got.withColumn("identity", F.coalesce(100.0 * (1.0 - div), cs_identity(tag("cs"))))
     lost = F.raise_error(F.concat(F.lit("no identity source for "), F.col("query"))).cast("double")
     return got.select("query", "chrom", "start", "end", "strand", F.coalesce("identity", lost).alias("identity"),
                       F.when(F.col("qlen") > 0, 100.0 * (F.col("qe") - F.col("qs")) / F.col("qlen")).otherwise(0.0).alias("coverage"),
@@ -143,7 +153,7 @@ def scan_paf(lines: DataFrame) -> DataFrame:
 def scan_blast_tab(lines: DataFrame, coords: DataFrame) -> DataFrame:
     """13 tab columns (query, subject, identity, …, query coverage last) joined to the
     subject's coordinates; unknown subjects go.  ``coords``: subject, chrom, start, end, strand."""
-    f = lines.withColumn("f", F.split("value", "\t")).where(F.size("f") >= 13)
+    f = once(lines, "f", F.split("value", "\t")).where(F.size("f") >= 13)
     hits = f.select(at(0).alias("query"), at(1).alias("subject"), at(2).try_cast("double").alias("identity"), at(12).try_cast("double").alias("coverage"),
                     at(10).try_cast("double").alias("evalue"), at(11).try_cast("double").alias("score")).where("identity IS NOT NULL AND coverage IS NOT NULL")
     return hits.join(coords, "subject")
@@ -152,7 +162,7 @@ def scan_blast_tab(lines: DataFrame, coords: DataFrame) -> DataFrame:
 def scan_gff(lines: DataFrame) -> DataFrame:
     """(seqid, source, type, start, end, score, strand, phase, attrs, partial): nine tab
     columns, ``k=v;`` attributes as a map."""
-    f = lines.where(~F.col("value").startswith("#")).withColumn("f", F.split("value", "\t")).where(F.size("f") == 9)
+    f = once(lines.where(~F.col("value").startswith("#")), "f", F.split("value", "\t")).where(F.size("f") == 9)
     pairs = F.filter(F.split(at(8), ";"), lambda x: F.trim(x).contains("="))
     attrs = F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.trim(F.split_part(x, F.lit("="), F.lit(1))), F.trim(F.regexp_replace(x, "^[^=]*=", "")))))
     return f.select(at(0).alias("seqid"), at(1).alias("source"), at(2).alias("type"), at(3).try_cast("long").alias("start"), at(4).try_cast("long").alias("end"),
@@ -186,7 +196,7 @@ def scan_collinearity(lines: DataFrame) -> DataFrame:
 
 def scan_tm_prediction(lines: DataFrame) -> DataFrame:
     """(seq_id, tm_confidence, tm_count) from columns 1, 3 and 5; a count may read ``6.0``."""
-    f = lines.withColumn("f", F.split("value", "\t")).where(F.size("f") >= 5)
+    f = once(lines, "f", F.split("value", "\t")).where(F.size("f") >= 5)
     got = f.select(at(0).alias("seq_id"), at(2).try_cast("double").alias("tm_confidence"), at(4).try_cast("double").cast("int").alias("tm_count"))
     return got.where("tm_confidence IS NOT NULL AND tm_count IS NOT NULL")
 
@@ -272,7 +282,7 @@ def scan_records_dir(lines: DataFrame) -> DataFrame:
     from evidara.functions.scalars import file_name_fields
 
     taxid, name = file_name_fields(F.col("path"))
-    f = lines.withColumn("f", F.split("value", "\t")).where((F.size("f") >= 5) & (at(0) != "seq_id"))
+    f = once(lines, "f", F.split("value", "\t")).where((F.size("f") >= 5) & (at(0) != "seq_id"))
     yes = lambda c: F.lower(c).isin("true", "1", "yes")
     return f.select(taxid.alias("taxid"), name.alias("name"), yes(at(1)).alias("p"), yes(at(4)).alias("g")).groupBy("taxid", "name").agg(
         F.count("*").alias("n_input"), F.count_if("p").alias("n_positive"), F.count_if("g").alias("n_passed"))
@@ -280,7 +290,7 @@ def scan_records_dir(lines: DataFrame) -> DataFrame:
 
 def scan_asr_state(lines: DataFrame, node: str) -> DataFrame:
     """(node, seq): the reconstructed letters of one node in site order."""
-    f = lines.where(~F.col("value").startswith("#")).withColumn("f", F.split("value", "\t")).where(F.size("f") >= 3)
+    f = once(lines.where(~F.col("value").startswith("#")), "f", F.split("value", "\t")).where(F.size("f") >= 3)
     rows = f.select(at(0).alias("node"), at(1).try_cast("int").alias("site"), at(2).alias("state")).where((F.col("node") == node) & F.col("site").isNotNull())
     # one entry per site of one node
     return rows.groupBy("node").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("site", "state"))), lambda x: x["state"]), "").alias("seq"))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from evidara.operators import trees as tr
 from evidara.sources import nested as ns
@@ -71,3 +72,25 @@ def test_hmm_rows_without_accession_or_score(spark):
     lines = [("t1 - q1 - 1e-5 12.5 0.1",), ("t2 PF00001.23 q1 - 2e-5 n/a 0.1",), ("t3 PF1 q1 - x 1 0",)]
     got = tx.scan_hmm_tblout(spark.createDataFrame(lines, "value string")).orderBy("target").collect()
     assert [(r.target, r.accession, r.score) for r in got] == [("t1", "", 12.5), ("t2", "PF00001", None)]
+
+
+def test_fields_are_cut_once_a_row(spark):
+    df = spark.createDataFrame([("\t".join(["q", "100", "0", "90", "+", "c", "1000", "5", "95", "80", "90", "60", "dv:f:0.5", "de:f:0.02", "de:f:0.9", "cs:Z::9*ac"]),)], "value string")
+    plan = tx.scan_paf(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("regexp_extract_all(") == 1
+    assert tx.scan_paf(df).first().identity == pytest.approx(98.0)
+
+
+def test_difference_string(spark):
+    texts = [(":9*ac",), ("=ACGT+ac-g~gt100ag",), (":5!",), ("~gt100ag",), ("",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(texts, "cs string").select(tx.cs_identity(F.col("cs"))).collect()]
+    assert got == [90.0, pytest.approx(400 / 7), None, None, None, None]
+
+
+def test_branch_json_is_parsed_once_a_row(spark):
+    body = '{"branch attributes":{"0":{"k1":{"original name":"a","Rate Distributions":[[2,0.5],[4,0.5]],"p-value":0.01},"k2":{"omega":3}},"1":{"k3":{"original name":"a","omega":9}}}}'
+    df = spark.createDataFrame([("f", body), ("g", None), ("h", "{}")], "path string, value string")
+    got = ns.scan_branch_json(df)
+    assert got._jdf.queryExecution().executedPlan().toString().count("get_json_object(") == 1
+    rows = {r.branch_id: (r.path, r.omega_max, r.omega_mean, r.weight_at_max, r.p_value, r.is_selected) for r in got.collect()}
+    assert rows["a"] == ("f", 4.0, 3.0, 0.5, 0.01, 1) and rows["k2"][:3] == ("f", 3.0, 3.0) and len(rows) == 2
