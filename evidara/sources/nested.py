@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from evidara.sources.text import once
+
 NAN = float("nan")
 BRANCH = "struct<`original name`:string,`Rate Distributions`:array<array<double>>,`Corrected P-value`:double,`Uncorrected P-value`:double,`p-value`:double,omega:double>"
 
@@ -19,11 +21,12 @@ def scan_branch_json(files: DataFrame) -> DataFrame:
     attributes``, with or without a layer of numbered partitions; the first entry of a
     branch id stays."""
     raw = F.get_json_object("value", "$['branch attributes']")
-    top = F.from_json(raw, "map<string,string>")
-    parts = F.forall(F.map_keys(top), lambda k: k.rlike(r"^\d+$"))
-    each = files.select("path", parts.alias("parts"), F.posexplode(F.map_entries(top)).alias("i", "e"))
+    top = once(files.select("path", "value"), "top", F.map_entries(F.from_json(raw, "map<string,string>")))
+    top = once(top, "parts", F.forall("top", lambda e: e["key"].rlike(r"^\d+$")))
+    each = top.select("path", "parts", F.posexplode("top").alias("i", "e"))
     inner = F.when(F.col("parts"), F.map_entries(F.from_json("e.value", "map<string,string>"))).otherwise(F.array(F.col("e")))
-    flat = each.select("path", "i", F.posexplode(inner).alias("j", "x")).select("path", "i", "j", F.col("x.key").alias("key"), F.from_json("x.value", BRANCH).alias("b")).where("b IS NOT NULL")
+    flat = each.select("path", "i", F.posexplode(inner).alias("j", "x")).select("path", "i", "j", F.col("x.key").alias("key"), F.col("x.value").alias("text"))
+    flat = once(flat, "b", F.from_json("text", BRANCH)).where("b IS NOT NULL")
     rates = F.col("b.`Rate Distributions`")
     n = F.coalesce(F.size(F.when(F.size(rates) > 0, rates)), F.lit(0))
     top_rate = F.array_max(F.transform(rates, lambda r: r[0]))
