@@ -289,17 +289,19 @@ def positive_control_lookup(controls: DataFrame, ranked: DataFrame, names: Seque
     """(control, strategy, id): exact id, then a name equal to the row's whole text, then
     the name as whole words in it.  ``controls``: control, needles (array).
 
-    Words are matched by joining on their first word and checking the rest, so controls
-    meet only rows that hold that word.
+    Controls meet the ids of rows that hold their first word; only these pairs read the texts, where a plain search comes
+    before the pattern.
     """
     text = F.lower(F.concat_ws(" ", *names))
     rows = ranked.select("id", text.alias("text"), F.col("final_rank").alias("place"))
     exact = controls.join(rows.select(F.col("id").cast("string").alias("control"), "id", "place"), "control").select("control", F.lit(0).alias("p"), "place", "id")
     asked = controls.select("control", F.explode("needles").alias("needle")).select("control", F.lower(F.trim("needle")).alias("needle")).where("needle <> ''")
     alias = asked.join(rows.withColumnRenamed("text", "needle"), "needle").select("control", F.lit(1).alias("p"), "place", "id")
-    first = asked.withColumn("word", F.regexp_extract("needle", r"(\w+)", 1)).where("word <> ''")
-    words = rows.withColumn("word", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\w+)"), F.lit(1)))))
-    inside = words.join(first, "word").where(F.expr("text RLIKE concat('(^|\\\\W)\\\\Q', needle, '\\\\E($|\\\\W)')")).select("control", F.lit(2).alias("p"), "place", "id")
+    first = asked.withColumn("word", F.regexp_extract("needle", r"(\w+)", 1)).where("word <> ''").distinct()
+    words = rows.select("id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\w+)"), F.lit(1)))).alias("word"))
+    pairs = words.join(first, "word").select(F.col("id").alias("at"), "control", "needle").distinct()
+    holds = F.col("text").contains(F.col("needle")) & F.expr("text RLIKE concat('(^|\\\\W)\\\\Q', needle, '\\\\E($|\\\\W)')")
+    inside = rows.join(pairs, F.col("id").eqNullSafe(F.col("at")) & holds).select("control", F.lit(2).alias("p"), "place", "id")
     best = exact.unionByName(alias).unionByName(inside).groupBy("control").agg(F.min(F.struct("p", "place", "id")).alias("b"))
     names_of = F.array(F.lit("exact_id"), F.lit("exact_alias"), F.lit("word_boundary"))
     return controls.select("control").join(best, "control", "left").select(

@@ -42,3 +42,14 @@ def test_verdict_lists(spark):
         "1": ("keep", 3), "2": ("exclude", 1), "3": ("keep", 1), "4": (None, None), "5": (None, None), "6": (None, None), "7": ("keep", 2), "8": (None, None)}
     assert got["3"].line == "| B | include | 2 | 0.250 | 1.5 | near; low |" and got["1"].line == "| C | include | ? | 0.000 | 0.0 | — |"
     assert got["6"].line == "| ? | ? | ? | 0.000 | 0.0 | — |"
+
+
+def test_controls_are_found_without_a_text_for_each_word(spark):
+    controls = spark.createDataFrame([("7", ["no such"]), ("a", ["big", "gpcr one"]), ("b", ["Amine.2 (x)"]), ("c", ["gpcr on"]), ("d", ["whole text"])], "control string, needles array<string>")
+    ranked = spark.createDataFrame([(7, "x", 5), (3, "a gpcr one", 9), (3, "bigger gpcr", 1), (None, "x-GPCR One.", 2), (8, "amine.2 (x)!", 4), (9, "amine.2 (x)y", 3), (5, "whole text", 6)],
+                                   "id long, text string, final_rank int")
+    got = ev.positive_control_lookup(controls, ranked, ["text"])
+    assert sorted(map(tuple, got.collect())) == [("7", "exact_id", 7), ("a", "word_boundary", None), ("b", "word_boundary", 8), ("c", "none", None), ("d", "exact_alias", 5)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Generate explode(array_distinct(" in line]
+    assert dealt and all("text#" not in line.rsplit(", false, ", 1)[0].rsplit(", [", 1)[1] for line in dealt)
