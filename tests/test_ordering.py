@@ -70,3 +70,15 @@ def test_many_borders_travel_as_data(spark, monkeypatch):
     want = [tuple(x) for x in od.row_numbers(df, ["g"], ["v", "i"], ranges=40).orderBy("i").collect()]
     monkeypatch.setattr(od, "LITERAL_BORDERS", 5)
     assert [tuple(x) for x in od.row_numbers(df, ["g"], ["v", "i"], ranges=40).orderBy("i").collect()] == want
+
+
+@pytest.mark.parametrize("ranges", [9, 65, 150])
+def test_ranges_follow_the_order(spark, ranges):
+    rows = [(None if i % 11 == 0 else f"g{i % 3}", None if i % 7 == 0 else float("nan") if i % 13 == 0 else i % 50 / 4, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, v double, id long")
+    got = od.with_range(df, ["g", "v", "id"], ranges)
+    seen = [r["__range"] for r in got.orderBy("g", "v", "id").collect()]
+    assert seen == sorted(seen) and set(seen) == set(range(ranges))
+    if ranges <= od.TREE_BORDERS + 1:
+        # found by comparisons that Spark compiles, not by a walk over an array for each row
+        assert "filter(" not in got._jdf.queryExecution().executedPlan().toString()
