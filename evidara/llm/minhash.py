@@ -24,10 +24,10 @@ from evidara.llm.common import doc_batches, gram_hashes, mix, signed, split_by_i
 
 #: with 4 slots a band and 28 bands a pair at similarity 0.8 shares no band with probability 4e-7
 BANDS, BAND_SLOTS = 28, 4
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 ACTIVE_ROWS = 40_000
-#: sets of up to so many shingles travel through the rest join whole
-CARRIED = 1_000
+#: longs of the parity bits that stand for a set in the rest join
+BIT_WORDS = 16
 #: the joins between tables are many; their shuffle files go with each table written
 stash = partial(common.stash, release=True)
 _SEED = np.uint64(0x632BE59BD9B4E019)
@@ -92,7 +92,7 @@ def _later_steps(slots: np.ndarray, items: np.ndarray, doc: np.ndarray, rows: np
         perm[line, step] = chosen
         value = (np.uint64(step) << np.uint64(56)) | (_draw(r, 2 * step + 1) >> np.uint64(8))
         _offer(slots, doc[rows] * m + chosen, value)
-        still = (slots.reshape(-1, m)[doc[rows]] == empty).any(1)
+        still = (slots.reshape(-1, m) == empty).any(1)[doc[rows]]
         if not still.any():
             return
         if not still.all():
@@ -121,13 +121,23 @@ def _sign(k: int, bands: int, band_slots: int):
                 yield pa.record_batch({
                     "doc_id": batch.column(0).slice(start, len(rows)),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                    "same": pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets], pa.string()),
+                    "same": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     "bands": pa.ListArray.from_arrays(
                         pa.array(np.arange(0, len(rows) * bands + 1, bands), pa.int32()), pa.array(signed(band).ravel())),
                 })
     return run
 
 
+def parity_bits(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set ``BIT_WORDS`` longs of bits; an item turns one over.  Two sets differ in at least as
+    many items as bits."""
+    out = np.zeros(len(sets) * BIT_WORDS, np.uint64)
+    items = np.concatenate(sets)
+    word = np.repeat(np.arange(len(sets)) * BIT_WORDS, [len(s) for s in sets]) + (items >> np.uint64(58)).astype(np.int64) % BIT_WORDS
+    np.bitwise_xor.at(out, word, np.uint64(1) << (items & np.uint64(63)))
+    return out.reshape(-1, BIT_WORDS)
+
+
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,16 +145,18 @@ def _sets(k: int):
                 sets = shingle_sets(rows, k)
                 ends = np.r_[0, np.cumsum([len(s) for s in sets])]
                 yield pa.record_batch({
-                    "same": pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets], pa.string()),
+                    "same": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     "items": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(np.concatenate(sets)))),
+                    "bits": pa.ListArray.from_arrays(
+                        pa.array(np.arange(0, len(rows) * BIT_WORDS + 1, BIT_WORDS), pa.int32()), pa.array(signed(parity_bits(sets)).ravel())),
                 })
     return run
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(same, items) of the wanted sets (same, id), made anew from the texts of their documents."""
+    """(same, items, bits) of the wanted sets (same, id), made anew from the texts of their documents."""
     texts, _ = split_by_ids(docs, wanted.select(F.col("id").alias("doc_id")).distinct(), ["doc_id"])
-    made = texts.select(F.col("text").cast("binary").alias("text")).mapInArrow(_sets(k), "same string, items array<long>")
+    made = texts.select(F.col("text").cast("binary").alias("text")).mapInArrow(_sets(k), "same binary, items array<long>, bits array<long>")
     return made.join(wanted.select("same").distinct(), "same", "left_semi").dropDuplicates(["same"])
 
 
@@ -157,31 +169,29 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(100 * both >= percent * (F.size("ia") + F.size("ib") - both)).select("a", "b")
 
 
-def _rest_pairs(unsure: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidates (sa, sb, a, b) among ``unsure`` (same, id, c) in different components ``c``.
+def _rest_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Candidates (sa, sb, a, b) among ``sets`` (same, id, c, items, bits) in different components ``c``.
 
     Only shingles that several components hold can be common to a pair.  A set of ``n`` shingles
     with fewer than ``t n`` of them (``t``: the threshold) has no partner and goes.  Of the ``m``
     shingles left to a set, ``ceil(t n)`` are common to a pair, so two partners share one of the
-    first ``m - ceil(t n) + 1`` of either in any common order; the order is by rarity.
+    first ``m - ceil(t n) + 1`` of either in any common order; the order is by rarity.  The parity
+    bits of the sets travel along: where they differ in too many, the sets do.
     """
-    base = stash(sets.join(unsure, "same").select(F.xxhash64("same").alias("k"), "same", "id", "c", F.size("items").alias("n"), "items"))
+    base = sets.select(F.xxhash64("same").alias("k"), "same", "id", "c", F.size("items").alias("n"), "items", "bits")
     items = base.select("k", "c", F.explode("items").alias("item"))
     shared = items.groupBy("item").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").cast("int").alias("df")).where("lo < hi")
     order = F.sort_array(F.collect_list(F.struct("df", "item")))
     left = items.select("k", "item").join(shared.select("item", "df"), "item").groupBy("k").agg(order.alias("order"))
     ranked = base.drop("items").join(left, "k").withColumn("m", F.size("order")).where(100 * F.col("m") >= percent * F.col("n"))
     head = F.slice("order", F.lit(1), (F.col("m") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
-    # the shared shingles of short sets travel along, so that the join itself tells most pairs apart
-    along = F.when(F.col("n") <= CARRIED, F.transform("order", lambda x: x["item"]))
-    kept = ["same", "id", "c", "n", "m"]
-    prefix = stash(ranked.select(*kept, F.explode(head).alias("x"), along.alias("all")).select(*kept, "x.item", "all"))
-    left = prefix.toDF("sa", "a", "ca", "na", "ma", "item", "ia")
-    right = prefix.toDF("sb", "b", "cb", "nb", "mb", "item", "ib")
-    both = F.size(F.array_intersect("ia", "ib"))
-    most = F.when(F.col("ia").isNull() | F.col("ib").isNull(), F.least("ma", "mb")).otherwise(both)
+    kept = ["same", "id", "c", "n", "m", "bits"]
+    prefix = stash(ranked.select(*kept, F.explode(head).alias("x")).select(*kept, "x.item"))
+    left = prefix.toDF("sa", "a", "ca", "na", "ma", "ba", "item")
+    right = prefix.toDF("sb", "b", "cb", "nb", "mb", "bb", "item")
+    apart = sum((F.bit_count(F.col("ba")[i].bitwiseXOR(F.col("bb")[i])) for i in range(BIT_WORDS)), F.lit(0))
     sizes = F.col("na") + F.col("nb")
-    close = (F.col("ca") < F.col("cb")) & ((100 + percent) * F.least("ma", "mb") >= percent * sizes) & ((100 + percent) * most >= percent * sizes)
+    close = (F.col("ca") < F.col("cb")) & ((100 + percent) * F.least("ma", "mb") >= percent * sizes) & ((100 + percent) * (sizes - apart) >= 2 * percent * sizes)
     return left.join(right, "item").where(close).select("sa", "sb", "a", "b").distinct()
 
 
@@ -205,12 +215,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     """
     docs = docs.select("doc_id", "text")
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    signed_docs = stash(rows.mapInArrow(_sign(k, bands, band_slots), "doc_id long, n_shingles long, same string, bands array<long>"))
+    signed_docs = stash(rows.mapInArrow(_sign(k, bands, band_slots), "doc_id long, n_shingles long, same binary, bands array<long>"))
     linked = signed_docs.where("n_shingles > 0 and doc_id is not null")
     reps = stash(linked.groupBy("same").agg(F.min("doc_id").alias("id"), F.any_value("bands").alias("bands")))
     entries = reps.select("same", "id", F.explode("bands").alias("bucket"))
-    ends = entries.groupBy("bucket").agg(F.min(F.struct("id", "same")).alias("lo"), F.max(F.struct("id", "same")).alias("hi"))
-    pivots = ends.where("lo < hi").select("bucket", F.col("lo.same").alias("sa"), F.col("lo.id").alias("a"))
+    ends = entries.groupBy("bucket").agg(F.min(F.struct("id", "same")).alias("lo"), F.count("*").alias("all"))
+    pivots = ends.where("all > 1").select("bucket", F.col("lo.same").alias("sa"), F.col("lo.id").alias("a"))
     pairs = entries.join(pivots, "bucket").where("same <> sa")
     pairs = stash(pairs.select("sa", F.col("same").alias("sb"), "a", F.col("id").alias("b")).distinct())
     members = pairs.select(F.explode(F.array(F.struct(F.col("sa").alias("same"), F.col("a").alias("id")),
@@ -229,8 +239,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     torn = placed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bucket")
     unsure = stash(placed.join(torn, "bucket").select("same", "id", "c").distinct())
     if not unsure.isEmpty():
-        sets = stash(_full_sets(docs, unsure, k))
-        rest = stash(_rest_pairs(unsure, sets, percent))
+        sets = stash(_full_sets(docs, unsure, k).join(unsure, "same"))
+        rest = stash(_rest_pairs(sets, percent))
         more = stash(_confirmed(rest, sets, percent))
         if not more.isEmpty():
             known = components(links.union(more))

@@ -1,9 +1,12 @@
 """Near duplicates, repeated word passages and repeated byte strings against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import helpers as h
 from evidara.graph import components
@@ -56,6 +59,54 @@ def test_pairs_that_pivots_miss(spark):
     assert h.same(got, h.near_duplicates(rows, 1, 80))
 
 
+def test_sets_do_not_travel_with_their_shingles(spark, monkeypatch):
+    """What the rest join moves has a row per set and shingle, so a row must not hold a set."""
+    stash, widest = minhash.stash, []
+
+    def seen(df):
+        got = stash(df)
+        if "item" in got.columns:
+            arrays = [c for c, t in got.dtypes if t.startswith("array")]
+            widest.append(got.select(F.greatest(F.lit(0), *[F.max(F.size(c)) for c in arrays])).first()[0])
+        return got
+
+    monkeypatch.setattr(minhash, "stash", seen)
+    base = h.words_text(9, 200).split()
+    rows = []
+    for i in range(40):
+        w = list(base)
+        for j in range(14):
+            w[(i * 5 + j * 14) % 200] = f"c{i}_{j}"
+        rows.append((i, " ".join(w)))
+    got = minhash.near_duplicates(h.docs(spark, rows), k=1).collect()
+    assert h.same(got, h.near_duplicates(rows, 1, 80))
+    assert widest and max(widest) <= 16
+
+
+def test_parity_bits_differ_in_no_more_places_than_sets():
+    r = np.random.default_rng(3)
+    pool = np.unique(r.integers(0, 2**63, 3000, np.uint64) * np.uint64(2) + np.uint64(1))
+    sets = [np.sort(r.permutation(pool)[:n]) for n in (1, 5, 200, 300, 1200, 2500)] + [pool[:0], pool[:250], pool[5:255]]
+    bits = minhash.parity_bits(sets)
+    for a, p in zip(sets, bits):
+        for b, q in zip(sets, bits):
+            assert np.bitwise_count(p ^ q).sum() <= len(np.setxor1d(a, b))
+    assert np.bitwise_count(bits[2] ^ bits[3]).sum() > 200
+    assert (bits[6] == 0).all() and (minhash.parity_bits([pool[5:255]])[0] == bits[8]).all()
+
+
+def test_signing_holds_little_at_a_time():
+    texts = [h.words_text(i, 400).encode() for i in range(1000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(1000)), "text": pa.array(texts, pa.binary())})
+    for run, given in ((minhash._sign(4, 28, 4), batch), (minhash._sets(4), batch.select(["text"]))):
+        tracemalloc.start()
+        for _ in run(iter([given])):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 30 << 20
+
+
 def test_keep_first_keeps_all_columns(spark):
     d = h.docs(spark, [(3, h.words_text(1, 50)), (2, h.words_text(1, 50)), (4, "other"), (None, "x")])
     got = minhash.keep_first(d)
