@@ -28,9 +28,9 @@ SHORT_SEEDS = ("101111", "110111", "111011", "111101", "1001111", "1010111", "10
 LEAST_TOKENS, LEAST_COVER, SHORT = 10, 0.6, 5
 #: share of equal tokens in a stretch
 IDENTITY = 0.7
-#: tokens of benchmark items that one pass over the documents looks for (100 to 400 MB of tables, the more the shorter the items)
+#: tokens of benchmark items that one pass over the documents looks for (up to 300 MB of tables, the more the shorter the items)
 SHARD_TOKENS = 1_000_000
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 FILTER_BITS = 22
 EDGES = b".,;:!?\"'()[]{}*#%&$-_<>|"
 
@@ -53,10 +53,16 @@ def _least(size):
 
 
 def present(hashes: np.ndarray) -> np.ndarray:
-    """Which leading bits occur among ``hashes``."""
+    """Which leading bits occur among ``hashes``, eight to a byte."""
     out = np.zeros(1 << FILTER_BITS, bool)
     out[hashes >> np.uint64(64 - FILTER_BITS)] = True
-    return out
+    return np.packbits(out, bitorder="little")
+
+
+def occurs(some: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the leading bits of each hash are marked in ``some``."""
+    lead = hashes >> np.uint64(64 - FILTER_BITS)
+    return (some[lead >> np.uint64(3)] >> (lead & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
 
 
 class SeedTable:
@@ -97,7 +103,7 @@ class SeedTable:
         out = []
         for mask, hashes, place, some in self.tables:
             h = seed_hashes(t, mask)
-            at = np.flatnonzero(some[h >> np.uint64(64 - FILTER_BITS)])
+            at = np.flatnonzero(occurs(some, h))
             at = at[doc[at] == doc[at + len(mask) - 1]]
             lo, hi = np.searchsorted(hashes, h[at], "left"), np.searchsorted(hashes, h[at], "right")
             n = hi - lo

@@ -59,6 +59,19 @@ def test_pairs_that_pivots_miss(spark):
     assert h.same(got, h.near_duplicates(rows, 1, 80))
 
 
+def test_passages_are_sought_with_little_at_a_time():
+    texts = [h.words_text(i, 400).encode() for i in range(1000)]
+    key = pa.array(range(1000))
+    for run, batch in ((substring._owners(13), pa.record_batch({"doc_id": key, "text": pa.array(texts, pa.binary())})),
+                       (substring._runs(13), pa.record_batch({"doc_id": key, "key": key, "text": pa.array(texts, pa.binary())}))):
+        tracemalloc.start()
+        for _ in run(iter([batch])):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 30 << 20
+
+
 def test_sets_do_not_travel_with_their_shingles(spark, monkeypatch):
     """What the rest join moves has a row per set and shingle, so a row must not hold a set."""
     stash, widest = minhash.stash, []

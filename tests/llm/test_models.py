@@ -1,9 +1,11 @@
 """Language, toxicity, benchmark passages and mixing."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import helpers as h
@@ -246,6 +248,27 @@ def test_every_stretch_that_counts_holds_a_seed(least, most):
         assert all(value < 0 for (_, n), value in then.items() if n >= least)
 
 
+def test_decontamination_holds_little_at_a_time():
+    class Sent:
+        value = decontamination.SeedTable([(i, h.words_text(i, 40).encode()) for i in range(200)]).state()
+
+    texts = [h.words_text(i, 400).encode() for i in range(1000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(1000)), "key": pa.array(range(1000)), "text": pa.array(texts, pa.binary())})
+    tracemalloc.start()
+    found = sum(b.num_rows for b in decontamination._find(Sent)(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 200 and most < 40 << 20
+
+
+def test_marks_are_found_again():
+    r = np.random.default_rng(1)
+    hashes = r.integers(0, 2**63, 50_000, np.uint64) * np.uint64(2)
+    lead = set((hashes[:20_000] >> np.uint64(64 - decontamination.FILTER_BITS)).tolist())
+    got = decontamination.occurs(decontamination.present(hashes[:20_000]), hashes)
+    assert got.tolist() == [x in lead for x in (hashes >> np.uint64(64 - decontamination.FILTER_BITS)).tolist()]
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contamination(h.docs(spark, []), none).collect() == []
