@@ -95,3 +95,13 @@ def test_blank_text_is_missing_and_groups_take_column_names(spark):
     df = spark.createDataFrame([("a", " "), ("b", "2.5")], "id string, s_score string")
     assert [(r.id, r.value) for r in fu.build_ranklists(df, [fu.Signal("s")]).collect()] == [("b", 2.5)]
     assert fu.normalize_group_names({"s_score": "g", "t": "g"}) == {"s": "g", "t": "g"}
+
+
+def test_ties_are_those_of_the_null_score(spark):
+    """Before, the report counted equal statistics, and y tied with x and s, who hold one list only."""
+    rows = [(i, s, 4.0 - n) for s, ids in (("a", "xypq"), ("b", "sytu")) for n, i in enumerate(ids)]
+    votes = spark.createDataFrame(rows, "id string, signal string, value double")
+    assert {r["id"]: r["rho"] for r in fu.rra_score(votes).collect() if r["id"] in "xys"} == pytest.approx({"x": 0.25, "y": 0.25, "s": 0.25})
+    assert fu.saturation_report(votes).first().asDict() == pytest.approx({
+        "n_candidates": 7, "n_saturated": 2, "fraction_saturated": 2 / 7, "largest_tie_block": 2, "n_tied": 6, "fraction_tied": 6 / 7,
+        "n_distinct_scores": 4})
