@@ -100,3 +100,14 @@ def test_few_distances_are_held_at_a_time(spark, data, monkeypatch):
     got = vc.nearest(df, refs, 4).select("id", "ref", "rank").collect()
     far = ((m[:, None] - m[None]) ** 2).sum(axis=2)
     assert {(r["id"], r["rank"]): r["ref"] for r in got} == {(i, k + 1): int(j) for i in range(len(m)) for k, j in enumerate(np.argsort(far[i], kind="stable")[:4])}
+
+
+def test_the_bar_is_a_distance_not_below_the_last_place(monkeypatch):
+    """Before, every row of distances was put in order as far as its last place."""
+    monkeypatch.setattr(vc, "STRIP", 4)
+    rng = np.random.default_rng(5)
+    for n in (3, 17, 50, 203):
+        dist = rng.integers(0, 40, (9, n)).astype(float)
+        for last in range(min(3, n)):
+            bar, true = vc._at_least(dist, last), np.sort(dist, axis=1)[:, last]
+            assert (bar >= true).all() and ((dist <= bar[:, None]).sum(axis=1) > last).all() and (dist == bar[:, None]).any(axis=1).all()
